@@ -1,0 +1,23 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import SparkSession
+
+from merchlens.session import configure
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("merchlens-tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "America/Sao_Paulo")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    return configure(session)
