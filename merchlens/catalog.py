@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, field, fields
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
@@ -133,22 +133,30 @@ ORDER_DATES = (
 )
 
 
-@dataclass(frozen=True)
 class RawTables:
-    """The raw layer as DataFrames."""
+    """The raw layer as DataFrames, each made when it is first asked for.
+
+    Tables are given as DataFrames, or as functions that return one, under their
+    names: those of the catalogue, and `reviews`.
+    """
+
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
+        self._given = tables
+        self._made: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._given:
+            raise AttributeError(f"no table {name}")
+        if name not in self._made:
+            table = self._given[name]
+            self._made[name] = table if isinstance(table, DataFrame) else table()
+        return self._made[name]
 
-    customers: DataFrame
-    sellers: DataFrame
-    products: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    payments: DataFrame
-    geolocation: DataFrame | None = None
-    reviews: DataFrame | None = None
+    def replace(self, **tables: DataFrame | Callable[[], DataFrame]) -> RawTables:
+        return RawTables(**{**self._given, **tables})
 
     def present(self) -> dict[str, DataFrame]:
-        pairs = ((f.name, getattr(self, f.name)) for f in fields(self))
-        return {name: frame for name, frame in pairs if frame is not None}
+        return {name: getattr(self, name) for name in self._given}
 
 
 def load_waves(specs: Mapping[str, TableSpec]) -> list[list[str]]:

@@ -16,7 +16,12 @@ from merchlens.functions import day_part, hour_part
 
 
 def sales_mart(raw: RawTables) -> DataFrame:
-    """One row for every pair of item and payment of the same order."""
+    """One row for every pair of item and payment of the same order.
+
+    Customers are joined between payments and items: each join then follows a
+    shuffle of both of its sides, which is what lets Spark split a partition made
+    heavy by one order's payments, one customer's orders, or one order's items.
+    """
     orders = raw.orders.select(
         "order_id", "customer_id", "order_purchase_timestamp", "order_status"
     )
@@ -25,10 +30,10 @@ def sales_mart(raw: RawTables) -> DataFrame:
     items = raw.order_items.select("order_id", "product_id", "seller_id", "price", "freight_value")
     products = raw.products.select("product_id", "product_category")
     sellers = raw.sellers.select("seller_id", "seller_city", "seller_state")
-    placed = orders.join(customers, "customer_id")
     sold = items.join(products, "product_id").join(sellers, "seller_id")
     return (
-        placed.join(payments, "order_id")
+        payments.join(orders, "order_id")
+        .join(customers, "customer_id")
         .join(sold, "order_id")
         .select(
             "order_id",

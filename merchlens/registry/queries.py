@@ -18,8 +18,7 @@ from merchlens.operators.periods import PERIODS
 from merchlens.registry.stored import land_and_load, stored_warehouse
 from merchlens.reports import abc, logistics, profile, sales
 from merchlens.session import configure
-from merchlens.sources import sample_tables
-from merchlens.sources.sample_tables import with_deliveries
+from merchlens.sources import sample_tables, with_deliveries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,10 +49,8 @@ def plain(frame: DataFrame) -> DataFrame:
 
 def _on_tables(run: Callable[[RawTables], DataFrame], deliveries: bool = False) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        tables = sample_tables(configure(spark), folder)
-        if deliveries:
-            tables = with_deliveries(tables, spark, folder)
-        return plain(run(tables))
+        model = with_deliveries if deliveries else sample_tables
+        return plain(run(model(configure(spark), folder)))
 
     return query
 

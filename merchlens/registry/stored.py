@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from merchlens.catalog import TABLES
 from merchlens.session import configure, new_shared_folder
 from merchlens.sinks import Warehouse, land_csv
-from merchlens.sources import read_raw, sample_specs, sample_tables
-from merchlens.sources.sample_tables import with_deliveries
+from merchlens.sources import read_raw, sample_specs, with_deliveries
 
 _built: dict[tuple[str, str], Warehouse] = {}
 
@@ -35,10 +34,10 @@ def stored_warehouse(spark: SparkSession, folder: str) -> Warehouse:
 
 
 def _load(spark: SparkSession, folder: str) -> tuple[Warehouse, DataFrame]:
-    tables = with_deliveries(sample_tables(spark, folder), spark, folder).present()
+    tables = with_deliveries(spark, folder)
     specs = sample_specs()
     root = new_shared_folder(spark, "warehouse")
-    landed = {name: land_csv(tables[name], f"{root}/landing", name) for name in TABLES}
+    landed = {name: land_csv(getattr(tables, name), f"{root}/landing", name) for name in TABLES}
     tag = uuid.uuid4().hex[:8]
     warehouse = Warehouse(spark, root, specs, raw=f"raw_{tag}", dm=f"dm_{tag}")
     report = warehouse.load_all(

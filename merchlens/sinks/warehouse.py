@@ -98,7 +98,7 @@ class Warehouse:
 
     def load_table(self, name: str, frame: DataFrame, enforce: bool = True) -> Loaded:
         """Replace the rows of one table, and empty its dependants."""
-        loaded = self._stage(name, frame, {}, enforce)
+        loaded = self._stage(name, lambda _: frame, {}, enforce)
         for child in dependants(self.specs, name):
             self.truncate(child, cascade=False)
         self._publish(self.raw, name, loaded.version, self.specs[name].columns)
@@ -117,8 +117,7 @@ class Warehouse:
             for wave in load_waves(self.specs):
                 versions = {name: loaded.version for name, loaded in staged.items()}
                 running = {
-                    name: pool.submit(self._stage, name, read(name), versions, enforce)
-                    for name in wave
+                    name: pool.submit(self._stage, name, read, versions, enforce) for name in wave
                 }
                 staged.update({name: future.result() for name, future in running.items()})
         for name, loaded in staged.items():
@@ -130,7 +129,10 @@ class Warehouse:
 
     def tables(self) -> RawTables:
         """The current raw tables, read at their stored layout."""
-        return RawTables(**{name: self._current(self.raw, name) for name in self.specs})
+        def reader(name: str):
+            return lambda: self._current(self.raw, name)
+
+        return RawTables(**{name: reader(name) for name in self.specs})
 
     # ---- marts ------------------------------------------------------------
 
@@ -173,11 +175,15 @@ class Warehouse:
     # ---- versions ---------------------------------------------------------
 
     def _stage(
-        self, name: str, frame: DataFrame, staged: Mapping[str, str], enforce: bool
+        self,
+        name: str,
+        read: Callable[[str], DataFrame],
+        staged: Mapping[str, str],
+        enforce: bool,
     ) -> Loaded:
         """Write a table version and check it against its parents."""
         spec = self.specs[name]
-        frame = frame.select(*spec.columns)
+        frame = read(name).select(*spec.columns)
         version = self._new_version(name, self._bucket_clause(name, frame))
         target = f"{self.raw}.{version}"
         written = Observation()

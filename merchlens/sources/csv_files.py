@@ -47,13 +47,10 @@ def read_raw(
 
 def read_all(spark: SparkSession, folder: str, strict: bool = True) -> RawTables:
     """All raw tables, and reviews, from `<folder>/<table>.csv`; nothing runs yet."""
-    specs = {**TABLES, REVIEWS.name: REVIEWS}
-    return RawTables(
-        **{
-            name: read_raw(spark, f"{folder.rstrip('/')}/{name}.csv", spec, strict)
-            for name, spec in specs.items()
-        }
-    )
+    def reader(spec: TableSpec):
+        return lambda: read_raw(spark, f"{folder.rstrip('/')}/{spec.name}.csv", spec, strict)
+
+    return RawTables(**{spec.name: reader(spec) for spec in (*TABLES.values(), REVIEWS)})
 
 
 def typed(table: str, name: str, kind: str, strict: bool = True) -> Column:

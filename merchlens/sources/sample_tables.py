@@ -10,6 +10,25 @@ from pyspark.sql import functions as F
 from merchlens.catalog import TABLES, RawTables, TableSpec
 
 
+# The columns read from each sample file.
+_COLUMNS = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_extendedprice double, l_tax double, l_shipdate timestamp_ntz",
+    "events": "event_id bigint",
+}
+
+
+def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One sample table. With its columns given, no job looks for them."""
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
 def sample_specs() -> dict[str, TableSpec]:
     """The catalogue with the wider types that sample values need."""
     wider = {
@@ -27,25 +46,31 @@ def sample_specs() -> dict[str, TableSpec]:
 
 def sample_tables(spark: SparkSession, folder: str) -> RawTables:
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+        return _read(spark, folder, name)
 
-    nation = table("nation").select("n_nationkey", "n_name")
-    orders, lineitem = table("orders"), table("lineitem")
     return RawTables(
-        customers=_customers(table("customer"), nation),
-        sellers=_sellers(table("supplier"), nation),
-        products=_products(table("part")),
-        orders=_orders(orders),
-        order_items=_order_items(lineitem),
-        payments=_payments(orders),
-        geolocation=_geolocation(table("supplier"), nation),
-        reviews=table("events").select((F.col("event_id") % 5 + 1).cast("int").alias("star_rating")),
+        customers=lambda: _customers(table("customer"), table("nation")),
+        sellers=lambda: _sellers(table("supplier"), table("nation")),
+        products=lambda: _products(table("part")),
+        orders=lambda: _orders(table("orders")),
+        order_items=lambda: _order_items(table("lineitem")),
+        payments=lambda: _payments(table("orders")),
+        geolocation=lambda: _geolocation(table("supplier"), table("nation")),
+        reviews=lambda: table("events").select(
+            (F.col("event_id") % 5 + 1).cast("int").alias("star_rating")
+        ),
     )
 
 
-def with_deliveries(tables: RawTables, spark: SparkSession, folder: str) -> RawTables:
+def with_deliveries(spark: SparkSession, folder: str) -> RawTables:
     """The same model with the customer delivery date, which needs every line item."""
-    lineitem = spark.read.parquet(f"{folder.rstrip('/')}/lineitem.parquet")
+    tables = sample_tables(spark, folder)
+    return tables.replace(
+        orders=lambda: _delivered(tables.orders, _read(spark, folder, "lineitem"))
+    )
+
+
+def _delivered(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     shipped = lineitem.groupBy(F.col("l_orderkey").cast("string").alias("order_id")).agg(
         F.min("l_shipdate").alias("first_ship")
     )
@@ -54,11 +79,11 @@ def with_deliveries(tables: RawTables, spark: SparkSession, folder: str) -> RawT
     gap = F.datediff("first_ship", placed)
     days = F.when(key % 5 != 0, F.abs(gap)).otherwise(gap) % 130
     travel = F.make_dt_interval(days, (key % 24).cast("int"))
-    orders = tables.orders.drop("order_delivered_customer_date").join(shipped, "order_id", "left")
+    orders = orders.drop("order_delivered_customer_date").join(shipped, "order_id", "left")
     orders = orders.withColumn(
         "order_delivered_customer_date", F.col("order_delivered_carrier_date") + travel
     )
-    return replace(tables, orders=orders.select(*TABLES["orders"].columns))
+    return orders.select(*TABLES["orders"].columns)
 
 
 def _place(key: str, cities: int):
