@@ -50,11 +50,22 @@ def plain(frame: DataFrame) -> DataFrame:
 def _on_tables(run: Callable[[RawTables], DataFrame], deliveries: bool = False) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         model = with_deliveries if deliveries else sample_tables
-        return plain(run(model(configure(spark), folder)))
+        return plain(run(_model(model, configure(spark), folder)))
 
     return query
 
 
+_models: dict[tuple[str, str, str], RawTables] = {}
+
+
+def _model(model: Callable, spark: SparkSession, folder: str) -> RawTables:
+    """The plans of the sample tables, made once in a session. They hold no rows."""
+    made = (model.__name__, spark.sparkContext.applicationId, folder)
+    if made not in _models:
+        _models[made] = model(spark, folder)
+    return _models[made]
+
+
 def _sales_queries() -> dict[str, Callable[[RawTables], DataFrame]]:
     found = {
         "mart_sales": sales_mart,

@@ -74,115 +74,119 @@ def _delivered(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     shipped = lineitem.groupBy(F.col("l_orderkey").cast("string").alias("order_id")).agg(
         F.min("l_shipdate").alias("first_ship")
     )
-    key = F.col("order_id").cast("bigint")
-    placed = F.col("order_delivered_carrier_date") - F.expr("INTERVAL '2' DAY")
-    gap = F.datediff("first_ship", placed)
-    days = F.when(key % 5 != 0, F.abs(gap)).otherwise(gap) % 130
-    travel = F.make_dt_interval(days, (key % 24).cast("int"))
-    orders = orders.drop("order_delivered_customer_date").join(shipped, "order_id", "left")
-    orders = orders.withColumn(
-        "order_delivered_customer_date", F.col("order_delivered_carrier_date") + travel
+    gap = "datediff(first_ship, order_delivered_carrier_date - interval 2 days)"
+    key = "cast(order_id as bigint)"
+    days = f"if({key} % 5 <> 0, abs({gap}), {gap}) % 130"
+    delivery = (
+        f"order_delivered_carrier_date + make_dt_interval({days}, cast({key} % 24 as int), 0, 0) "
+        "as order_delivered_customer_date"
+    )
+    unchanged = [c for c in TABLES["orders"].columns if c != "order_delivered_customer_date"]
+    joined = orders.select(*unchanged).join(shipped, "order_id", "left")
+    return joined.selectExpr(*unchanged, delivery).select(*TABLES["orders"].columns)
+
+
+def _with_nation(frame: DataFrame, key: str, nation: DataFrame) -> DataFrame:
+    """Rows with the name of their nation; those of no nation are left out.
+
+    The sample has 25 nations at every size, so their names are looked up in one
+    value. Sizes of customers and sellers then stay those of their own files, which
+    is what Spark goes by when it chooses the side of a join to broadcast.
+    """
+    entries = F.collect_list(F.struct("n_nationkey", "n_name"))
+    names = nation.agg(F.map_from_entries(entries)).scalar()
+    return frame.withColumn("n_name", F.try_element_at(names, F.col(key))).where(
+        F.col("n_name").isNotNull()
     )
-    return orders.select(*TABLES["orders"].columns)
-
-
-def _place(key: str, cities: int):
-    return F.concat("n_name", F.lit("-"), (F.col(key) % cities).cast("string"))
 
 
 def _customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        F.col("c_custkey").cast("string").alias("customer_id"),
-        F.expr("c_custkey div 2").cast("string").alias("customer_unique_id"),
-        (F.col("c_custkey") % 100000).cast("int").alias("customer_zip_code_prefix"),
-        _place("c_custkey", 5).alias("customer_city"),
-        F.col("n_name").alias("customer_state"),
+    return _with_nation(customer, "c_nationkey", nation).selectExpr(
+        "cast(c_custkey as string) as customer_id",
+        "cast(c_custkey div 2 as string) as customer_unique_id",
+        "cast(c_custkey % 100000 as int) as customer_zip_code_prefix",
+        "concat(n_name, '-', c_custkey % 5) as customer_city",
+        "n_name as customer_state",
     )
 
 
 def _sellers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.col("s_suppkey").cast("string").alias("seller_id"),
-        (F.col("s_suppkey") % 100000).cast("int").alias("seller_zip_code_prefix"),
-        _place("s_suppkey", 3).alias("seller_city"),
-        F.col("n_name").alias("seller_state"),
+    return _with_nation(supplier, "s_nationkey", nation).selectExpr(
+        "cast(s_suppkey as string) as seller_id",
+        "cast(s_suppkey % 100000 as int) as seller_zip_code_prefix",
+        "concat(n_name, '-', s_suppkey % 3) as seller_city",
+        "n_name as seller_state",
     )
 
 
 def _geolocation(supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        (F.col("s_suppkey") % 100000).cast("int").alias("geolocation_zip_code_prefix"),
-        (-F.col("s_nationkey")).cast("decimal(10,6)").alias("geolocation_lat"),
-        F.col("s_nationkey").cast("decimal(10,6)").alias("geolocation_lng"),
-        _place("s_suppkey", 3).alias("geolocation_city"),
-        F.col("n_name").alias("geolocation_state"),
+    return _with_nation(supplier, "s_nationkey", nation).selectExpr(
+        "cast(s_suppkey % 100000 as int) as geolocation_zip_code_prefix",
+        "cast(-s_nationkey as decimal(10,6)) as geolocation_lat",
+        "cast(s_nationkey as decimal(10,6)) as geolocation_lng",
+        "concat(n_name, '-', s_suppkey % 3) as geolocation_city",
+        "n_name as geolocation_state",
     )
 
 
 def _products(part: DataFrame) -> DataFrame:
-    size = F.col("p_size")
-    return part.select(
-        F.col("p_partkey").cast("string").alias("product_id"),
-        F.col("p_name").alias("product_category"),
-        F.length("p_name").alias("product_name_length"),
-        F.length("p_type").alias("product_description_length"),
-        (size % 7).alias("product_photos_qty"),
-        (size * 100).cast("decimal(10,2)").alias("product_weight_g"),
-        size.cast("decimal(6,2)").alias("product_length_cm"),
-        size.cast("decimal(6,2)").alias("product_height_cm"),
-        (size % 7 + 1).cast("decimal(6,2)").alias("product_width_cm"),
+    return part.selectExpr(
+        "cast(p_partkey as string) as product_id",
+        "p_name as product_category",
+        "length(p_name) as product_name_length",
+        "length(p_type) as product_description_length",
+        "p_size % 7 as product_photos_qty",
+        "cast(p_size * 100 as decimal(10,2)) as product_weight_g",
+        "cast(p_size as decimal(6,2)) as product_length_cm",
+        "cast(p_size as decimal(6,2)) as product_height_cm",
+        "cast(p_size % 7 + 1 as decimal(6,2)) as product_width_cm",
     )
 
 
 def _orders(orders: DataFrame) -> DataFrame:
-    key, placed = F.col("o_orderkey"), F.col("o_orderdate")
-    purchased = placed + F.make_dt_interval(F.lit(0), (key % 24).cast("int"))
-    status = (
-        F.when(key % 50 == 7, "unavailable")
-        .when(F.col("o_orderstatus") == "F", "delivered")
-        .when(F.col("o_orderstatus") == "O", "shipped")
-        .when(key % 10 == 0, "canceled")
-        .otherwise("delivered")
-    )
-    return orders.select(
-        key.cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        status.alias("order_status"),
-        purchased.alias("order_purchase_timestamp"),
-        (purchased + F.expr("INTERVAL '1' HOUR")).alias("order_approved_at"),
-        (placed + F.expr("INTERVAL '2' DAY")).alias("order_delivered_carrier_date"),
-        F.lit(None).cast("timestamp_ntz").alias("order_delivered_customer_date"),
-        (placed + F.expr("INTERVAL '20' DAY")).alias("order_estimated_delivery_date"),
+    hours = "make_dt_interval(0, cast(o_orderkey % 24 as int), 0, 0)"
+    return orders.selectExpr(
+        "cast(o_orderkey as string) as order_id",
+        "cast(o_custkey as string) as customer_id",
+        """case when o_orderkey % 50 = 7 then 'unavailable'
+                when o_orderstatus = 'F' then 'delivered'
+                when o_orderstatus = 'O' then 'shipped'
+                when o_orderkey % 10 = 0 then 'canceled'
+                else 'delivered' end as order_status""",
+        f"o_orderdate + {hours} as order_purchase_timestamp",
+        f"o_orderdate + {hours} + interval 1 hour as order_approved_at",
+        "o_orderdate + interval 2 days as order_delivered_carrier_date",
+        "cast(null as timestamp_ntz) as order_delivered_customer_date",
+        "o_orderdate + interval 20 days as order_estimated_delivery_date",
     )
 
 
 def _order_items(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("l_linenumber").cast("int").alias("order_item_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_suppkey").cast("string").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
-        (F.col("l_tax") * 100).cast("decimal(5,2)").alias("freight_value"),
+    return lineitem.selectExpr(
+        "cast(l_orderkey as string) as order_id",
+        "l_linenumber as order_item_id",
+        "cast(l_partkey as string) as product_id",
+        "cast(l_suppkey as string) as seller_id",
+        "l_shipdate as shipping_limit_date",
+        "cast(l_extendedprice as decimal(12,2)) as price",
+        "cast(l_tax * 100 as decimal(5,2)) as freight_value",
     )
 
 
 def _payments(orders: DataFrame) -> DataFrame:
     """One payment per order, and a second one for every tenth order."""
-    key = F.col("o_orderkey")
-    kinds = F.array(*map(F.lit, ("credit_card", "boleto", "voucher", "debit_card")))
-    first = F.struct(
-        F.lit(1).alias("payment_sequential"),
-        F.get(kinds, (key % 4).cast("int")).alias("payment_type"),
-        (1 + key % 12).cast("int").alias("payment_installments"),
-        F.col("o_totalprice").cast("decimal(12,2)").alias("payment_value"),
-    )
-    second = F.struct(
-        F.lit(2).alias("payment_sequential"),
-        F.lit("voucher").alias("payment_type"),
-        F.lit(1).alias("payment_installments"),
-        F.lit(10).cast("decimal(12,2)").alias("payment_value"),
+    first = """named_struct(
+        'payment_sequential', 1,
+        'payment_type', elt(cast(o_orderkey % 4 + 1 as int),
+                            'credit_card', 'boleto', 'voucher', 'debit_card'),
+        'payment_installments', cast(1 + o_orderkey % 12 as int),
+        'payment_value', cast(o_totalprice as decimal(12,2)))"""
+    second = """named_struct(
+        'payment_sequential', 2,
+        'payment_type', 'voucher',
+        'payment_installments', 1,
+        'payment_value', cast(10 as decimal(12,2)))"""
+    return orders.selectExpr(
+        "cast(o_orderkey as string) as order_id",
+        f"inline(if(o_orderkey % 10 = 0, array({first}, {second}), array({first})))",
     )
-    made = F.when(key % 10 == 0, F.array(first, second)).otherwise(F.array(first))
-    return orders.select(key.cast("string").alias("order_id"), F.inline(made))
