@@ -55,8 +55,9 @@ class Warehouse:
     """Raw and mart databases below one shared folder.
 
     With `buckets`, orders, items and payments are stored by order, which lets
-    joins and per-order sums read them without a shuffle. A table is stored plain
-    when its heaviest bucket would outgrow the mean by `bucket_skew`.
+    joins and per-order sums read them without a shuffle. Choose as many as leave a
+    bucket of the largest table in one task's memory. A table is stored plain when
+    its heaviest bucket would outgrow the mean by `bucket_skew`.
     """
 
     def __init__(
@@ -184,10 +185,14 @@ class Warehouse:
         """Write a table version and check it against its parents."""
         spec = self.specs[name]
         frame = read(name).select(*spec.columns)
-        version = self._new_version(name, self._bucket_clause(name, frame))
+        layout = self._bucket_clause(name, frame)
+        version = self._new_version(name, layout)
         target = f"{self.raw}.{version}"
         written = Observation()
         counted = frame.observe(written, F.count(F.lit(1)).alias("rows"))
+        if layout:
+            # The shuffle hashes as buckets do: every bucket becomes one file.
+            counted = counted.repartition(self.buckets, "order_id")
         counted.write.insertInto(target, overwrite=True)
         rows = self.spark.table(target)
         duplicates, null_keys = _key_problems(rows, spec.primary_key)

@@ -108,6 +108,11 @@ def test_stored_by_order_needs_no_shuffle_by_order(house, settings):
     assert "Exchange" not in plan
 
 
+def test_each_bucket_is_one_file(house):
+    for name in ("orders", "order_items", "payments"):
+        assert len(getattr(house.tables(), name).inputFiles()) == 8
+
+
 def test_trailing_period_reads_its_own_months(house):
     frame = sales.kpi(house.sales(), "turnover", "last_month")
     scan = next(line for line in physical(frame).splitlines() if "FileScan" in line)
