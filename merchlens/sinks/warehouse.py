@@ -150,11 +150,13 @@ class Warehouse:
         # Rebalancing splits the large months and joins the small ones into files
         # of the advisory size.
         by_month = by_month.hint("rebalance", F.col(STORED_MONTH))
-        counts = [
-            self._store_mart("sales", by_month, sales.columns, (STORED_MONTH,), latest),
-            self._store_mart("delivery", delivery_mart(raw)),
-            self._store_mart("purchasing_power", purchasing_power_mart(raw)),
-        ]
+        marts = (
+            ("sales", by_month, sales.columns, (STORED_MONTH,), latest),
+            ("delivery", delivery_mart(raw)),
+            ("purchasing_power", purchasing_power_mart(raw)),
+        )
+        with ThreadPoolExecutor(len(marts)) as pool:
+            counts = list(pool.map(lambda mart: self._store_mart(*mart), marts))
         return self.spark.createDataFrame(counts, "mart string, rows bigint")
 
     def sales(self) -> StoredSales:

@@ -40,7 +40,11 @@ def read_raw(
     missing = [name for name in spec.columns if name not in text.columns]
     if missing:
         raise ValueError(f"{path} lacks columns {missing} of table {spec.name}")
-    return text.select(
+    markers = ", ".join(f"'{marker}'" for marker in MISSING_MARKERS)
+    present = text.selectExpr(
+        *(f"if(`{name}` in ({markers}), null, `{name}`) as `{name}`" for name in spec.columns)
+    )
+    return present.select(
         *(typed(spec.name, name, kind, strict).alias(name) for name, kind in spec.columns.items())
     )
 
@@ -54,8 +58,8 @@ def read_all(spark: SparkSession, folder: str, strict: bool = True) -> RawTables
 
 
 def typed(table: str, name: str, kind: str, strict: bool = True) -> Column:
-    """Text column as `kind`, after missing-value markers become NULL."""
-    text = F.when(~F.col(name).isin(*MISSING_MARKERS), F.col(name))
+    """Text column as `kind`."""
+    text = F.col(name)
     length = _VARCHAR.fullmatch(kind)
     if length:
         value = F.when(F.length(text) <= int(length[1]), text)
