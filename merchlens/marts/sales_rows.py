@@ -68,8 +68,9 @@ class StoredSales:
 class FactoredSales:
     """Sales rows from the raw tables, one per order and combination of keys.
 
-    Set `keys_enforced` only for tables whose loader rejects orphans: joins that
-    would merely look for a parent row are then left out.
+    Keys of orders, customers, products and sellers are unique, as loads ensure. Set
+    `keys_enforced` only for tables whose loader rejects orphans too: joins that would
+    merely look for a parent row are then left out.
     """
 
     tables: RawTables
