@@ -47,7 +47,7 @@ def uniform_tree(regions: int, racks: int, shards: int) -> Node:
     number = iter(range(regions * racks * shards))
 
     def rack(name: str) -> Node:
-        held = tuple(Node(f"{name}/s{n}", 1.0, (), n) for n, _ in zip(number, range(shards)))
+        held = tuple(Node(f"{name}/s{n}", 1.0, (), n) for _, n in zip(range(shards), number))
         return Node(name, float(shards), held)
 
     return Node(
