@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from merchlens.llm import quality, sharding
+from merchlens.llm import bpe, quality, sharding, warc, wordpiece
 
 
 def queries():
     return {
         "op1_hash_tree_shards": sharding.op1_hash_tree_shards,
+        "op5_content_archive": warc.op5_content_archive,
+        "op7_word_piece_counts": wordpiece.op7_word_piece_counts,
+        "op8_trie_bpe": bpe.op8_trie_bpe,
         "op10_rule_ledger": quality.op10_rule_ledger,
     }
 
@@ -15,5 +18,6 @@ def queries():
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_hash_tree_shards": sharding.ORACLE,
+        "op5_content_archive": warc.ORACLE,
         "op10_rule_ledger": quality.ORACLE,
     }
