@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from merchlens.llm import bpe, quality, sharding, warc, wordpiece
+from merchlens.llm import bpe, pii, quality, sharding, warc, wordpiece
 
 
 def queries():
     return {
         "op1_hash_tree_shards": sharding.op1_hash_tree_shards,
+        "op2_skip_chain_pii": pii.op2_skip_chain_pii,
         "op5_content_archive": warc.op5_content_archive,
         "op7_word_piece_counts": wordpiece.op7_word_piece_counts,
         "op8_trie_bpe": bpe.op8_trie_bpe,
