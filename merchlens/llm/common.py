@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Fixed value: a word is a run of anything but blank, tab, line and page breaks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,3 +42,33 @@ def per_batch(
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return frame.select(*columns).mapInArrow(run, schema)
+
+
+def running_before(
+    rows: DataFrame, group: str, order: list[str], amount: Column, name: str
+) -> DataFrame:
+    """Add `name`: the amounts of the group's rows before this one, in several tasks a group.
+
+    A group's rows are dealt into 4096 buckets by a hash of `order`; totals are taken
+    within a bucket, and moved up by the totals of the buckets before it. No window
+    holds more than one bucket of rows, or one row per bucket. `rows` is read twice.
+    Rows equal in `order` stand in any order.
+    """
+    text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order))
+    dealt = rows.withColumn("bucket", F.substring(F.md5(text), 1, 3)).withColumn("amount", amount)
+    earlier = Window.partitionBy(group).orderBy("bucket").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    starts = (
+        dealt.groupBy(group, "bucket")
+        .agg(F.sum("amount").alias("held"))
+        .select(group, "bucket", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("start"))
+    )
+    within = Window.partitionBy(group, "bucket").orderBy(*order)
+    inside = F.sum("amount").over(within.rowsBetween(Window.unboundedPreceding, -1))
+    return (
+        dealt.withColumn("inside", F.coalesce(inside, F.lit(0)))
+        .join(starts, [group, "bucket"])
+        .withColumn(name, F.col("start") + F.col("inside"))
+        .drop("bucket", "amount", "start", "inside")
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from merchlens.llm import bpe, pii, quality, sharding, warc, wordpiece
+from merchlens.llm import bpe, mixing, pii, quality, sharding, warc, wordpiece
 
 
 def queries():
@@ -10,6 +10,7 @@ def queries():
         "op1_hash_tree_shards": sharding.op1_hash_tree_shards,
         "op2_skip_chain_pii": pii.op2_skip_chain_pii,
         "op5_content_archive": warc.op5_content_archive,
+        "op6_block_mix": mixing.op6_block_mix,
         "op7_word_piece_counts": wordpiece.op7_word_piece_counts,
         "op8_trie_bpe": bpe.op8_trie_bpe,
         "op10_rule_ledger": quality.op10_rule_ledger,

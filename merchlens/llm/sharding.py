@@ -19,9 +19,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from merchlens.llm.common import documents
+from merchlens.llm.common import documents, running_before
 from merchlens.session import ensure_checkpoint_dir
 
 # Bytes that a row takes beside its text.
@@ -129,31 +128,6 @@ def _drawn(key: Column, parent: Column, families: list[tuple[Node, ...]]) -> Col
     return F.array_min(F.transform(family, draw))["place"]
 
 
-def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """Add `slot`: 0, 1, ... without gaps within each group, in several tasks a group.
-
-    A group's rows are dealt into 4096 buckets by a hash of `order`; buckets are
-    numbered within themselves and moved up by the rows of the buckets before. No
-    window holds more than one bucket of rows, or one row per bucket. `rows` is read
-    twice. Rows equal in `order` share their places in any order.
-    """
-    text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order))
-    dealt = rows.withColumn("bucket", F.substring(F.md5(text), 1, 3))
-    before = Window.partitionBy(group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        dealt.groupBy(group, "bucket")
-        .agg(F.count(F.lit(1)).alias("held"))
-        .select(group, "bucket", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("start"))
-    )
-    within = Window.partitionBy(group, "bucket").orderBy(*order)
-    return (
-        dealt.withColumn("place", F.row_number().over(within))
-        .join(starts, [group, "bucket"])
-        .withColumn("slot", F.col("start") + F.col("place") - 1)
-        .drop("bucket", "place", "start")
-    )
-
-
 def hash_tree_shards(docs: DataFrame, tree: Node, grown: Node | None = None) -> DataFrame:
     """Shard and gapless slot of every document.
 
@@ -177,7 +151,10 @@ def hash_tree_shards(docs: DataFrame, tree: Node, grown: Node | None = None) ->
         tree_shard(key, tree).alias("shard"),
         (tree_shard(key, grown) if grown else F.lit(None).cast("int")).alias("grown_shard"),
     ).checkpoint()
-    return numbered(placed, "shard", ["doc_id", "text_crc32", "size"]).select(
+    numbered = running_before(
+        placed, "shard", ["doc_id", "text_crc32", "size"], F.lit(1).cast("bigint"), "slot"
+    )
+    return numbered.select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
     )
 
