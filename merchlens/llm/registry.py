@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from merchlens.llm import bpe, fuzzy, mixing, pii, quality, sharding, warc, wordpiece
+from merchlens.llm import bpe, fuzzy, jaccard, mixing, pii, quality, sharding, warc, wordpiece
 
 
 def queries():
     return {
         "op1_hash_tree_shards": sharding.op1_hash_tree_shards,
         "op2_skip_chain_pii": pii.op2_skip_chain_pii,
+        "op3_shingle_join": jaccard.op3_shingle_join,
         "op4_piecewise_hash": fuzzy.op4_piecewise_hash,
         "op5_content_archive": warc.op5_content_archive,
         "op6_block_mix": mixing.op6_block_mix,
