@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from merchlens.llm import bpe, fuzzy, jaccard, mixing, pii, quality, sharding, warc, wordpiece
+from merchlens.llm import bpe, fuzzy, jaccard, mixing, ngram_lm, pii, quality, sharding, warc, wordpiece
 
 
 def queries():
@@ -15,6 +15,7 @@ def queries():
         "op6_block_mix": mixing.op6_block_mix,
         "op7_word_piece_counts": wordpiece.op7_word_piece_counts,
         "op8_trie_bpe": bpe.op8_trie_bpe,
+        "op9_backoff_scores": ngram_lm.op9_backoff_scores,
         "op10_rule_ledger": quality.op10_rule_ledger,
     }
 
@@ -23,5 +24,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_hash_tree_shards": sharding.ORACLE,
         "op5_content_archive": warc.ORACLE,
+        "op9_backoff_scores": ngram_lm.ORACLE,
         "op10_rule_ledger": quality.ORACLE,
     }
