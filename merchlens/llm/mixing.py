@@ -313,9 +313,15 @@ def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
             dtype=object,
         )
 
-    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.xxhash64("text") == F.col("of_text"))
-    cut = docs.join(runs, same).withColumn("text", excerpt("text", "runs"))
-    return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    text = F.col("row.text")
+    same = F.col("row.doc_id").eqNullSafe(F.col("of_doc")) & (F.xxhash64(text) == F.col("of_text"))
+    cut = rows.join(runs, same).withColumn("taken_text", excerpt(text, "runs"))
+    changed = {
+        "text": F.col("taken_text"),
+        "n_chars": F.length("taken_text").cast("bigint"),
+    }
+    return cut.select(*(changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
 
 
 def op6_block_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ SURE = 0.7
 
 # Added to the learned potential of two similar tokens that share a kind: patterns
 # label nearly all repeats alike, so the sample has few cases to learn it from.
-AGREEMENT = 6.0
+AGREEMENT = 8.0
 
 _HINT = re.compile("[0-9@]")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")

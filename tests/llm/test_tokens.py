@@ -1,0 +1,169 @@
+"""Byte-pair encoding, word pieces and n-gram scores."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from merchlens.llm import bpe, ngram_lm, wordpiece
+from tests.llm import corpus
+
+ODD = [
+    "<|endoftext|> a<|startoftext|>b <|endoftext",
+    "İSTANBUL ΣΑΣ ς x\x1cy a\xa0b\x85c \x00\x01 z",
+    "it's I'M don't''''s we'LL",
+    "日本語 テキスト ①② é é \U0001f600",
+    "ſ ǅ ªº ²³ ¼ µ ×÷",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def by_library(library, text: str | None) -> tuple[list[int], str]:
+    ids = library.encode(text or "", add_special_tokens=False).ids
+    return ids, library.decode(ids, skip_special_tokens=False)
+
+
+def random_texts(count: int) -> list[str]:
+    rng = random.Random(7)
+    near = "abcdeoinst THE'.,0é "
+    return [
+        "".join(
+            rng.choice(near)
+            if i % 2
+            else chr(rng.choice([rng.randrange(1, 0x250), rng.randrange(0x300, 0xD000)]))
+            for _ in range(80)
+        )
+        for i in range(count)
+    ]
+
+
+def test_tokens_equal_the_library(library, monkeypatch):
+    monkeypatch.setattr(bpe, "TRIE_CHARS", 4000)
+    monkeypatch.setattr(bpe, "REMEMBERED_WORDS", 500)
+    texts = [*corpus.texts(), *ODD, *random_texts(400)]
+    codec = bpe.Codec(bpe.read_tokenizer())
+    for text, (count, ids, decoded) in zip(texts, codec.encode(texts), strict=True):
+        wanted, back = by_library(library, text)
+        assert ([int(i) for i in ids.split()], decoded) == (wanted, back)
+        assert count == len(wanted)
+
+
+def test_encoded_rows(spark, library):
+    docs = corpus.table(spark)
+    got = Counter((r.doc_id, tuple(r.ids), r.decoded) for r in bpe.encoded(docs).collect())
+    wanted = Counter()
+    for doc_id, text, *_ in corpus.rows():
+        ids, decoded = by_library(library, text)
+        wanted[(doc_id, tuple(ids), decoded)] += 1
+    assert got == wanted
+    assert corpus.bag(bpe.encoded(corpus.clashing(docs), digests=True)) == corpus.bag(
+        bpe.encoded(docs, digests=True)
+    )
+    assert bpe.encoded(corpus.table(spark, [])).collect() == []
+
+
+def longest_match(word: str, starts: set[str], inner: set[str]) -> int:
+    """Pieces of a word by trying every length from the longest; 0 if one fails."""
+    at = count = 0
+    while at < len(word):
+        pieces = starts if at == 0 else inner
+        for end in range(len(word), at, -1):
+            if word[at:end] in pieces:
+                break
+        else:
+            return 0
+        at, count = end, count + 1
+    return count
+
+
+def test_automaton_equals_longest_match():
+    rng = random.Random(11)
+    for _ in range(200):
+        make = lambda n: "".join(rng.choice("ab") for _ in range(rng.randint(1, n)))
+        starts = {make(5) for _ in range(rng.randint(1, 8))}
+        inner = {make(5) for _ in range(rng.randint(1, 8))}
+        counter = wordpiece.PieceCounter(starts, inner)
+        for _ in range(60):
+            word = make(12)
+            assert counter.count(word) == longest_match(word, starts, inner), (word, starts, inner)
+
+
+def test_counts_of_rows(spark):
+    starts, inner = map(set, wordpiece.read_vocabulary())
+    docs = corpus.table(spark)
+    wanted = Counter()
+    for doc_id, text, *_ in corpus.rows():
+        words = [w.decode() for w in (text or "").encode().split()]
+        counts = [longest_match(w, starts, inner) if len(w) < 200 else None for w in words]
+        if None in counts:
+            continue
+        wanted[
+            (doc_id, len(words), sum(counts) + counts.count(0), counts.count(0))
+        ] += 1
+    got = Counter(map(tuple, wordpiece.token_counts(docs).collect()))
+    assert not wanted - got and sum(got.values()) == len(corpus.rows())
+    assert corpus.bag(wordpiece.token_counts(corpus.clashing(docs))) == corpus.bag(
+        wordpiece.token_counts(docs)
+    )
+    assert wordpiece.token_counts(corpus.table(spark, [])).collect() == []
+
+
+def scores(texts: list[str | None]) -> list[tuple]:
+    """Stupid backoff with the text itself left out, one word at a time."""
+    split = [(t or "").encode().lower().split() for t in texts]
+    grams = [
+        Counter(tuple(w[i : i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1)) for w in split
+    ]
+    everything = sum(grams, Counter())
+    total = sum(map(len, split))
+    rows = []
+    for words, own in zip(split, grams):
+        held = Counter()
+        logs = 0.0
+        for i in range(len(words)):
+            factor = 1.0
+            for k in range(min(3, i + 1), 0, -1):
+                gram = tuple(words[i - k + 1 : i + 1])
+                count = everything[gram] - own[gram]
+                if count or k == 1:
+                    below = everything[gram[:-1]] - own[gram[:-1]] if k > 1 else total - len(words)
+                    logs += math.log(factor * max(count, 1) / max(below, 1))
+                    held[k] += 1
+                    break
+                factor *= 0.4
+        rows.append((len(words), held[3], held[2], held[1], logs))
+    return rows
+
+
+def test_scores_equal_a_word_by_word_count(spark):
+    given = corpus.rows()
+    got = ngram_lm.backoff_scores(corpus.table(spark), buckets=5).collect()
+    wanted = [(r[0], *s) for r, s in zip(given, scores([r[1] for r in given]))]
+    key = lambda r: (r[0] is not None, r[0] or 0, *r[1:])
+    rows = sorted(
+        ((r.doc_id, r.n_words, r.n_trigram, r.n_bigram, r.n_unigram, r.log_score) for r in got),
+        key=key,
+    )
+    for row, expected in zip(rows, sorted(wanted, key=key), strict=True):
+        assert row[:5] == expected[:5] and row[5] == pytest.approx(expected[5], abs=1e-5)
+    for r in got:
+        assert (r.mean_log_score is None) == (r.n_words == 0)
+
+
+def test_scores_of_other_tables(spark):
+    docs = corpus.table(spark)
+    assert corpus.bag(ngram_lm.backoff_scores(corpus.clashing(docs), 3)) == corpus.bag(
+        ngram_lm.backoff_scores(docs, 8)
+    )
+    assert ngram_lm.backoff_scores(corpus.table(spark, [])).collect() == []
+    one = ngram_lm.backoff_scores(corpus.table(spark, corpus.rows()[:1])).first()
+    assert one.n_unigram == one.n_words and one.log_score < 0
