@@ -96,9 +96,12 @@ def delivery_mart(raw: RawTables) -> DataFrame:
             "order_delivered_customer_date",
             "delivery_days",
             "delivery_hours",
-            F.format_string("%d days %d hours", "delivery_days", "delivery_hours").alias(
-                "delivery_time"
-            ),
+            F.concat(
+                F.col("delivery_days").cast("string"),
+                F.lit(" days "),
+                F.col("delivery_hours").cast("string"),
+                F.lit(" hours"),
+            ).alias("delivery_time"),
         )
     )
 

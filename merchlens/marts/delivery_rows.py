@@ -32,9 +32,14 @@ class StoredDelivery:
 
 @dataclass(frozen=True)
 class FactoredDelivery:
-    """Delivery rows from the raw tables, one per order and combination of keys."""
+    """Delivery rows from the raw tables, one per order and combination of keys.
+
+    Set `keys_enforced` only for tables whose loader found no repeated key: orders are
+    then counted plainly, else distinct.
+    """
 
     tables: RawTables
+    keys_enforced: bool = False
 
     def rows(self, *keys: str) -> DataFrame:
         seller_keys = [key for key in keys if key in _SELLER_KEYS]
@@ -53,7 +58,7 @@ class FactoredDelivery:
         return orders.join(items, "order_id").select("order_id", "delivery_days", *keys, "items")
 
     def order_count(self) -> Column:
-        return F.count("order_id")
+        return F.count("order_id") if self.keys_enforced else F.count_distinct("order_id")
 
 
 Delivery = StoredDelivery | FactoredDelivery

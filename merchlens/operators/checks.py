@@ -24,9 +24,12 @@ def table_shapes(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, shapes)
 
 
-def schema_overview(frame: DataFrame, preview: int = 3) -> DataFrame:
-    """Type of each column and its values in the first few rows."""
-    head = frame.limit(preview).agg(
+def schema_overview(frame: DataFrame, order: Iterable[str] = (), preview: int = 3) -> DataFrame:
+    """Type of each column and its values in the first few rows by `order`.
+
+    Without an order rows go by all columns from the first on; NULL comes first.
+    """
+    head = frame.orderBy(*(list(order) or frame.columns)).limit(preview).agg(
         *(
             F.collect_list(F.coalesce(F.col(name).cast("string"), F.lit("NULL"))).alias(name)
             for name in frame.columns

@@ -24,13 +24,14 @@ def metric_value(name: str, sales: Sales) -> Column:
     An unknown metric has the value NULL.
     """
     turnover, net_revenue = F.sum("payment_value"), F.sum("price")
+    paid = sales.amount_kind("payment_value")
     orders, customers = sales.order_count(), F.count_distinct("customer_id")
     values = {
         "turnover": turnover,
         "net_revenue": net_revenue,
         "orders": orders,
         "customers": customers,
-        "aov": ratio(turnover, orders),
-        "arpu": ratio(turnover, customers),
+        "aov": ratio(turnover, orders, paid),
+        "arpu": ratio(turnover, customers, paid),
     }
     return values.get(metric_key(name), F.lit(None).cast("decimal(38,6)"))

@@ -23,6 +23,15 @@ def active(rows: DataFrame) -> DataFrame:
     return rows.where(~F.col("order_status").isin(*INACTIVE_STATUSES))
 
 
+def sold_in(sales: Sales, period: str, *keys: str) -> DataFrame:
+    """Sales rows of active orders bought within the period.
+
+    Orders are chosen first, so that raw items and payments of others are dropped
+    before they are added up, and stored months outside the period are not read.
+    """
+    return sales.rows(*keys, orders=lambda orders: in_period(active(orders), sales, period))
+
+
 def in_period(rows: DataFrame, sales: Sales, period: str) -> DataFrame:
     """Rows bought within the period; none when the period is unknown.
 

@@ -9,11 +9,17 @@ from __future__ import annotations
 import re
 from itertools import product
 
+from merchlens.catalog import ORDER_DATES, TABLES, dependants
 from merchlens.fixed_values import (
+    ABC_A_UNTIL,
+    ABC_B_UNTIL,
+    DELIVERED_STATUS,
     DELIVERY_BUCKET_BEYOND,
     DELIVERY_BUCKETS,
     INACTIVE_STATUSES,
+    LATE_DAYS,
     PERIOD_MONTHS,
+    PROBLEM_ROUTE_DAYS,
 )
 from merchlens.operators.metrics import METRICS
 from merchlens.operators.periods import PERIODS
@@ -30,10 +36,22 @@ _TABLES = {
                cast(s_suppkey % 100000 as integer) seller_zip_code_prefix,
                n_name || '-' || (s_suppkey % 3) seller_city, n_name seller_state
         from supplier join nation on s_nationkey = n_nationkey""",
-    "geolocation": "select seller_id from sellers",
+    "geolocation": """
+        select cast(s_suppkey % 100000 as integer) geolocation_zip_code_prefix,
+               cast(-s_nationkey as decimal(10,6)) geolocation_lat,
+               cast(s_nationkey as decimal(10,6)) geolocation_lng,
+               n_name || '-' || (s_suppkey % 3) geolocation_city, n_name geolocation_state
+        from supplier join nation on s_nationkey = n_nationkey""",
     "reviews": "select cast(event_id % 5 + 1 as integer) star_rating from events",
     "products": """
-        select cast(p_partkey as varchar) product_id, p_name product_category from part""",
+        select cast(p_partkey as varchar) product_id, p_name product_category,
+               cast(length(p_name) as integer) product_name_length,
+               cast(length(p_type) as integer) product_description_length,
+               cast(p_size % 7 as integer) product_photos_qty,
+               cast(p_size * 100 as decimal(10,2)) product_weight_g,
+               cast(p_size as decimal(6,2)) product_length_cm,
+               cast(p_size as decimal(6,2)) product_height_cm,
+               cast(p_size % 7 + 1 as decimal(6,2)) product_width_cm from part""",
     "shipped": "select l_orderkey, min(l_shipdate) first_ship from lineitem group by l_orderkey",
     "spans": """
         select o.*, date_diff('day', o_orderdate, first_ship) raw_d
@@ -57,6 +75,7 @@ _TABLES = {
     "items": """
         select cast(l_orderkey as varchar) order_id, l_linenumber order_item_id,
                cast(l_partkey as varchar) product_id, cast(l_suppkey as varchar) seller_id,
+               l_shipdate shipping_limit_date,
                cast(l_extendedprice as decimal(12,2)) price,
                cast(l_tax * 100 as decimal(5,2)) freight_value
         from lineitem""",
@@ -72,7 +91,7 @@ _TABLES = {
     "sales": """
         select order_id, order_purchase_timestamp, order_status, product_category, customer_id,
                customer_city, customer_state, seller_city, seller_state, price, freight_value,
-               payment_type, payment_value
+               payment_type, payment_value, product_id, seller_id
         from items join placed using (order_id) join payments using (order_id)
              join customers using (customer_id) join products using (product_id)
              join sellers using (seller_id)""",
@@ -178,7 +197,8 @@ def _pareto(key: str) -> str:
     return f"""(
         select *, {_share("cents", "total_cents", 3)} pct_total,
                {_share("running", "total_cents", 3)} cumulative_pct,
-               case when cumulative_pct <= 80 then 'A' when cumulative_pct <= 95 then 'B'
+               case when cumulative_pct <= {ABC_A_UNTIL} then 'A'
+                    when cumulative_pct <= {ABC_B_UNTIL} then 'B'
                     else 'C' end abc_group
         from (select k.*, {_cents("revenue")} cents, {_cents("total_revenue")} total_cents,
                      {_cents("(select sum(o.revenue) from per_key o where o.revenue >= k.revenue)")}
@@ -204,14 +224,15 @@ def _abc_queries() -> dict[str, str]:
                 from PARETO""",
         )
 
-    def classes(key: str) -> str:
+    def classes(key: str, extra: str = "") -> str:
         members = _labelled("members", "members", "sum(members) over ()")
         revenue = _labelled("class_revenue", "class_cents", "sum(class_cents) over ()")
         return over(
             key,
             f"""select abc_group, {members.replace("sum(members) over ()", "all_members")} members,
                        {revenue.replace("sum(class_cents) over ()", "all_cents")} revenue,
-                       cast(cash_flow as double) cash_flow, cast(orders as bigint) orders, aov
+                       cast(cash_flow as double) cash_flow, cast(orders as bigint) orders,
+                       aov{extra}
                 from (select *, cast(sum(members) over () as bigint) all_members,
                              cast(sum(class_cents) over () as hugeint) all_cents
                       from (select abc_group, count({key}) members, sum(revenue) class_revenue,
@@ -225,7 +246,12 @@ def _abc_queries() -> dict[str, str]:
     return {
         "pareto_category": pareto("product_category"),
         "pareto_state": pareto("customer_state"),
+        "pareto_product": pareto("product_id"),
+        "pareto_seller": pareto("seller_id"),
         "abc_category": classes("product_category"),
+        "abc_category_amount": classes(
+            "product_category", ", cast(class_revenue as double) revenue_amount"
+        ),
         "abc_state": classes("customer_state"),
         "abc_category_revenue": over(
             "product_category",
@@ -244,7 +270,7 @@ def _abc_queries() -> dict[str, str]:
 def _sales_queries() -> dict[str, str]:
     return {
         "mart_sales": _query(
-            "select * replace (cast(price as double) as price, "
+            "select * exclude (product_id, seller_id) replace (cast(price as double) as price, "
             "cast(freight_value as double) as freight_value, "
             "cast(payment_value as double) as payment_value) from sales"
         ),
@@ -252,7 +278,7 @@ def _sales_queries() -> dict[str, str]:
             "select customer_id, customer_unique_id, customer_state, customer_city, payment_type, "
             "payment_installments, cast(payment_value as double) payment_value, order_id, "
             "order_purchase_timestamp from customers join placed using (customer_id) "
-            "join payments using (order_id) where order_status = 'delivered'"
+            f"join payments using (order_id) where order_status = '{DELIVERED_STATUS}'"
         ),
         "sales_monthly": _query(
             "select cast(date_trunc('month', order_purchase_timestamp) as timestamp) as month, "
@@ -264,8 +290,16 @@ def _sales_queries() -> dict[str, str]:
             + ", ".join(f"{_METRIC_SQL[metric]} as {metric}" for metric in METRICS)
             + " from sold group by 1"
         ),
-        "kpi_unknown_metric": "select cast(null as double) as value",
-        "kpi_unknown_period": "select cast(0 as bigint) as value",
+        "kpi_unknown_metric": _query(
+            f"select customer_state, cast(null as double) as value {_recent('last_year')} group by 1"
+        ),
+        "kpi_unknown_period": _query(
+            " union all ".join(
+                f"select '{period}' as period, count(distinct order_id) as value {_recent(period)}"
+                for period in PERIODS
+            )
+            + " union all select 'unknown', 0"
+        ),
     }
 
 
@@ -280,7 +314,7 @@ def _delivery_queries() -> dict[str, str]:
     return {
         "mart_delivery": _query("select * from delivery"),
         "late_share": _query(
-            "select cast(100 * count(distinct case when delivery_days > 14 then order_id end) "
+            f"select cast(100 * count(distinct case when delivery_days > {LATE_DAYS} then order_id end) "
             "// count(distinct order_id) as double) / 100 as late_share from delivery"
         ),
         "delivery_trend": _query(
@@ -300,7 +334,7 @@ def _delivery_queries() -> dict[str, str]:
         "problem_routes": _query(
             "select * from (select seller_city || ' -> ' || customer_city route, seller_state, "
             f"customer_state, {days} avg_delivery_days, count(distinct order_id) orders "
-            "from delivery group by 1, 2, 3) where avg_delivery_days > 90"
+            f"from delivery group by 1, 2, 3) where avg_delivery_days > {PROBLEM_ROUTE_DAYS}"
         ),
         "fastest_cities": _query(
             f"select seller_city, {days} avg_delivery_days, count(distinct order_id) deliveries "
@@ -336,32 +370,56 @@ def _check_queries() -> dict[str, str]:
         "order_items.seller_id": ("items", "sellers", "seller_id"),
         "payments.order_id": ("payments", "placed", "order_id"),
     }
-    dates = (
-        "order_purchase_timestamp",
-        "order_approved_at",
-        "order_delivered_carrier_date",
-        "order_delivered_customer_date",
-        "order_estimated_delivery_date",
-    )
     counted = (
         ("customers", "customer_unique_id", "customers"),
         ("sellers", "seller_id", "sellers"),
         ("products", "product_id", "products"),
     )
 
+    layouts = {name: dict(spec.columns) for name, spec in TABLES.items()}
+    layouts["reviews"] = {"star_rating": "int"}
+
+    emptied = ("customers", *dependants(TABLES, "customers"))
+
     def stacked(parts) -> str:
         return _query(" union all ".join(parts))
 
+    def previews():
+        """First three rows by key and then all columns; texts, amounts and times as Spark's."""
+        wider = {"price": "decimal(12,2)", "payment_value": "decimal(12,2)"}
+        for name, columns in layouts.items():
+            key = TABLES[name].primary_key if name in TABLES else ()
+            # The preview reads orders without the date that line items give.
+            hidden = " replace (cast(null as timestamp) as order_delivered_customer_date)"
+            rows = f"select *{hidden if name == 'orders' else ''} from {shapes[name][0]}"
+            order = [*key, *(column for column in columns if column not in key)]
+            by = ", ".join(f"{column} nulls first" for column in order)
+            for column, kind in columns.items():
+                shown = f"coalesce(cast({column} as varchar), 'NULL')"
+                kind = "string" if kind.startswith("varchar") else wider.get(column, kind)
+                yield (
+                    f"select '{name}' table_name, '{column}' column_name, '{kind}' data_type, "
+                    f"string_agg({shown}, ', ' order by place) preview from (select *, "
+                    f"row_number() over (order by {by}) place from ({rows})) where place <= 3"
+                )
+
     return {
         "dq_shapes": stacked(
             f"select '{name}' table_name, count(*) as rows, cast({cols} as bigint) cols from {table}"
             for name, (table, cols) in shapes.items()
         ),
+        "dq_schema_preview": stacked(previews()),
         "dq_missing": _query(
-            "select 'orders' table_name, 'order_delivered_customer_date' column_name, "
-            "count(*) filter (where order_delivered_customer_date is null) missing, "
-            "round_even(missing / cast(count(*) as double) * 100, 2) percent "
-            "from placed having missing > 0"
+            "select * from ("
+            + " union all ".join(
+                f"select '{name}' table_name, '{column}' column_name, "
+                f"count(*) filter (where {column} is null) missing, "
+                "round_even(missing / cast(count(*) as double) * 100, 2) percent "
+                f"from {shapes[name][0]}"
+                for name, columns in layouts.items()
+                for column in columns
+            )
+            + ") where missing > 0"
         ),
         "dq_pk": stacked(
             f"select '{name}' table_name, '{key}' as key, count(*) unique_keys, "
@@ -378,7 +436,7 @@ def _check_queries() -> dict[str, str]:
         ),
         "dq_date_ranges": stacked(
             f"select '{name}' column_name, min({name}) earliest, max({name}) latest from placed"
-            for name in dates
+            for name in ORDER_DATES
         ),
         "value_counts_status": _query("select order_status, count(*) as rows from placed group by 1"),
         "value_counts_payment_type": _query(
@@ -413,10 +471,32 @@ def _check_queries() -> dict[str, str]:
                 if name in keys
                 else "cast(0 as bigint)"
             )
-            + f" duplicate_rows, cast(0 as bigint) orphan_keys from {table}"
+            + f" duplicate_rows, cast(0 as bigint) orphan_keys, cast(0 as bigint) trimmed "
+            f"from {table}"
             for name, (table, _) in shapes.items()
             if name != "reviews"
         ),
+        "load_enforced": stacked(
+            f"select '{name}' table_name, count(*) as rows, cast(0 as bigint) duplicate_rows, "
+            f"cast(0 as bigint) orphan_keys from {shapes[name][0]}"
+            for name in TABLES
+        ),
+        "load_rejected": stacked(
+            f"select '{name}' table_name, count(*) as rows, cast(0 as bigint) lost, "
+            f"cast({int(name == 'order_items')} as bigint) refused from {shapes[name][0]}"
+            for name in TABLES
+        ),
+        "truncate_cascade": stacked(
+            f"select '{name}' table_name, "
+            + ("0 * count(*)" if name in emptied else "count(*)")
+            + f" as rows from {shapes[name][0]}"
+            for name in TABLES
+        ),
+        "stored_turnover_by_month": _query(
+            "select cast(date_trunc('month', order_purchase_timestamp) as date) as month, "
+            "cast(sum(payment_value) as double) turnover from sales "
+            "where order_purchase_timestamp >= timestamp '1997-01-01' group by 1"
+        ),
     }
 
 
@@ -434,9 +514,20 @@ def oracle_sql() -> dict[str, str]:
         "kpi_trend_aov_last_year",
         "top_categories_customers_last_quarter",
         "payment_methods",
+        "kpi_by_state_turnover_last_month",
+        "kpi_by_state_arpu_last_year",
         "abc_category",
+        "abc_category_revenue",
+        "abc_state",
+        "abc_state_detail",
+        "pareto_category",
+        "pareto_state",
         "late_share",
+        "delivery_trend",
+        "delivery_median",
         "delivery_by_state",
+        "delivery_histogram",
+        "fastest_cities",
         "problem_routes",
     ):
         found[f"stored_{name}"] = found[name]

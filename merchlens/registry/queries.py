@@ -15,7 +15,13 @@ from merchlens.marts import delivery_mart, purchasing_power_mart, sales_mart
 from merchlens.operators import checks
 from merchlens.operators.metrics import METRICS
 from merchlens.operators.periods import PERIODS
-from merchlens.registry.stored import land_and_load, stored_warehouse
+from merchlens.registry.stored import (
+    cascaded_truncate,
+    land_and_load,
+    load_enforced,
+    load_rejected,
+    stored_warehouse,
+)
 from merchlens.reports import abc, logistics, profile, sales
 from merchlens.session import configure
 from merchlens.sources import sample_tables, with_deliveries
@@ -60,23 +66,40 @@ _models: dict[tuple[str, str, str], RawTables] = {}
 
 def _model(model: Callable, spark: SparkSession, folder: str) -> RawTables:
     """The plans of the sample tables, made once in a session. They hold no rows."""
-    made = (model.__name__, spark.sparkContext.applicationId, folder)
+    application = spark.sparkContext.applicationId
+    for stopped in [key for key in _models if key[1] != application]:
+        del _models[stopped]
+    made = (model.__name__, application, folder)
     if made not in _models:
         _models[made] = model(spark, folder)
     return _models[made]
 
 
+def _with_unknown_period(raw: RawTables) -> DataFrame:
+    """Orders of each trailing period, and of one that nobody knows."""
+    found = [
+        sales.kpi(raw, "orders", period).select(F.lit(period).alias("period"), "value")
+        for period in (*PERIODS, "unknown")
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def _sales_queries() -> dict[str, Callable[[RawTables], DataFrame]]:
     found = {
         "mart_sales": sales_mart,
         "mart_purchasing_power": purchasing_power_mart,
         "sales_monthly": sales.sales_monthly,
         "payment_methods": sales.payment_methods,
-        "kpi_unknown_metric": lambda raw: sales.kpi(raw, "unknown", "last_year"),
-        "kpi_unknown_period": lambda raw: sales.kpi(raw, "orders", "unknown"),
+        "kpi_unknown_metric": lambda raw: sales.kpi_by_state(raw, "unknown", "last_year"),
+        "kpi_unknown_period": _with_unknown_period,
         "pareto_category": lambda raw: abc.pareto(raw, "product_category"),
         "pareto_state": lambda raw: abc.pareto(raw, "customer_state"),
+        "pareto_product": lambda raw: abc.pareto(raw, "product_id"),
+        "pareto_seller": lambda raw: abc.pareto(raw, "seller_id"),
         "abc_category": lambda raw: abc.abc_classes(raw, "product_category"),
+        "abc_category_amount": lambda raw: abc.abc_classes(
+            raw, "product_category", with_amount=True
+        ),
         "abc_category_revenue": lambda raw: abc.abc_revenue(raw, "product_category"),
         "abc_state": lambda raw: abc.abc_classes(raw, "customer_state", by_label=False),
         "abc_state_detail": lambda raw: abc.abc_detail(raw, "customer_state"),
@@ -108,8 +131,7 @@ def _delivery_queries() -> dict[str, Callable[[RawTables], DataFrame]]:
 def _check_queries() -> dict[str, Callable[[RawTables], DataFrame]]:
     return {
         "dq_shapes": lambda raw: checks.table_shapes(raw.present()),
-        "dq_schema_preview": lambda raw: _each_table(raw, checks.schema_overview),
-        "dq_missing": lambda raw: _each_table(raw, checks.missing_values),
+        "dq_missing": lambda raw: _each_table(raw, lambda _, frame: checks.missing_values(frame)),
         "dq_pk": checks.pk_checks,
         "dq_fk": checks.fk_checks,
         "dq_date_ranges": lambda raw: checks.date_ranges(raw.orders),
@@ -120,6 +142,8 @@ def _check_queries() -> dict[str, Callable[[RawTables], DataFrame]]:
 
 def _profile_queries() -> dict[str, Callable[[RawTables], DataFrame]]:
     return {
+        # Without customer delivery dates, which would need every line item.
+        "dq_schema_preview": lambda raw: _each_table(raw, _preview),
         "total_revenue": lambda raw: profile.total_revenue(raw.order_items),
         "avg_order_value_items": lambda raw: profile.avg_order_value_items(raw.order_items),
         "entity_counts": profile.entity_counts,
@@ -141,12 +165,27 @@ def _stored_queries() -> dict[str, Query]:
         ),
         "stored_payment_methods": sales.payment_methods,
         "stored_abc_category": lambda s: abc.abc_classes(s, "product_category"),
+        "stored_abc_category_revenue": lambda s: abc.abc_revenue(s, "product_category"),
+        "stored_abc_state": lambda s: abc.abc_classes(s, "customer_state", by_label=False),
+        "stored_abc_state_detail": lambda s: abc.abc_detail(s, "customer_state"),
+        "stored_pareto_category": lambda s: abc.pareto(s, "product_category"),
+        "stored_pareto_state": lambda s: abc.pareto(s, "customer_state"),
     }
+    for metric, period in (("turnover", "last_month"), ("arpu", "last_year")):
+        on_sales[f"stored_kpi_by_state_{metric}_{period}"] = lambda s, m=metric, p=period: (
+            sales.kpi_by_state(s, m, p)
+        )
     on_delivery = {
         "stored_late_share": logistics.late_share,
         "stored_delivery_by_state": logistics.delivery_by_state,
+        "stored_delivery_histogram": logistics.delivery_histogram,
+        "stored_fastest_cities": logistics.fastest_cities,
         "stored_problem_routes": logistics.problem_routes,
     }
+    on_orders = {
+        "stored_delivery_trend": logistics.delivery_trend,
+        "stored_delivery_median": logistics.delivery_median,
+    }
 
     def sales_query(run) -> Query:
         return lambda spark, folder: plain(run(stored_warehouse(spark, folder).sales()))
@@ -154,17 +193,43 @@ def _stored_queries() -> dict[str, Query]:
     def delivery_query(run) -> Query:
         return lambda spark, folder: plain(run(stored_warehouse(spark, folder).delivery()))
 
+    def orders_query(run) -> Query:
+        return lambda spark, folder: plain(run(stored_warehouse(spark, folder).tables().orders))
+
+    def pruned_sql(spark: SparkSession, folder: str) -> DataFrame:
+        """Turnover by month from the view of the mart, as a SQL user would ask for it."""
+        view = f"{stored_warehouse(spark, folder).dm}.sales"
+        return plain(
+            spark.sql(
+                "select purchase_month as month, sum(payment_value) as turnover "
+                f"from {view} where purchase_month >= date'1997-01-01' group by purchase_month"
+            )
+        )
+
     return {
         "load_roundtrip": land_and_load,
+        "load_enforced": load_enforced,
+        "load_rejected": load_rejected,
+        "truncate_cascade": cascaded_truncate,
+        "stored_turnover_by_month": pruned_sql,
+        **{name: orders_query(run) for name, run in on_orders.items()},
         **{name: sales_query(run) for name, run in on_sales.items()},
         **{name: delivery_query(run) for name, run in on_delivery.items()},
     }
 
 
-def _each_table(raw: RawTables, check: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _each_table(raw: RawTables, check: Callable[[str, DataFrame], DataFrame]) -> DataFrame:
     found = [
-        check(frame).select(F.lit(name).alias("table_name"), "*")
+        check(name, frame).select(F.lit(name).alias("table_name"), "*")
         for name, frame in raw.present().items()
-        if name in TABLES
     ]
     return reduce(DataFrame.unionByName, found)
+
+
+def _preview(name: str, frame: DataFrame) -> DataFrame:
+    """The overview of a table by its key, with the first values as one text."""
+    key = TABLES[name].primary_key if name in TABLES else ()
+    # The sample repeats item numbers, so all columns settle the order.
+    order = [*key, *(column for column in frame.columns if column not in key)]
+    overview = checks.schema_overview(frame, order)
+    return overview.withColumn("preview", F.array_join("preview", ", "))

@@ -3,44 +3,130 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from merchlens.catalog import TABLES
-from merchlens.session import configure, new_shared_folder
-from merchlens.sinks import Warehouse, land_csv
-from merchlens.sources import read_raw, sample_specs, with_deliveries
+from merchlens.catalog import TABLES, RawTables
+from merchlens.session import configure, delete_folder, warehouse_folder
+from merchlens.sinks import ConstraintError, Warehouse, land_csv
+from merchlens.sources import read_raw, sample_specs, sample_tables, with_deliveries
 
-_built: dict[tuple[str, str], Warehouse] = {}
+_built: dict[str, Warehouse] = {}
 
 
 def land_and_load(spark: SparkSession, folder: str) -> DataFrame:
     """Write every raw table as CSV, read the files back typed, and load them.
 
     Keys and references are counted rather than enforced: the sample has item
-    numbers that repeat within an order.
+    numbers that repeat within an order. Sellers' cities get blanks at their edges,
+    which have to survive. What was written is dropped again.
     """
-    return _load(configure(spark), folder)[1]
+    configure(spark)
+    tables = with_deliveries(spark, folder)
+    padded = tables.sellers.withColumn("seller_city", F.concat(F.lit("  "), "seller_city"))
+    root, house, report = _load(spark, tables.replace(sellers=padded))
+    edges = house.tables().sellers.where(~F.col("seller_city").startswith("  ")).count()
+    _drop(spark, root, house)
+    return report.withColumn(
+        "trimmed", F.when(F.col("table_name") == "sellers", edges).otherwise(0).cast("bigint")
+    )
+
+
+def load_enforced(spark: SparkSession, folder: str) -> DataFrame:
+    """A load with keys and references enforced, and the sales it then reports.
+
+    Items are numbered anew within their orders, so that their keys are unique.
+    """
+    configure(spark)
+    root, house, report = _load(spark, _numbered(with_deliveries(spark, folder)), enforce=True)
+    _drop(spark, root, house)
+    return report
+
+
+def load_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left after a load that its item keys forbid: rows of every table, and why."""
+    configure(spark)
+    root, house, _ = _load(spark, _numbered(sample_tables(spark, folder)), enforce=True)
+    broken = sample_tables(spark, folder).order_items
+    repeated = broken.withColumn("order_item_id", F.lit(1))
+    kept = {name: spark.table(f"{house.raw}.{name}").count() for name in TABLES}
+    try:
+        house.load_table("order_items", repeated)
+        refused = 0
+    except ConstraintError:
+        refused = 1
+    after = {name: spark.table(f"{house.raw}.{name}").count() for name in TABLES}
+    _drop(spark, root, house)
+    return spark.createDataFrame(
+        [
+            (name, after[name], kept[name] - after[name], refused * (name == "order_items"))
+            for name in TABLES
+        ],
+        "table_name string, rows bigint, lost bigint, refused bigint",
+    )
+
+
+def cascaded_truncate(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of every table after customers are emptied, and with them all that needs them."""
+    configure(spark)
+    root, house, _ = _load(spark, sample_tables(spark, folder))
+    house.truncate("customers")
+    counts = [(name, spark.table(f"{house.raw}.{name}").count()) for name in TABLES]
+    _drop(spark, root, house)
+    return spark.createDataFrame(counts, "table_name string, rows bigint")
 
 
 def stored_warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    """A loaded warehouse with marts, built on first use in a session."""
-    built = (spark.sparkContext.applicationId, folder)
+    """A loaded warehouse with marts, built on first use in a session; see `release`."""
+    configure(spark)
+    application = spark.sparkContext.applicationId
+    for made in [key for key in _built if not key.startswith(application)]:
+        del _built[made]
+    built = f"{application} {folder}"
     if built not in _built:
-        warehouse, _ = _load(configure(spark), folder)
+        _, warehouse, _ = _load(spark, with_deliveries(spark, folder))
         warehouse.build_marts()
         _built[built] = warehouse
     return _built[built]
 
 
-def _load(spark: SparkSession, folder: str) -> tuple[Warehouse, DataFrame]:
-    tables = with_deliveries(spark, folder)
+def release(spark: SparkSession) -> None:
+    """Drop the warehouses that stored queries of this session have built."""
+    application = spark.sparkContext.applicationId
+    for made in [key for key in _built if key.startswith(application)]:
+        _built.pop(made).drop()
+
+
+def _numbered(tables: RawTables) -> RawTables:
+    """Items numbered 1, 2, ... within their order."""
+    within = Window.partitionBy("order_id").orderBy("order_item_id", "product_id", "seller_id")
+    return tables.replace(
+        order_items=tables.order_items.withColumn("order_item_id", F.row_number().over(within))
+    )
+
+
+def _load(
+    spark: SparkSession, tables: RawTables, enforce: bool = False
+) -> tuple[str, Warehouse, DataFrame]:
+    """Land all tables at once, then load them below the session's warehouse folder."""
     specs = sample_specs()
-    root = new_shared_folder(spark, "warehouse")
-    landed = {name: land_csv(getattr(tables, name), f"{root}/landing", name) for name in TABLES}
+    root = warehouse_folder(spark, "sample")
+    frames = {name: getattr(tables, name) for name in TABLES}
+    with ThreadPoolExecutor(4) as pool:
+        paths = pool.map(lambda name: land_csv(frames[name], f"{root}/landing", name), TABLES)
+        landed = dict(zip(TABLES, paths))
     tag = uuid.uuid4().hex[:8]
     warehouse = Warehouse(spark, root, specs, raw=f"raw_{tag}", dm=f"dm_{tag}")
     report = warehouse.load_all(
-        lambda name: read_raw(spark, landed[name], specs[name]), enforce=False
+        lambda name: read_raw(spark, landed[name], specs[name]), enforce=enforce
     )
-    return warehouse, report
+    delete_folder(spark, f"{root}/landing")
+    return root, warehouse, report
+
+
+def _drop(spark: SparkSession, root: str, warehouse: Warehouse) -> None:
+    warehouse.drop()
+    delete_folder(spark, root)

@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from merchlens.fixed_values import ABC_A_UNTIL, ABC_B_UNTIL
 from merchlens.functions import percent, ratio, with_percent
 from merchlens.marts.sales_rows import as_sales
 from merchlens.operators.periods import active
-from merchlens.operators.running_total import WINDOW_ROWS, running_total
-from merchlens.session import ensure_checkpoint_dir
+from merchlens.operators.running_total import running_total
 
 
-def pareto(sales, key: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """Revenue of each key value with its share and its cumulative share.
-
-    One row per key value is checkpointed before the totals are taken: the sales
-    rows are then joined and summed once, and however many key values there are,
-    reading them again for the totals is cheap.
-    """
+def revenue_by(sales, key: str) -> DataFrame:
+    """Revenue, turnover and orders of each key value."""
     source = as_sales(sales)
-    groups = (
+    return (
         active(source.rows(key))
         .groupBy(key)
         .agg(
@@ -31,21 +27,37 @@ def pareto(sales, key: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
             source.order_count().alias("orders"),
         )
     )
-    ensure_checkpoint_dir(groups.sparkSession)
-    groups = groups.checkpoint()
+
+
+def release(sales, key: str) -> None:
+    """Drop the rows per key value that reports over `key` have kept on disk."""
+    revenue_by(sales, key).unpersist()
+
+
+def pareto(sales, key: str) -> DataFrame:
+    """Revenue of each key value with its share and its cumulative share.
+
+    Building the report runs nothing. One row per key value is kept on the executors'
+    disks when the report first runs, so that the sales rows are joined and summed once
+    although totals and rows read the result several times. The kept rows have their
+    lineage, so losing an executor costs their recomputation; they serve later reports
+    over the same rows and key, until `release`, or `spark.catalog.clearCache()`.
+    """
+    kind = as_sales(sales).amount_kind("price")
+    groups = revenue_by(sales, key).persist(StorageLevel.DISK_ONLY)
     total = groups.agg(F.sum("revenue")).scalar()
     return (
-        running_total(groups, "revenue", window_rows)
+        running_total(groups, "revenue")
         .withColumn("total_revenue", total)
         .select(
             key,
             "revenue",
             "total_revenue",
-            percent(F.col("revenue"), F.col("total_revenue"), 3).alias("pct_total"),
-            percent(F.col("running"), F.col("total_revenue"), 3).alias("cumulative_pct"),
+            percent(F.col("revenue"), F.col("total_revenue"), 3, kind).alias("pct_total"),
+            percent(F.col("running"), F.col("total_revenue"), 3, kind).alias("cumulative_pct"),
             "cash_flow",
             "orders",
-            ratio(F.col("revenue"), F.col("orders")).alias("aov"),
+            ratio(F.col("revenue"), F.col("orders"), kind).alias("aov"),
         )
     )
 
@@ -57,15 +69,17 @@ def abc_group() -> Column:
 
 
 def abc_classes(
-    sales, key: str, by_label: bool = True, window_rows: int = WINDOW_ROWS
+    sales, key: str, by_label: bool = True, with_amount: bool = False
 ) -> DataFrame:
     """Summary of each class: members, revenue, turnover, orders and mean order value.
 
     Rows are ordered by the text of the revenue label, or by class when not
-    `by_label`.
+    `by_label`. The label sorts as text; `with_amount` adds the revenue as a number and
+    sorts by it, largest first.
     """
+    kind = as_sales(sales).amount_kind("price")
     classes = (
-        pareto(sales, key, window_rows)
+        pareto(sales, key)
         .groupBy(abc_group().alias("abc_group"))
         .agg(
             F.count(key).alias("member_count"),
@@ -80,31 +94,35 @@ def abc_classes(
     members, revenue = F.col("member_count"), F.col("class_revenue")
     labelled = classes.select(
         "abc_group",
-        with_percent(members, percent(members, F.sum(members).over(every), 2)).alias("members"),
-        with_percent(revenue, percent(revenue, F.sum(revenue).over(every), 2)).alias("revenue"),
+        with_percent(members, percent(members, F.sum(members).over(every), 2, T.LongType())).alias("members"),
+        with_percent(revenue, percent(revenue, F.sum(revenue).over(every), 2, kind)).alias("revenue"),
         "cash_flow",
         "orders",
         "aov",
+        *([revenue.alias("revenue_amount")] if with_amount else []),
     )
+    if with_amount:
+        return labelled.orderBy(F.desc_nulls_first("revenue_amount"), "abc_group")
     if by_label:
         return labelled.orderBy(F.asc_nulls_last("revenue"))
     return labelled.orderBy("abc_group", F.desc_nulls_first("cash_flow"))
 
 
-def abc_revenue(sales, key: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
+def abc_revenue(sales, key: str) -> DataFrame:
     """Revenue of each class."""
     return (
-        pareto(sales, key, window_rows)
+        pareto(sales, key)
         .groupBy(abc_group().alias("abc_group"))
         .agg(F.sum("revenue").alias("revenue"))
     )
 
 
-def abc_detail(sales, key: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
+def abc_detail(sales, key: str) -> DataFrame:
     """Every key value in its class, with its share of all revenue."""
-    share = percent(F.col("revenue"), F.col("total_revenue"), 2)
+    kind = as_sales(sales).amount_kind("price")
+    share = percent(F.col("revenue"), F.col("total_revenue"), 2, kind)
     return (
-        pareto(sales, key, window_rows)
+        pareto(sales, key)
         .select(
             abc_group().alias("abc_group"),
             key,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from merchlens.functions import month_start, ratio
 from merchlens.marts.sales_rows import as_sales
 from merchlens.operators.metrics import metric_value
-from merchlens.operators.periods import active, in_period, period_bucket
+from merchlens.operators.periods import active, period_bucket, sold_in
 
 
 def sales_monthly(sales) -> DataFrame:
@@ -30,7 +30,7 @@ def sales_monthly(sales) -> DataFrame:
 def kpi(sales, metric: str, period: str) -> DataFrame:
     """One metric over one trailing period, in one row."""
     source = as_sales(sales)
-    rows = in_period(active(source.rows()), source, period)
+    rows = sold_in(source, period)
     return rows.agg(metric_value(metric, source).alias("value"))
 
 
@@ -38,7 +38,7 @@ def kpi_trend(sales, metric: str, period: str) -> DataFrame:
     """One metric over one trailing period, by month for the year, else by week."""
     source = as_sales(sales)
     return (
-        in_period(active(source.rows()), source, period)
+        sold_in(source, period)
         .groupBy(period_bucket(period).alias("period_date"))
         .agg(metric_value(metric, source).alias("value"))
         .orderBy(F.asc_nulls_last("period_date"))
@@ -49,7 +49,7 @@ def kpi_by_state(sales, metric: str, period: str) -> DataFrame:
     """One metric over one trailing period, by state of the customer."""
     source = as_sales(sales)
     return (
-        in_period(active(source.rows("customer_state")), source, period)
+        sold_in(source, period, "customer_state")
         .groupBy("customer_state")
         .agg(metric_value(metric, source).alias("value"))
         .orderBy(F.asc_nulls_last("customer_state"))
@@ -60,7 +60,7 @@ def top_categories(sales, metric: str, period: str, top: int = 10) -> DataFrame:
     """Product categories with the highest metric; NULL metrics come first."""
     source = as_sales(sales)
     return (
-        in_period(active(source.rows("product_category")), source, period)
+        sold_in(source, period, "product_category")
         .groupBy("product_category")
         .agg(metric_value(metric, source).alias("value"))
         .orderBy(F.desc_nulls_first("value"), F.asc_nulls_last("product_category"))
@@ -71,19 +71,20 @@ def top_categories(sales, metric: str, period: str, top: int = 10) -> DataFrame:
 def payment_methods(sales) -> DataFrame:
     """Six measures per payment method, over all time.
 
-    Rows are collapsed per order first: counting orders is then a plain count and
-    only customers need a distinct one, so no row is expanded.
+    Rows of clean tables and stored marts are collapsed per order first: counting orders
+    is then a plain count and only customers need a distinct one, so no row is expanded.
     """
-    rows = active(as_sales(sales).per_order("payment_type"))
-    turnover = F.sum("payment_value")
-    orders, customers = F.count("order_id"), F.count_distinct("customer_id")
+    source = as_sales(sales)
+    rows = active(source.per_order("payment_type"))
+    turnover, paid = F.sum("payment_value"), source.amount_kind("payment_value")
+    orders, customers = source.collapsed_count(), F.count_distinct("customer_id")
     return (
         rows.groupBy("payment_type")
         .agg(
             turnover.alias("turnover"),
             F.sum("price").alias("net_revenue"),
-            ratio(turnover, orders).alias("aov"),
-            ratio(turnover, customers).alias("arpu"),
+            ratio(turnover, orders, paid).alias("aov"),
+            ratio(turnover, customers, paid).alias("arpu"),
             orders.alias("orders"),
             customers.alias("customers"),
         )

@@ -1,4 +1,4 @@
-"""Session settings and the shared folder."""
+"""Session settings and shared folders."""
 
 from __future__ import annotations
 
@@ -43,6 +43,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def warehouse_folder(spark: SparkSession, purpose: str) -> str:
+    """Path of a fresh folder below the session's warehouse, which executors share."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job wrote, in whatever store it is."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def new_shared_folder(spark: SparkSession, purpose: str) -> str:
     """Path of a fresh folder for written tables, below the checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/{purpose}-{uuid.uuid4().hex}"

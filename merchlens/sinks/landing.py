@@ -2,18 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchlens.catalog import TABLES
 
 
-def land_csv(frame: DataFrame, folder: str, table: str) -> str:
+def land_csv(frame: DataFrame, folder: str, table: str, multi_line: bool | None = None) -> str:
     """Write `<folder>/<table>.csv` in parallel parts, replacing an earlier copy.
 
-    Columns get their file names back, and quotes are doubled, as the reader expects.
+    Columns get their file names back, quotes are doubled as the reader expects, and
+    blanks at the edges of texts stay. A text with a line break stops the job, unless the
+    catalogue or `multi_line` says that the table is read with such texts. An empty text
+    is read back as missing, as the reader takes it.
     """
     path = f"{folder.rstrip('/')}/{table}.csv"
-    renames = TABLES[table].renames if table in TABLES else {}
-    named = frame.withColumnsRenamed({column: name for name, column in renames.items()})
-    named.write.mode("overwrite").options(header=True, escape='"').csv(path)
+    spec = TABLES.get(table)
+    if multi_line is None:
+        multi_line = spec.multi_line if spec else False
+
+    def whole(field: T.StructField) -> Column:
+        text = F.col(field.name)
+        if multi_line or not isinstance(field.dataType, T.StringType):
+            return text
+        problem = F.concat(F.lit(f"{table}.{field.name}: a line break in: "), text)
+        broken = text.contains("\n") | text.contains("\r")
+        return F.when(broken, F.raise_error(problem)).otherwise(text).alias(field.name)
+
+    kept = frame.select(*(whole(field) for field in frame.schema))
+    renames = spec.renames if spec else {}
+    named = kept.withColumnsRenamed({column: name for name, column in renames.items()})
+    options = {
+        "header": True,
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    named.write.mode("overwrite").options(**options).csv(path)
     return path

@@ -20,7 +20,7 @@ def database_options(url: str, table: str, **connection: str) -> dict[str, str]:
     }
 
 
-def write_database(frame: DataFrame, url: str, table: str, writers: int = 8, **connection: str):
-    """Replace the rows of a table, with at most `writers` connections at a time."""
+def write_database(frame: DataFrame, url: str, table: str, writers: int, **connection: str):
+    """Replace the rows of a table, with as many connections as the database can take."""
     options = database_options(url, table, numPartitions=str(writers), **connection)
     frame.write.format("jdbc").mode("overwrite").options(**options).save()

@@ -30,6 +30,8 @@ from merchlens.marts.sales_rows import STORED_MONTH
 
 _VERSION = "merchlens.version"
 _LATEST = "merchlens.latest_purchase"
+_CLEAN = "merchlens.clean"
+_PUBLISHED = "merchlens.published"
 
 
 class ConstraintError(ValueError):
@@ -56,8 +58,10 @@ class Warehouse:
 
     With `buckets`, orders, items and payments are stored by order, which lets
     joins and per-order sums read them without a shuffle. Choose as many as leave a
-    bucket of the largest table in one task's memory. A table is stored plain when
-    its heaviest bucket would outgrow the mean by `bucket_skew`.
+    bucket of the largest table in one task's memory, and none where one order may hold
+    a large part of the rows: the layout is the caller's choice alone.
+
+    `keep_versions` published versions of a table are kept for readers that hold them.
     """
 
     def __init__(
@@ -68,12 +72,11 @@ class Warehouse:
         raw: str = "raw",
         dm: str = "dm",
         buckets: int | None = None,
-        bucket_skew: float = 4.0,
         keep_versions: int = 2,
     ):
         self.spark, self.specs = spark, specs
         self.raw, self.dm = raw, dm
-        self.buckets, self.bucket_skew = buckets, bucket_skew
+        self.buckets = buckets
         self.keep_versions = keep_versions
         for database in (raw, dm):
             spark.sql(
@@ -100,6 +103,7 @@ class Warehouse:
     def load_table(self, name: str, frame: DataFrame, enforce: bool = True) -> Loaded:
         """Replace the rows of one table, and empty its dependants."""
         loaded = self._stage(name, lambda _: frame, {}, enforce)
+        self._refuse([loaded] if enforce else [])
         for child in dependants(self.specs, name):
             self.truncate(child, cascade=False)
         self._publish(self.raw, name, loaded.version, self.specs[name].columns)
@@ -110,17 +114,26 @@ class Warehouse:
     ) -> DataFrame:
         """Replace all tables: parents before children, independent ones together.
 
-        Nothing is shown before every table is written and checked. Returns one
-        row per table with the rows written and the problems found.
+        Nothing is shown before every table is written and checked; a load that fails
+        drops all it wrote. Views are then repointed one after another. Returns one row
+        per table with the rows written and the problems found.
         """
         staged: dict[str, Loaded] = {}
-        with ThreadPoolExecutor(parallel) as pool:
-            for wave in load_waves(self.specs):
-                versions = {name: loaded.version for name, loaded in staged.items()}
-                running = {
-                    name: pool.submit(self._stage, name, read, versions, enforce) for name in wave
-                }
-                staged.update({name: future.result() for name, future in running.items()})
+        started: list[str] = []
+        try:
+            with ThreadPoolExecutor(parallel) as pool:
+                for wave in load_waves(self.specs):
+                    versions = {name: loaded.version for name, loaded in staged.items()}
+                    running = {
+                        name: pool.submit(self._stage, name, read, versions, enforce, started)
+                        for name in wave
+                    }
+                    staged.update({name: future.result() for name, future in running.items()})
+                    self._refuse(list(staged.values()) if enforce else [], drop=False)
+        except BaseException:
+            for version in started:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.raw}.{version}")
+            raise
         for name, loaded in staged.items():
             self._publish(self.raw, name, loaded.version, self.specs[name].columns)
         return self.spark.createDataFrame(
@@ -147,11 +160,11 @@ class Warehouse:
         sales = sales_mart(raw)
         latest = F.max("order_purchase_timestamp").cast("string").alias("latest")
         by_month = sales.withColumn(STORED_MONTH, F.trunc("order_purchase_timestamp", "month"))
-        # Rebalancing splits the large months and joins the small ones into files
+        # Readers of the view see the month too, so that SQL can prune by it. Rebalancing splits the large months and joins the small ones into files
         # of the advisory size.
         by_month = by_month.hint("rebalance", F.col(STORED_MONTH))
         marts = (
-            ("sales", by_month, sales.columns, (STORED_MONTH,), latest),
+            ("sales", by_month, (STORED_MONTH,), latest),
             ("delivery", delivery_mart(raw)),
             ("purchasing_power", purchasing_power_mart(raw)),
         )
@@ -162,18 +175,36 @@ class Warehouse:
     def sales(self) -> StoredSales:
         latest = self._property(f"{self.dm}.{self._version(self.dm, 'sales')}", _LATEST)
         return StoredSales(
-            self._current(self.dm, "sales"), datetime.fromisoformat(latest) if latest else None
+            self._current(self.dm, "sales"),
+            datetime.fromisoformat(latest) if latest else None,
+            self._clean("orders", "customers"),
         )
 
     def delivery(self) -> StoredDelivery:
         return StoredDelivery(self._current(self.dm, "delivery"))
 
     def raw_sales(self) -> FactoredSales:
-        """Sales rows from the raw tables, whose references the loads have enforced."""
-        return FactoredSales(self.tables(), keys_enforced=True)
+        """Sales rows from the raw tables, by what their loads found about their keys."""
+        return FactoredSales(self.tables(), keys_enforced=self._clean(*self.specs))
 
     def raw_delivery(self) -> FactoredDelivery:
-        return FactoredDelivery(self.tables())
+        return FactoredDelivery(self.tables(), keys_enforced=self._clean(*self.specs))
+
+    def drop(self) -> None:
+        """Drop both databases with all their tables and views."""
+        for database in (self.dm, self.raw):
+            self.spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+    def _clean(self, *names: str) -> bool:
+        """Whether the loads of these tables found every key unique and every parent there.
+
+        A table's references are those to the versions it was loaded with, so all of a
+        table's parents have to be asked for together with it.
+        """
+        return all(
+            self._property(f"{self.raw}.{self._version(self.raw, name)}", _CLEAN) == "true"
+            for name in names
+        )
 
     # ---- versions ---------------------------------------------------------
 
@@ -183,12 +214,15 @@ class Warehouse:
         read: Callable[[str], DataFrame],
         staged: Mapping[str, str],
         enforce: bool,
+        started: list[str] | None = None,
     ) -> Loaded:
-        """Write a table version and check it against its parents."""
+        """Write a table version and check it against its parents, in one job."""
         spec = self.specs[name]
         frame = read(name).select(*spec.columns)
-        layout = self._bucket_clause(name, frame)
+        layout = self._bucket_clause(name)
         version = self._new_version(name, layout)
+        if started is not None:
+            started.append(version)
         target = f"{self.raw}.{version}"
         written = Observation()
         counted = frame.observe(written, F.count(F.lit(1)).alias("rows"))
@@ -197,26 +231,33 @@ class Warehouse:
             counted = counted.repartition(self.buckets, "order_id")
         counted.write.insertInto(target, overwrite=True)
         rows = self.spark.table(target)
-        duplicates, null_keys = _key_problems(rows, spec.primary_key)
-        orphans = 0
+        checks = _key_problems(rows, spec.primary_key)
         for key, parent in spec.references.items():
             parent_version = staged.get(parent) or self._version(self.raw, parent)
             parents = self.spark.table(f"{self.raw}.{parent_version}").select(key)
             keys = rows.select(key).where(F.col(key).isNotNull()).distinct()
-            orphans += keys.join(parents, key, "left_anti").count()
-        loaded = Loaded(name, version, written.get["rows"], duplicates, null_keys, orphans)
-        if enforce and loaded.problems():
-            self.spark.sql(f"DROP TABLE {target}")
-            raise ConstraintError(f"{name} not loaded: {loaded}")
+            orphans = keys.join(parents, key, "left_anti").agg(F.count(F.lit(1)).alias("found"))
+            checks = checks.union(orphans.select(F.lit("orphans"), "found"))
+        found = {"duplicates": 0, "null_keys": 0, "orphans": 0}
+        for row in checks.collect():
+            found[row.problem] += row.found
+        loaded = Loaded(name, version, written.get["rows"], *found.values())
+        if not loaded.problems():
+            self.spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{_CLEAN}' = 'true')")
         return loaded
 
-    def _bucket_clause(self, name: str, frame: DataFrame) -> str:
+    def _refuse(self, loads: list[Loaded], drop: bool = True) -> None:
+        broken = [loaded for loaded in loads if loaded.problems()]
+        if broken:
+            for loaded in loads if drop else ():
+                self.spark.sql(f"DROP TABLE {self.raw}.{loaded.version}")
+            raise ConstraintError(
+                "not loaded: " + "; ".join(f"{loaded.table}: {loaded}" for loaded in broken)
+            )
+
+    def _bucket_clause(self, name: str) -> str:
         if self.buckets is None or name not in ("orders", "order_items", "payments"):
             return ""
-        sizes = frame.groupBy(F.pmod(F.hash("order_id"), F.lit(self.buckets))).count()
-        heaviest, total = sizes.agg(F.max("count"), F.sum("count")).first()
-        if total and heaviest > self.bucket_skew * total / self.buckets:
-            return ""
         return f"CLUSTERED BY (order_id) INTO {self.buckets} BUCKETS"
 
     def _new_version(self, name: str, layout: str = "") -> str:
@@ -226,7 +267,7 @@ class Warehouse:
         )
         return version
 
-    def _store_mart(self, name, frame, columns=None, partition=(), latest=None) -> tuple[str, int]:
+    def _store_mart(self, name, frame, partition=(), latest=None) -> tuple[str, int]:
         version = f"{name}__{time.time_ns()}"
         target = f"{self.dm}.{version}"
         written = Observation()
@@ -236,21 +277,25 @@ class Warehouse:
             self.spark.sql(
                 f"ALTER TABLE {target} SET TBLPROPERTIES ('{_LATEST}' = '{written.get['latest']}')"
             )
-        self._publish(self.dm, name, version, columns or frame.columns)
+        self._publish(self.dm, name, version, frame.columns)
         return name, written.get["rows"]
 
     def _publish(self, database: str, name: str, version: str, columns) -> None:
-        """Point the view readers use at a version, and drop versions long replaced."""
+        """Point the view readers use at a version, and drop published ones long replaced."""
         listed = ", ".join(f"`{column}`" for column in columns)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {database}.{name} "
             f"TBLPROPERTIES ('{_VERSION}' = '{version}') "
             f"AS SELECT {listed} FROM {database}.{version}"
         )
+        self.spark.sql(
+            f"ALTER TABLE {database}.{version} SET TBLPROPERTIES ('{_PUBLISHED}' = 'true')"
+        )
         older = sorted(
             row.tableName
             for row in self.spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__*'").collect()
             if row.tableName < version
+            and self._property(f"{database}.{row.tableName}", _PUBLISHED)
         )
         for stale in older[: max(0, len(older) - self.keep_versions + 1)]:
             self.spark.sql(f"DROP TABLE {database}.{stale}")
@@ -266,14 +311,14 @@ class Warehouse:
         return rows[0].value if rows else None
 
 
-def _key_problems(rows: DataFrame, key: tuple[str, ...]) -> tuple[int, int]:
-    """Rows beyond the first of their key, and rows whose key has a NULL."""
+def _key_problems(rows: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """Rows beyond the first of their key, and rows whose key has a NULL, by problem."""
     if not key:
-        return 0, 0
+        return rows.limit(0).select(F.lit("").alias("problem"), F.lit(0).cast("long").alias("found"))
     empty = F.greatest(*(F.col(c).isNull().cast("int") for c in key), F.lit(0)) == 1
     groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("held"))
     found = groups.agg(
-        F.coalesce(F.sum(F.when(~empty, F.col("held") - 1)), F.lit(0)),
-        F.coalesce(F.sum(F.when(empty, F.col("held"))), F.lit(0)),
-    ).first()
-    return found[0], found[1]
+        F.coalesce(F.sum(F.when(~empty, F.col("held") - 1)), F.lit(0)).alias("duplicates"),
+        F.coalesce(F.sum(F.when(empty, F.col("held"))), F.lit(0)).alias("null_keys"),
+    )
+    return found.unpivot([], ["duplicates", "null_keys"], "problem", "found")

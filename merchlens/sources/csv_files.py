@@ -65,7 +65,8 @@ def typed(table: str, name: str, kind: str, strict: bool = True) -> Column:
         value = F.when(F.length(text) <= int(length[1]), text)
     elif kind == "int":
         # Whole numbers may be written as 45.0 where the column has gaps.
-        value = F.bround(text.try_cast("double"), 0).try_cast("int")
+        number = text.try_cast("double")
+        value = F.when(number == F.floor(number), number.try_cast("int"))
     else:
         value = text.try_cast(kind)
     if not strict:

@@ -87,17 +87,8 @@ def _delivered(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 
 def _with_nation(frame: DataFrame, key: str, nation: DataFrame) -> DataFrame:
-    """Rows with the name of their nation; those of no nation are left out.
-
-    The sample has 25 nations at every size, so their names are looked up in one
-    value. Sizes of customers and sellers then stay those of their own files, which
-    is what Spark goes by when it chooses the side of a join to broadcast.
-    """
-    entries = F.collect_list(F.struct("n_nationkey", "n_name"))
-    names = nation.agg(F.map_from_entries(entries)).scalar()
-    return frame.withColumn("n_name", F.try_element_at(names, F.col(key))).where(
-        F.col("n_name").isNotNull()
-    )
+    """Rows with the name of their nation; those of no nation are left out."""
+    return frame.join(nation, F.col(key) == F.col("n_nationkey"))
 
 
 def _customers(customer: DataFrame, nation: DataFrame) -> DataFrame:

@@ -11,37 +11,32 @@ from merchlens.operators.running_total import running_total
 from merchlens.reports import abc
 from tests.fixtures import categories_with_revenue, raw_tables, rows
 
-LEVELS = pytest.mark.parametrize("window_rows", [100, 0], ids=["window", "levels"])
-
 
 def shares(frame, key="product_category"):
     return {r[key]: r["cumulative_pct"] for r in rows(frame)}
 
 
-@LEVELS
-def test_equal_revenues_share_their_cumulative_percent(spark, window_rows):
+def test_equal_revenues_share_their_cumulative_percent(spark):
     raw = categories_with_revenue(spark, {"a": 5, "b": 5, "c": 1})
-    found = shares(abc.pareto(raw, "product_category", window_rows))
+    found = shares(abc.pareto(raw, "product_category"))
     assert found == {"a": Decimal("90.909"), "b": Decimal("90.909"), "c": Decimal("100.000")}
-    classes = rows(abc.abc_revenue(raw, "product_category", window_rows))
+    classes = rows(abc.abc_revenue(raw, "product_category"))
     assert {r["abc_group"]: r["revenue"] for r in classes} == {
         "B": Decimal("10.00"),
         "C": Decimal("1.00"),
     }
 
 
-@LEVELS
-def test_classes_use_the_rounded_percent(spark, window_rows):
+def test_classes_use_the_rounded_percent(spark):
     """8000.04 of 10000.00 is 80.0004 percent, which rounds into class A."""
     raw = categories_with_revenue(spark, {"a": "8000.04", "b": "1999.96"})
-    found = rows(abc.abc_detail(raw, "product_category", window_rows))
+    found = rows(abc.abc_detail(raw, "product_category"))
     assert [(r["abc_group"], r["product_category"]) for r in found] == [("A", "a"), ("C", "b")]
 
 
-@LEVELS
-def test_a_dominant_first_item_leaves_class_a_empty(spark, window_rows):
+def test_a_dominant_first_item_leaves_class_a_empty(spark):
     raw = categories_with_revenue(spark, {"a": 90, "b": 10})
-    found = rows(abc.abc_classes(raw, "product_category", window_rows=window_rows))
+    found = rows(abc.abc_classes(raw, "product_category"))
     assert {r["abc_group"] for r in found} == {"B", "C"}
 
 
@@ -71,15 +66,14 @@ def test_order_values_are_averaged_over_members(spark):
     assert (found["abc_group"], found["aov"], found["orders"]) == ("C", Decimal("22.5"), 3)
 
 
-@LEVELS
-def test_missing_category_and_missing_revenue(spark, window_rows):
+def test_missing_category_and_missing_revenue(spark):
     raw = categories_with_revenue(spark, {None: 70, "b": 20, "c": 10, "d": 1})
     raw = raw.replace(
         order_items=raw.order_items.withColumn(
             "price", F.when(F.col("product_id") != "p3", F.col("price"))
         )
     )
-    found = {r["product_category"]: r for r in rows(abc.pareto(raw, "product_category", window_rows))}
+    found = {r["product_category"]: r for r in rows(abc.pareto(raw, "product_category"))}
     assert found[None]["cumulative_pct"] == Decimal("70.000")
     assert found["d"]["cumulative_pct"] is None
     assert found["d"]["total_revenue"] == Decimal("100.00")
@@ -117,14 +111,84 @@ def test_running_total_by_levels_equals_brute_force(spark, seed):
     values = [None if c is None else Decimal(c) / 100 for c in values]
     frame = spark.createDataFrame(list(enumerate(values)), "k int, v decimal(20,2)")
     expected = brute_running(values)
-    for window_rows in (0, 1000):
-        found = {(r.k, r.v): r.running for r in running_total(frame, "v", window_rows).collect()}
-        assert found == expected
+    found = {(r.k, r.v): r.running for r in running_total(frame, "v").collect()}
+    assert found == expected
+
+
+@pytest.mark.parametrize("kind", ["double", "bigint", "decimal(18,6)"])
+def test_running_total_of_any_number(spark, kind):
+    pick = random.Random(9)
+    values = [float(pick.choice([0, -3, 5, 0.25, 1e-5, 12345.5])) * pick.randrange(1, 9) for _ in range(90)]
+    frame = spark.createDataFrame(list(enumerate(values)), "k int, v double")
+    frame = frame.withColumn("v", F.col("v").cast(kind))
+    given = {r.k: r.v for r in frame.collect()}
+    for r in running_total(frame, "v").collect():
+        expected = sum(v for v in given.values() if v >= given[r.k])
+        assert float(r.running) == pytest.approx(float(expected), abs=1e-6)
+
+
+def counted_model(spark, reads):
+    """A model whose items add to `reads` whenever one is read."""
+
+    def read(row):
+        reads.add(1)
+        return row
+
+    raw = categories_with_revenue(spark, {"a": 5, "b": 3, "c": 1})
+    items = spark.createDataFrame(raw.order_items.rdd.map(read), raw.order_items.schema)
+    return raw.replace(order_items=items)
+
+
+REPORTS = {
+    "pareto": lambda s: abc.pareto(s, "product_category"),
+    "classes": lambda s: abc.abc_classes(s, "product_category"),
+    "revenue": lambda s: abc.abc_revenue(s, "product_category"),
+    "detail": lambda s: abc.abc_detail(s, "product_category"),
+}
+
+
+@pytest.mark.parametrize("name", REPORTS)
+def test_building_runs_nothing_and_running_reads_items_once(spark, name):
+    context, reads = spark.sparkContext, spark.sparkContext.accumulator(0)
+    raw = counted_model(spark, reads)
+    context.setJobGroup(f"building {name}", "")
+    report = REPORTS[name](raw)
+    context.setJobGroup(f"running {name}", "")
+    assert context.statusTracker().getJobIdsForGroup(f"building {name}") == []
+    report.collect()
+    assert reads.value == 3
+    abc.release(raw, "product_category")
+    REPORTS[name](raw).collect()
+    assert reads.value == 6
+    abc.release(raw, "product_category")
+    context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_small_prices_keep_all_their_decimals(spark):
+    """Ten prices of 0.0049, as decimals of scale 4 and as doubles."""
+    raw = categories_with_revenue(spark, {f"c{i}": i for i in range(10)})
+    for kind in ("decimal(10,4)", "double"):
+        priced = raw.replace(order_items=raw.order_items.withColumn("price", F.lit(0.0049).cast(kind)))
+        for source in (priced, sales_mart(priced)):
+            found = rows(abc.pareto(source, "product_category"))
+            assert sum(float(r["pct_total"]) for r in found) == pytest.approx(100, abs=1e-6)
+            assert {float(r["cumulative_pct"]) for r in found} == {100.0}
+            assert {round(float(r["aov"]), 6) for r in found} == {0.0049}
+
+
+def test_classes_by_amount(spark):
+    raw = categories_with_revenue(spark, {"a": 79, "b": 12, "c": 9})
+    found = rows(abc.abc_classes(raw, "product_category", with_amount=True))
+    assert [(r["abc_group"], r["revenue_amount"]) for r in found] == [
+        ("A", Decimal("79.00")),
+        ("B", Decimal("12.00")),
+        ("C", Decimal("9.00")),
+    ]
 
 
 def test_levels_never_order_all_rows_in_one_window(spark):
     frame = spark.createDataFrame([(Decimal(n),) for n in range(50)], "v decimal(20,2)")
-    plan = running_total(frame, "v", 0)._jdf.queryExecution().optimizedPlan().toString()
+    plan = running_total(frame, "v")._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert len(windows) == 3
     unbounded = [line for line in windows if "windowspecdefinition(v#" in line]

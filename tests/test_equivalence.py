@@ -71,7 +71,7 @@ REPORTS = {
     "monthly": sales.sales_monthly,
     "methods": sales.payment_methods,
     "pareto": lambda s: abc.pareto(s, "product_category"),
-    "pareto by levels": lambda s: abc.pareto(s, "seller_city", window_rows=0),
+    "pareto of cities": lambda s: abc.pareto(s, "seller_city"),
     **{
         f"{report.__name__} {metric}": lambda s, r=report, m=metric: r(s, m, "last_year")
         for report in (sales.kpi_by_state, sales.top_categories)

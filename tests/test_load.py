@@ -165,7 +165,8 @@ def test_round_trip_through_files_tables_and_marts(spark, tmp_path, raw, buckets
         assert rows(sales.kpi_trend(source, "turnover", "last_year")) == expected
     for source in (house.delivery(), house.raw_delivery()):
         assert rows(logistics.delivery_histogram(source)) == rows(logistics.delivery_histogram(raw))
-    assert spark.table(f"{house.dm}.sales").columns == sales_mart(raw).columns
+    view = spark.table(f"{house.dm}.sales")
+    assert view.columns == [*sales_mart(raw).columns, "purchase_month"]
 
 
 def test_mart_rebuild_replaces_rows_and_keeps_few_versions(spark, tmp_path, raw):
@@ -227,12 +228,81 @@ def test_table_types_reject_what_does_not_fit(spark, tmp_path, raw, column, valu
     assert spark.table(f"{house.raw}.order_items").count() == 4
 
 
-def test_a_heavy_bucket_is_stored_plain(spark, tmp_path, raw):
-    house = warehouse(spark, tmp_path, buckets=8, bucket_skew=2.0)
-    spread = raw.payments.sparkSession.range(800).selectExpr("cast(id as string) order_id")
-    heavy = spread.selectExpr("case when order_id < 300 then 'hot' else order_id end order_id")
-    assert "8 BUCKETS" in house._bucket_clause("payments", spread)
-    assert house._bucket_clause("payments", heavy) == ""
+def test_refused_loads_leave_no_version_and_displace_none(spark, tmp_path, raw):
+    house = loaded(spark, tmp_path, raw)
+    held = house.tables().customers
+
+    def versions():
+        return {
+            name: spark.sql(f"SHOW TABLES IN {house.raw} LIKE '{name}__*'").count()
+            for name in TABLES
+        }
+
+    before = versions()
+    broken = with_geolocation(raw, spark).replace(
+        order_items=raw.order_items.withColumn("seller_id", F.lit("gone"))
+    )
+    for _ in range(3):
+        with pytest.raises(ConstraintError, match="order_items"):
+            house.load_all(lambda n: getattr(broken, n))
+    with pytest.raises(ConstraintError):
+        house.load_table("orders", raw.orders.union(raw.orders))
+    assert versions() == before
+    house.load_all(lambda n: getattr(with_geolocation(raw, spark), n))
+    assert held.count() == 3
+
+
+def repeated_and_orphaned(raw):
+    """Repeated orders, customers and sellers, and items of no known seller."""
+    return raw.replace(
+        orders=raw.orders.union(raw.orders.limit(1)),
+        customers=raw.customers.union(raw.customers.limit(2)),
+        sellers=raw.sellers.union(raw.sellers.limit(1)),
+        order_items=raw.order_items.withColumn(
+            "seller_id", F.when(F.col("order_item_id") == 1, F.col("seller_id")).otherwise("gone")
+        ),
+    )
+
+
+def test_raw_figures_are_the_marts_whatever_was_loaded(spark, tmp_path, raw):
+    house = warehouse(spark, tmp_path)
+    broken = with_geolocation(repeated_and_orphaned(raw), spark)
+    report = house.load_all(lambda n: getattr(broken, n), enforce=False)
+    assert {r.table_name for r in report.where("orphan_keys > 0").collect()} == {"order_items"}
+    house.build_marts()
+    assert not house.raw_sales().keys_enforced and not house.raw_delivery().keys_enforced
+    reports = (
+        sales.sales_monthly,
+        sales.payment_methods,
+        lambda s: sales.kpi_by_state(s, "orders", "last_year"),
+        lambda s: sales.kpi(s, "aov", "last_year"),
+    )
+    for report in reports:
+        assert rows(report(house.raw_sales())) == rows(report(house.sales()))
+        assert rows(report(broken)) == rows(report(house.sales()))
+    for report in (logistics.delivery_histogram, logistics.fastest_cities):
+        assert rows(report(house.raw_delivery())) == rows(report(house.delivery()))
+    house.load_all(lambda n: getattr(with_geolocation(raw, spark), n))
+    assert house.raw_sales().keys_enforced
+
+
+def test_edge_blanks_land_and_line_breaks_do_not(spark, tmp_path, raw):
+    cities = raw.customers.withColumn("customer_city", F.lit("  lead city "))
+    path = land_csv(cities, str(tmp_path), "customers")
+    assert {r.customer_city for r in read_raw(spark, path, "customers").collect()} == {
+        "  lead city "
+    }
+    broken = raw.customers.withColumn("customer_city", F.lit("two\nlines"))
+    with pytest.raises(Exception, match="customers.customer_city: a line break in"):
+        land_csv(broken, str(tmp_path / "bad"), "customers")
+
+
+def test_dropping_a_warehouse_leaves_nothing(spark, tmp_path, raw):
+    house = loaded(spark, tmp_path, raw)
+    house.build_marts()
+    house.drop()
+    names = {r.namespace for r in spark.sql("SHOW DATABASES").collect()}
+    assert not {house.raw, house.dm} & names
 
 
 def test_database_refresh_truncates_with_cascade_in_batches():

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from merchlens.marts import FactoredSales, sales_mart
+from merchlens.marts import FactoredSales, delivery_mart, sales_mart
 from merchlens.registry import queries
 from merchlens.reports import abc, logistics, sales
 from merchlens.sinks import Warehouse
@@ -54,8 +54,7 @@ NEVER_LOCAL = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "Expa
         "mart_sales",
         "mart_delivery",
         "sales_monthly",
-        "payment_methods",
-        "kpi_arpu_last_year",
+        "kpi_aov_last_year",
         "kpi_trend_aov_last_year",
         "top_categories_customers_last_quarter",
         "abc_state",
@@ -72,6 +71,26 @@ def test_no_pairing_expanding_or_python(spark, name):
         assert operator not in plan
 
 
+def test_methods_of_clean_tables_expand_nothing(model):
+    clean = physical(sales.payment_methods(FactoredSales(model, keys_enforced=True)))
+    assert "Expand" not in clean
+
+
+def test_other_orders_are_dropped_before_anything_is_added_up(model):
+    """In a trailing report, items and payments meet the period's orders first."""
+    plan = optimized(sales.kpi(model, "turnover", "last_month")).splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    sums = [i for i, line in enumerate(plan) if "Aggregate [order_id" in line]
+    assert len(sums) >= 2
+    for at in sums:
+        below = []
+        for line in plan[at + 1 :]:
+            if depth(line) <= depth(plan[at]):
+                break
+            below.append(line)
+        assert any("Join LeftSemi" in line for line in below)
+
+
 def test_top_reports_keep_only_the_top(model):
     for frame in (
         sales.top_categories(model, "turnover", "last_year"),
@@ -103,7 +122,7 @@ def house(spark, tmp_path_factory):
 
 def test_stored_by_order_needs_no_shuffle_by_order(house, settings):
     settings(autoBroadcastJoinThreshold="-1")
-    plan = physical(house.raw_sales().rows())
+    plan = physical(FactoredSales(house.tables(), keys_enforced=True).rows())
     assert plan.count("SortMergeJoin") == 2
     assert "Exchange" not in plan
 
@@ -121,6 +140,15 @@ def test_trailing_period_reads_its_own_months(house):
     assert "Subquery" not in physical(frame)
 
 
+def test_sql_and_frames_of_the_view_read_their_own_months(spark, house):
+    view = f"{house.dm}.sales"
+    by_sql = spark.sql(f"select sum(price) from {view} where purchase_month >= '2001-07-01'")
+    by_report = sales.kpi(spark.table(view), "turnover", "last_month")
+    for frame in (by_sql, by_report):
+        scans = [line for line in physical(frame).splitlines() if "FileScan" in line]
+        assert any("PartitionFilters: [isnotnull(purchase_month" in line for line in scans)
+
+
 def test_stored_and_raw_reports_agree(house, model):
     for metric in ("turnover", "customers"):
         expected = rows(sales.kpi_by_state(model, metric, "last_quarter"))
@@ -166,18 +194,8 @@ def hot_model(model, spark):
     }
 
 
-@pytest.mark.parametrize(
-    "kind",
-    [
-        "items of one order",
-        "payments of one order",
-        "orders of one customer",
-        "items of one product",
-        "items of one seller",
-    ],
-)
-def test_mart_joins_split_hot_keys(spark, model, settings, kind):
-    """With sizes scaled down to the sample, the join of the hot key is split."""
+def small_sizes(settings):
+    """Sizes scaled down to the sample, so that its hot keys stand out."""
     settings(
         autoBroadcastJoinThreshold="-1",
         adaptive__autoBroadcastJoinThreshold="-1",
@@ -189,17 +207,51 @@ def test_mart_joins_split_hot_keys(spark, model, settings, kind):
         adaptive__skewJoin__skewedPartitionFactor="2",
         adaptive__coalescePartitions__enabled="false",
     )
-    hot = hot_model(model, spark)[kind]
-    spread = hot.replace(
+
+
+def spread(hot):
+    return hot.replace(
         order_items=hot.order_items.repartition(12),
         payments=hot.payments.repartition(12),
         orders=hot.orders.repartition(12),
     )
-    mart = sales_mart(spread)
+
+
+@pytest.mark.parametrize(
+    "kind",
+    [
+        "items of one order",
+        "payments of one order",
+        "orders of one customer",
+        "items of one product",
+        "items of one seller",
+    ],
+)
+def test_mart_joins_split_hot_keys(spark, model, settings, kind):
+    small_sizes(settings)
+    mart = sales_mart(spread(hot_model(model, spark)[kind]))
+    mart.collect()
+    assert "skew=true" in physical(mart)
+
+
+@pytest.mark.parametrize(
+    "kind", ["items of one order", "orders of one customer", "items of one seller"]
+)
+def test_delivery_mart_splits_hot_keys(spark, model, settings, kind):
+    small_sizes(settings)
+    mart = delivery_mart(spread(hot_model(model, spark)[kind]))
     mart.collect()
     assert "skew=true" in physical(mart)
 
 
+@pytest.mark.parametrize("kind", ["items of one product", "items of one seller"])
+def test_raw_reports_split_hot_parents(spark, model, settings, kind):
+    small_sizes(settings)
+    report = sales.top_categories(spread(hot_model(model, spark)[kind]), "turnover", "last_year")
+    report.collect()
+    assert "skew=true" in physical(report)
+
+
 def test_hot_orders_are_collapsed_before_they_are_shuffled(spark, model):
     """Figures from raw tables pair nothing, so a hot order is a handful of rows."""
     hot = hot_model(model, spark)["items of one order"]
