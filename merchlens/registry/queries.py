@@ -201,7 +201,8 @@ def _stored_queries() -> dict[str, Query]:
         view = f"{stored_warehouse(spark, folder).dm}.sales"
         return plain(
             spark.sql(
-                "select purchase_month as month, sum(payment_value) as turnover "
+                "select cast(purchase_month as timestamp_ntz) as month, "
+                "sum(payment_value) as turnover "
                 f"from {view} where purchase_month >= date'1997-01-01' group by purchase_month"
             )
         )
