@@ -13,14 +13,17 @@ have equal lengths and equal SHA-1) and again from the restored bytes.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.llm.common import per_batch
+from merchlens.llm.common import find_package, per_batch
 from merchlens.session import new_shared_folder
 
 # Fixed value: shorter payloads are stored once too, but no record revisits another's.
@@ -161,8 +164,49 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def write_warc(archive: DataFrame, folder: str, records_per_file: int = 1000) -> None:
+    """Write the records of `read_archive` as gzipped WARC files.
+
+    A revisit has no block. Records end with two line breaks, which Spark's text writer
+    puts after every row; a file holds at most `records_per_file` records.
+    """
+    block = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
+    record = F.concat("header", block).cast("string").alias("value")
+    options = {
+        "lineSep": "\r\n\r\n",
+        "compression": "gzip",
+        "maxRecordsPerFile": records_per_file,
+    }
+    archive.select(record).write.options(**options).text(folder)
+
+
+def read_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """header and block of every record in the gzipped WARC files of a folder.
+
+    Records are cut by their Content-Length, so blocks may hold any bytes. A task holds
+    one file at a time.
+    """
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column(0):
+                data, at, headers, blocks = gzip.decompress(content.as_py()), 0, [], []
+                while at < len(data):
+                    end = data.index(b"\r\n\r\n", at) + 4
+                    size = int(dict(_FIELD.findall(data[at:end]))[b"Content-Length"])
+                    headers.append(data[at:end])
+                    blocks.append(data[end : end + size])
+                    at = end + size + 4
+                columns = [pa.array(headers, pa.binary()), pa.array(blocks, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["header", "block"])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder)
+    return files.select("content").mapInArrow(records, "header binary, block binary")
+
+
 def op5_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to an archive in the shared folder and read back from it."""
+    find_package(spark)
     folder = new_shared_folder(spark, "warc")
     write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
     return read_archive(spark, folder).drop("header", "payload")

@@ -74,6 +74,17 @@ def test_payloads_are_stored_once(spark, archive):
     assert stored.count() == len({html or "" for _, _, html in rows()})
 
 
+def test_warc_files_round_trip(spark, archive, tmp_path):
+    records = warc.read_archive(spark, archive)
+    warc.write_warc(records, f"{tmp_path}/files", records_per_file=2)
+    got = warc.read_warc(spark, f"{tmp_path}/files").collect()
+    wanted = Counter(
+        (bytes(r.header), bytes(r.payload) if r.record_type == "response" else b"")
+        for r in records.collect()
+    )
+    assert Counter((bytes(r.header), bytes(r.block)) for r in got) == wanted
+
+
 def test_a_damaged_payload_is_noticed(spark, archive, tmp_path):
     from pyspark.sql import functions as F
 
