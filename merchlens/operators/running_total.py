@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# A value's place is its base-2 logarithm in steps of 2^-28; 2^20 places form a range.
-_STEP_BITS, _RANGE_BITS = 28, 20
-# More than any number of steps, so that places of positive values are positive.
-_OFFSET = 1 << 40
+# A value's range is its base-2 logarithm in steps of 2^-14.
+_STEPS = float(1 << 14)
+# More than any number of steps, so that ranges of positive values are positive.
+_OFFSET = 1 << 30
 
 
 def running_total(rows: DataFrame, value: str) -> DataFrame:
@@ -20,17 +20,16 @@ def running_total(rows: DataFrame, value: str) -> DataFrame:
     cheap to read again.
 
     No window goes over all rows. Ties collapse first, so windows hold distinct values.
-    Each value has a place that never falls as values rise, and places form ranges: one
-    window goes over the ranges (a few hundred for each power of ten that occurs), one
-    over the at most 2^20 places of a range, and one over the values of a place, which
-    differ by less than three in a thousand million.
+    Values fall into ranges that never fall as values rise: one window goes over the
+    ranges that occur, at most 2^14 for each doubling from the smallest value to the
+    largest, and one over the values of a range, which differ by less than five in a
+    hundred thousand: at most 42,400 for whole numbers up to a thousand million.
     """
     distinct = (
         rows.where(F.col(value).isNotNull())
         .groupBy(value)
         .agg(F.sum(value).alias("amount"))
-        .withColumn("mid", _place(F.col(value).cast("double")))
-        .withColumn("top", F.shiftright("mid", _RANGE_BITS))
+        .withColumn("range", _range(F.col(value).cast("double")))
     )
 
     def larger(order: str, *within: str) -> Column:
@@ -38,22 +37,16 @@ def running_total(rows: DataFrame, value: str) -> DataFrame:
         before = window.rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum("amount").over(before), F.lit(0))
 
-    tops = (
-        distinct.groupBy("top")
+    ranges = (
+        distinct.groupBy("range")
         .agg(F.sum("amount").alias("amount"))
-        .select("top", larger("top").alias("above_top"))
+        .select("range", larger("range").alias("above"))
     )
-    mids = (
-        distinct.groupBy("top", "mid")
-        .agg(F.sum("amount").alias("amount"))
-        .join(tops, "top")
-        .select("mid", (F.col("above_top") + larger("mid", "top")).alias("above_mid"))
-    )
-    own = F.col("above_mid") + larger(value, "mid") + F.col("amount")
-    totals = distinct.join(mids, "mid").select(value, own.alias("running"))
+    own = F.col("above") + larger(value, "range") + F.col("amount")
+    totals = distinct.join(ranges, "range").select(value, own.alias("running"))
     return rows.join(totals, value, "left")
 
 
-def _place(value: Column) -> Column:
-    steps = F.floor(F.log2(F.abs(value)) * float(1 << _STEP_BITS)) + F.lit(_OFFSET)
+def _range(value: Column) -> Column:
+    steps = F.floor(F.log2(F.abs(value)) * _STEPS) + F.lit(_OFFSET)
     return F.when(value > 0, steps).when(value < 0, -steps).otherwise(F.lit(0)).cast("bigint")

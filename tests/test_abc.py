@@ -190,6 +190,6 @@ def test_levels_never_order_all_rows_in_one_window(spark):
     frame = spark.createDataFrame([(Decimal(n),) for n in range(50)], "v decimal(20,2)")
     plan = running_total(frame, "v")._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(windows) == 3
+    assert len(windows) == 2
     unbounded = [line for line in windows if "windowspecdefinition(v#" in line]
     assert unbounded == []
