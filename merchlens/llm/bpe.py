@@ -21,6 +21,7 @@ import re
 from collections.abc import Iterable
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
@@ -269,7 +270,7 @@ def encoded(docs: DataFrame, tokenizer: str | None = None, digests: bool = False
         counts, ids, decoded = [], [], []
         for n, numbers, text in codec(content.value).encode(texts):
             counts.append(n)
-            ids.append(_hex(numbers) if digests else [int(i) for i in numbers.split()])
+            ids.append(_hex(numbers) if digests else np.array(numbers.split(), np.int32))
             decoded.append(_hex(text) if digests else text)
         return [doc_id, counts, ids, decoded]
 

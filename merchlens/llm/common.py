@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +14,24 @@ from pyspark.sql.window import Window
 # Fixed value: a word is a run of anything but blank, tab, line and page breaks.
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Bytes of an Arrow batch that a task turns into Python values at once.
+BATCH_BYTES = 8_000_000
+
+
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    It matters where the package is neither installed nor shipped, as in a checkout.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    listed = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if root not in listed:
+        environment["PYTHONPATH"] = os.pathsep.join([*listed, root])
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -27,19 +45,25 @@ def per_batch(
 ) -> DataFrame:
     """Rows that `step` makes of each Arrow batch.
 
-    `step` gets one Python list per column of the batch and returns one list per
-    column of `schema`. Only the named columns leave the JVM.
+    `step` gets one Python list per column and returns one list per column of `schema`.
+    Only the named columns leave the JVM. Batches are cut so that about `BATCH_BYTES`
+    are turned into Python values at a time, whatever the lengths of texts.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    find_package(frame.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = step(*(column.to_pylist() for column in batch.columns))
-            arrays = [pa.array(v, f.type) for v, f in zip(made, arrow, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+            cuts = -(-batch.nbytes // BATCH_BYTES) or 1
+            size = -(-batch.num_rows // cuts) or 1
+            for start in range(0, batch.num_rows, size):
+                part = batch.slice(start, size)
+                made = step(*(column.to_pylist() for column in part.columns))
+                arrays = [pa.array(v, f.type) for v, f in zip(made, arrow, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return frame.select(*columns).mapInArrow(run, schema)
 
