@@ -9,7 +9,8 @@ other documents hold, and sums the logarithms per document.
 
 An n-gram comes once from each bucket however often it is found, so no n-gram is too
 frequent for one task; buckets and ranges grow with the shuffle partitions. N-grams are
-64-bit hashes.
+hashes with twenty bits more than it takes to number all n-grams, so that at any size of
+the corpus about one n-gram in a million shares its hash, and counts, with another.
 """
 
 from __future__ import annotations
@@ -19,13 +20,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.llm.common import WORD, documents
+from merchlens.llm.common import WORD, documents, find_package
 from merchlens.llm.packing import deltas, packed, range_of, unpacked
 from merchlens.llm.shingles import WordHashes, grams, words_of
 
 # Longest n-gram, and the factor for each order backed off.
 ORDER, BACKOFF = 3, 0.4
 
+# Bits of an n-gram's hash beyond those that would number all n-grams.
+SPARE_BITS = 20
+
+# Buckets for each shuffle partition: a task holds its bucket's n-grams several times over.
+BUCKETS_PER_PARTITION = 2
+
 _COUNTS = "part int, bucket int, n int, hashes binary, counts binary"
 _TOTALS = "bucket int, part int, n int, totals binary"
 _SCORES = (
@@ -37,7 +44,7 @@ _SCORES = (
 class _Bucket:
     """N-grams of a bucket's texts: words of all texts in one row, and their orders."""
 
-    def __init__(self, texts: list[str | None]):
+    def __init__(self, texts: list[str | None], bits: int):
         hashes = WordHashes()
         words = [hashes.of(words_of(text)) for text in texts]
         self.lengths = np.array([len(w) for w in words], np.int64)
@@ -51,7 +58,7 @@ class _Bucket:
             np.concatenate([np.zeros(min(width, len(every)), np.uint64), grams(every, width + 1)])
             for width in range(ORDER)
         ]
-        found = [p[i] for p, i in zip(padded, self.inside)]
+        found = [p[i] >> np.uint64(64 - bits) for p, i in zip(padded, self.inside)]
         self.distinct, at, self.counts = np.unique(
             np.concatenate(found), return_inverse=True, return_counts=True
         )
@@ -113,12 +120,12 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in ddl.split(", ")])
 
 
-def _count(parts: int):
+def _count(parts: int, bits: int):
     """Distinct n-grams of a bucket with their counts, a row per range of hashes."""
 
     def run(table: pa.Table) -> pa.Table:
-        held = _Bucket(table["text"].to_pylist())
-        part = range_of(held.distinct, parts)
+        held = _Bucket(table["text"].to_pylist(), bits)
+        part = range_of(held.distinct << np.uint64(64 - bits), parts)
         cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
         bucket = table["bucket"][0].as_py()
         rows = [
@@ -151,23 +158,27 @@ def _total(table: pa.Table) -> pa.Table:
     return _table(_schema(_TOTALS), made)
 
 
-def _score(texts: pa.Table, totals: pa.Table) -> pa.Table:
+def _score(bits: int):
     """Scores of a bucket's documents from the totals of its n-grams."""
-    held = _Bucket(texts["text"].to_pylist())
-    rows = sorted(totals.to_pylist(), key=lambda r: r["part"])
-    counts = [unpacked(r["totals"], r["n"]) for r in rows]
-    every = np.concatenate(counts).astype(np.int64) if counts else np.empty(0, np.int64)
-    words, trigrams, bigrams, unigrams, logs = held.scores(every)
-    return pa.table(
-        {
-            "doc_id": texts["doc_id"].cast(pa.int64()),
-            "n_words": pa.array(words, pa.int64()),
-            "n_trigram": pa.array(trigrams, pa.int64()),
-            "n_bigram": pa.array(bigrams, pa.int64()),
-            "n_unigram": pa.array(unigrams, pa.int64()),
-            "log_counts": pa.array(logs, pa.float64()),
-        }
-    )
+
+    def run(texts: pa.Table, totals: pa.Table) -> pa.Table:
+        held = _Bucket(texts["text"].to_pylist(), bits)
+        rows = sorted(totals.to_pylist(), key=lambda r: r["part"])
+        counts = [unpacked(r["totals"], r["n"]) for r in rows]
+        every = np.concatenate(counts).astype(np.int64) if counts else np.empty(0, np.int64)
+        words, trigrams, bigrams, unigrams, logs = held.scores(every)
+        return pa.table(
+            {
+                "doc_id": texts["doc_id"].cast(pa.int64()),
+                "n_words": pa.array(words, pa.int64()),
+                "n_trigram": pa.array(trigrams, pa.int64()),
+                "n_bigram": pa.array(bigrams, pa.int64()),
+                "n_unigram": pa.array(unigrams, pa.int64()),
+                "log_counts": pa.array(logs, pa.float64()),
+            }
+        )
+
+    return run
 
 
 def backoff_scores(docs: DataFrame, buckets: int | None = None) -> DataFrame:
@@ -184,22 +195,25 @@ def backoff_scores(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     see each other. A null or empty text has no words, a log_score of 0 and a null mean.
     Other columns are ignored; an empty table gives no rows.
 
-    Texts and n-grams go to `buckets` tasks, by default the shuffle partitions; a bucket
-    has to fit into a task's memory.
+    Texts and n-grams are dealt into `buckets`, by default two for each shuffle partition;
+    a bucket has to fit into a task's memory.
     """
     spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    find_package(spark)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or BUCKETS_PER_PARTITION * partitions
     spread = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int")
-    dealt = docs.select(spread.alias("bucket"), "doc_id", "text").repartition(buckets, "bucket")
-    counts = dealt.groupBy("bucket").applyInArrow(_count(buckets), _COUNTS)
+    dealt = docs.select(spread.alias("bucket"), "doc_id", "text").repartition(partitions, "bucket")
+    words = F.size(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    all_words = docs.where("text IS NOT NULL").agg(F.sum(words)).first()[0] or 0
+    bits = min(64, max(48, (ORDER * all_words).bit_length() + SPARE_BITS))
+    counts = dealt.groupBy("bucket").applyInArrow(_count(buckets, bits), _COUNTS)
     totals = counts.groupBy("part").applyInArrow(_total, _TOTALS)
     scored = (
         dealt.groupBy("bucket")
         .cogroup(totals.groupBy("bucket"))
-        .applyInArrow(_score, _SCORES)
+        .applyInArrow(_score(bits), _SCORES)
     )
-    words = F.size(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
-    all_words = docs.where("text IS NOT NULL").agg(F.sum(words)).first()[0] or 0
     rest = F.greatest(F.lit(all_words) - F.col("n_words"), F.lit(1))
     score = F.col("log_counts") - F.col("n_unigram") * F.log(rest.cast("double"))
     return scored.withColumn("log_score", score).select(
