@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from merchlens.llm.common import WORD, documents, running_before
+from merchlens.llm.common import WORD, documents, find_package, running_before
 from merchlens.session import ensure_checkpoint_dir
 
 # Weights of the sources in order, repeating; what they share; their bound.
@@ -195,6 +195,7 @@ def mix_slots(targets: DataFrame, seed: int = SEED) -> DataFrame:
 
 def _sized(docs: DataFrame, *more) -> DataFrame:
     """doc_id, source and number of words of every document, checkpointed."""
+    find_package(docs.sparkSession)
     ensure_checkpoint_dir(docs.sparkSession)
     words = F.size(F.split(F.regexp_replace(F.trim(_blanks()), " +", " "), " "))
     size = F.when(F.trim(_blanks()) == "", 0).otherwise(words)
@@ -232,7 +233,8 @@ def _pieces(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _taken(targets: DataFrame, pieces: DataFrame, seed: int) -> DataFrame:
     """Pieces with the words each slot takes of them; `taken_end` is null without a slot."""
-    slots = mix_slots(targets, seed)
+    # Sized after the sources they are made from, slots would look small enough to broadcast.
+    slots = mix_slots(targets, seed).hint("merge")
     end = F.least(F.col("piece_end"), F.col("block_start") + F.col("words"))
     return pieces.join(slots, ["source_index", "block"], "left").withColumn(
         "taken_end",
