@@ -58,7 +58,8 @@ class FactoredDelivery:
         return orders.join(items, "order_id").select("order_id", "delivery_days", *keys, "items")
 
     def order_count(self) -> Column:
-        return F.count("order_id") if self.keys_enforced else F.count_distinct("order_id")
+        unique = self.keys_enforced or self.tables.unique_keys
+        return F.count("order_id") if unique else F.count_distinct("order_id")
 
 
 Delivery = StoredDelivery | FactoredDelivery

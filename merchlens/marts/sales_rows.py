@@ -90,7 +90,7 @@ class FactoredSales:
 
     Set `keys_enforced` only for tables whose loader found no repeated key and no orphan:
     joins that would merely look for a parent row are then left out, and orders are
-    counted plainly. On other tables a repeated parent repeats rows, as it does in the
+    counted plainly, as on tables whose source guarantees their keys. On other tables a repeated parent repeats rows, as it does in the
     mart, and orders are counted distinct.
     """
 
@@ -129,7 +129,8 @@ class FactoredSales:
 
     def order_count(self) -> Column:
         """With unique keys each order appears once per combination of report keys."""
-        return F.count("order_id") if self.keys_enforced else F.count_distinct("order_id")
+        unique = self.keys_enforced or self.tables.unique_keys
+        return F.count("order_id") if unique else F.count_distinct("order_id")
 
     collapsed_count = order_count
 
