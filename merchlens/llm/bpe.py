@@ -28,10 +28,11 @@ from tokenizers import Tokenizer
 
 from merchlens.llm.common import documents, per_batch
 
-# Distinct words whose encodings one Python worker remembers, and characters of
-# text whose new words go into one trie. Both bound memory, not results.
-REMEMBERED_WORDS = 500_000
-TRIE_CHARS = 8_000_000
+# Distinct words whose encodings, and pairs of tokens whose seams, one Python worker
+# remembers for as long as it lives, and characters of text whose new words go into one
+# trie. They bound memory, not results.
+REMEMBERED_WORDS, REMEMBERED_SEAMS = 200_000, 100_000
+TRIE_CHARS = 2_000_000
 
 # Texts with none of these are cleaned and split here: NFC keeps characters below
 # U+0250 as they are, and Python's lower case and letter classes are the file's. All
@@ -130,7 +131,7 @@ class Merges:
     def encode(self, words: Iterable[str]) -> dict[str, list[str]]:
         """Tokens of each distinct word in byte letters, shared prefixes once."""
         vocab, suffix, longest, seams = self.vocab, self.suffix, self.longest, self.seams
-        if len(seams) > REMEMBERED_WORDS:
+        if len(seams) > REMEMBERED_SEAMS:
             seams.clear()
         before, path = "", [""]  # path[d]: last token of the prefix of length d
         made = {}

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 # Distinct words whose hashes one Python worker remembers; bounds memory, not results.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 200_000
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _FACTOR = 0xD6E8FEB86659FD93

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from merchlens.llm.common import documents, per_batch
 
 # Distinct words whose counts one Python worker remembers; bounds memory, not results.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 200_000
 
 _NONE = -1
 
