@@ -1,40 +1,40 @@
 """Stupid-backoff scores of documents under the n-gram counts of all other documents.
 
-Texts are dealt into buckets by a hash. Each bucket explodes its texts into n-grams of
+Texts are dealt into buckets by a hash, compressed together for each bucket. Each bucket explodes its texts into n-grams of
 one to three words, counts them, and sends one row of packed (n-gram, count) pairs to
 every range of n-gram hashes. A range adds up the counts of all buckets, which makes it
-one partition of the count table, and joins the totals back to each bucket's n-grams.
+one partition of the count table, and joins back to each bucket's n-grams what the
+other buckets hold of them.
 The bucket then scores its documents: every word by the longest n-gram ending in it that
 other documents hold, and sums the logarithms per document.
 
 An n-gram comes once from each bucket however often it is found, so no n-gram is too
 frequent for one task; buckets and ranges grow with the shuffle partitions. N-grams are
-hashes with twenty bits more than it takes to number all n-grams, so that at any size of
-the corpus about one n-gram in a million shares its hash, and counts, with another.
+64-bit hashes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlens.llm.common import WORD, documents, find_package
-from merchlens.llm.packing import deltas, packed, range_of, unpacked
+from merchlens.llm.packing import deltas, range_of, squeezed, unsqueezed
 from merchlens.llm.shingles import WordHashes, grams, words_of
 
 # Longest n-gram, and the factor for each order backed off.
 ORDER, BACKOFF = 3, 0.4
 
-# Bits of an n-gram's hash beyond those that would number all n-grams.
-SPARE_BITS = 20
-
 # Buckets for each shuffle partition: a task holds its bucket's n-grams several times over.
 BUCKETS_PER_PARTITION = 2
 
+_TEXTS = "bucket int, doc_ids array<bigint>, sizes array<int>, texts binary"
 _COUNTS = "part int, bucket int, n int, hashes binary, counts binary"
-_TOTALS = "bucket int, part int, n int, totals binary"
+_TOTALS = "bucket int, part int, n int, elsewhere binary"
 _SCORES = (
     "doc_id bigint, n_words bigint, n_trigram bigint, n_bigram bigint, n_unigram bigint, "
     "log_counts double"
@@ -44,7 +44,7 @@ _SCORES = (
 class _Bucket:
     """N-grams of a bucket's texts: words of all texts in one row, and their orders."""
 
-    def __init__(self, texts: list[str | None], bits: int):
+    def __init__(self, texts: list[str | None]):
         hashes = WordHashes()
         words = [hashes.of(words_of(text)) for text in texts]
         self.lengths = np.array([len(w) for w in words], np.int64)
@@ -58,7 +58,7 @@ class _Bucket:
             np.concatenate([np.zeros(min(width, len(every)), np.uint64), grams(every, width + 1)])
             for width in range(ORDER)
         ]
-        found = [p[i] >> np.uint64(64 - bits) for p, i in zip(padded, self.inside)]
+        found = [p[i] for p, i in zip(padded, self.inside)]
         self.distinct, at, self.counts = np.unique(
             np.concatenate(found), return_inverse=True, return_counts=True
         )
@@ -116,16 +116,56 @@ def _table(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
 
 
 def _schema(ddl: str) -> pa.Schema:
-    kinds = {"int": pa.int32(), "binary": pa.binary()}
+    kinds = {
+        "int": pa.int32(),
+        "binary": pa.binary(),
+        "array<bigint>": pa.list_(pa.int64()),
+        "array<int>": pa.list_(pa.int32()),
+    }
     return pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in ddl.split(", ")])
 
 
-def _count(parts: int, bits: int):
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of a batch by bucket, those of a bucket in one row; a null text is an empty one."""
+    schema, codec = _schema(_TEXTS), pa.Codec("zstd")
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        bucket = batch["bucket"].to_numpy()
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+        rows = []
+        for start, end in zip(cuts[:-1], cuts[1:]):
+            own = pa.array(order[start:end])
+            texts = [(t or "").encode() for t in batch["text"].take(own).to_pylist()]
+            rows.append(
+                (
+                    int(bucket[order[start]]),
+                    batch["doc_id"].take(own).to_pylist(),
+                    [len(text) for text in texts],
+                    codec.compress(b"".join(texts), asbytes=True),
+                )
+            )
+        yield from _table(schema, rows).to_batches()
+
+
+def _texts(table: pa.Table) -> tuple[list[int | None], list[str]]:
+    """doc_ids and texts of a bucket."""
+    doc_ids, texts, codec = [], [], pa.Codec("zstd")
+    for row in table.select(["doc_ids", "sizes", "texts"]).to_pylist():
+        cuts = np.cumsum([0, *row["sizes"]])
+        data = codec.decompress(row["texts"], int(cuts[-1]), asbytes=True)
+        doc_ids += row["doc_ids"]
+        texts += [data[a:b].decode() for a, b in zip(cuts[:-1], cuts[1:])]
+    return doc_ids, texts
+
+
+def _count(parts: int):
     """Distinct n-grams of a bucket with their counts, a row per range of hashes."""
 
     def run(table: pa.Table) -> pa.Table:
-        held = _Bucket(table["text"].to_pylist(), bits)
-        part = range_of(held.distinct << np.uint64(64 - bits), parts)
+        held = _Bucket(_texts(table)[1])
+        part = range_of(held.distinct, parts)
         cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
         bucket = table["bucket"][0].as_py()
         rows = [
@@ -133,8 +173,8 @@ def _count(parts: int, bits: int):
                 int(part[a]),
                 bucket,
                 int(b - a),
-                packed(deltas(held.distinct[a:b])),
-                packed(held.counts[a:b]),
+                squeezed(deltas(held.distinct[a:b])),
+                squeezed(held.counts[a:b] - 1),
             )
             for a, b in zip(cuts[:-1], cuts[1:])
         ]
@@ -144,41 +184,38 @@ def _count(parts: int, bits: int):
 
 
 def _total(table: pa.Table) -> pa.Table:
-    """A range's count table, joined back: totals in the order of each bucket's n-grams."""
+    """A range's count table, joined back: each bucket's n-grams, in order, in other buckets."""
     rows = table.to_pylist()
-    hashes = [np.cumsum(unpacked(r["hashes"], r["n"]), dtype=np.uint64) for r in rows]
-    counts = [unpacked(r["counts"], r["n"]) for r in rows]
+    hashes = [np.cumsum(unsqueezed(r["hashes"], r["n"]), dtype=np.uint64) for r in rows]
+    counts = [unsqueezed(r["counts"], r["n"]) + np.uint64(1) for r in rows]
     _, at = np.unique(np.concatenate(hashes), return_inverse=True)
     totals = np.bincount(at, weights=np.concatenate(counts).astype(np.float64)).astype(np.uint64)
     cuts = np.cumsum([0, *map(len, hashes)])
     made = [
-        (r["bucket"], r["part"], r["n"], packed(totals[at[a:b]]))
-        for r, a, b in zip(rows, cuts[:-1], cuts[1:])
+        (r["bucket"], r["part"], r["n"], squeezed(totals[at[a:b]] - own))
+        for r, own, a, b in zip(rows, counts, cuts[:-1], cuts[1:])
     ]
     return _table(_schema(_TOTALS), made)
 
 
-def _score(bits: int):
-    """Scores of a bucket's documents from the totals of its n-grams."""
-
-    def run(texts: pa.Table, totals: pa.Table) -> pa.Table:
-        held = _Bucket(texts["text"].to_pylist(), bits)
-        rows = sorted(totals.to_pylist(), key=lambda r: r["part"])
-        counts = [unpacked(r["totals"], r["n"]) for r in rows]
-        every = np.concatenate(counts).astype(np.int64) if counts else np.empty(0, np.int64)
-        words, trigrams, bigrams, unigrams, logs = held.scores(every)
-        return pa.table(
-            {
-                "doc_id": texts["doc_id"].cast(pa.int64()),
-                "n_words": pa.array(words, pa.int64()),
-                "n_trigram": pa.array(trigrams, pa.int64()),
-                "n_bigram": pa.array(bigrams, pa.int64()),
-                "n_unigram": pa.array(unigrams, pa.int64()),
-                "log_counts": pa.array(logs, pa.float64()),
-            }
-        )
-
-    return run
+def _score(texts: pa.Table, elsewhere: pa.Table) -> pa.Table:
+    """Scores of a bucket's documents from its n-grams and the other buckets' counts of them."""
+    doc_ids, own = _texts(texts)
+    held = _Bucket(own)
+    rows = sorted(elsewhere.to_pylist(), key=lambda r: r["part"])
+    counts = [unsqueezed(r["elsewhere"], r["n"]) for r in rows]
+    every = np.concatenate(counts).astype(np.int64) if counts else np.empty(0, np.int64)
+    words, trigrams, bigrams, unigrams, logs = held.scores(every + held.counts)
+    return pa.table(
+        {
+            "doc_id": pa.array(doc_ids, pa.int64()),
+            "n_words": pa.array(words, pa.int64()),
+            "n_trigram": pa.array(trigrams, pa.int64()),
+            "n_bigram": pa.array(bigrams, pa.int64()),
+            "n_unigram": pa.array(unigrams, pa.int64()),
+            "log_counts": pa.array(logs, pa.float64()),
+        }
+    )
 
 
 def backoff_scores(docs: DataFrame, buckets: int | None = None) -> DataFrame:
@@ -203,16 +240,16 @@ def backoff_scores(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = buckets or BUCKETS_PER_PARTITION * partitions
     spread = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int")
-    dealt = docs.select(spread.alias("bucket"), "doc_id", "text").repartition(partitions, "bucket")
+    chosen = docs.select(spread.alias("bucket"), F.col("doc_id").cast("bigint"), "text")
+    dealt = chosen.mapInArrow(_dealt, _TEXTS).repartition(partitions, "bucket")
     words = F.size(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
     all_words = docs.where("text IS NOT NULL").agg(F.sum(words)).first()[0] or 0
-    bits = min(64, max(48, (ORDER * all_words).bit_length() + SPARE_BITS))
-    counts = dealt.groupBy("bucket").applyInArrow(_count(buckets, bits), _COUNTS)
+    counts = dealt.groupBy("bucket").applyInArrow(_count(buckets), _COUNTS)
     totals = counts.groupBy("part").applyInArrow(_total, _TOTALS)
     scored = (
         dealt.groupBy("bucket")
         .cogroup(totals.groupBy("bucket"))
-        .applyInArrow(_score(bits), _SCORES)
+        .applyInArrow(_score, _SCORES)
     )
     rest = F.greatest(F.lit(all_words) - F.col("n_words"), F.lit(1))
     score = F.col("log_counts") - F.col("n_unigram") * F.log(rest.cast("double"))

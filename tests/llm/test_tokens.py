@@ -167,3 +167,12 @@ def test_scores_of_other_tables(spark):
     assert ngram_lm.backoff_scores(corpus.table(spark, [])).collect() == []
     one = ngram_lm.backoff_scores(corpus.table(spark, corpus.rows()[:1])).first()
     assert one.n_unigram == one.n_words and one.log_score < 0
+
+
+def test_words_that_share_many_bits_of_their_hash_are_counted_apart(spark):
+    """Hashes of both words begin with the same 48 bits."""
+    texts = ["x38546873", "x24065694", "x24065694", "x24065694"]
+    rows = [(i, text, "en", "web", 1) for i, text in enumerate(texts)]
+    got = {r.doc_id: r.log_score for r in ngram_lm.backoff_scores(corpus.table(spark, rows)).collect()}
+    assert got[0] == round(math.log(1 / 3), 6)
+    assert got[1] == got[2] == got[3] == round(math.log(2 / 3), 6)
