@@ -6,7 +6,11 @@ tokens that repeat or resemble each other anywhere in the document share skip
 potentials. Loopy sum-product passing makes their labels agree, so a number found
 once in full is also found where it is repeated without its prefix. All other tokens
 are fixed to no label, which cuts the chain and leaves few nodes. Repeats are linked
-each to the next, so a document has as many links as tokens.
+each to the next, so links grow with the tokens and not with their pairs.
+
+Tokens repeat when their texts are equal. They resemble each other when they are parts
+of numbers that end in the same seven digits or more, whether written in one token or
+in groups parted by single blanks, or addresses that differ in case only.
 
 Weights are trained on a bounded sample of documents whose labels are the pattern
 matches. The match itself is a feature that is hidden from half of the tokens, so
@@ -137,12 +141,42 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[Token]:
     return tokens
 
 
-def _key(token: Token) -> str:
-    """What similar tokens share: the last seven digits, or the address in lower case."""
-    if "@" in token.text:
-        return token.text.lower()
-    digits = _digits(token.text)
-    return digits[-7:] if len(digits) >= 7 else ""
+# Digits at the end of a number by which it is known: at least, and at most.
+_LEAST, _MOST = 7, 15
+
+
+def _parts(tokens: list[Token]) -> list[tuple[str, list[int]]]:
+    """Number endings and addresses, each with the tokens it is written in.
+
+    A number goes on over single blanks, and may end at any of its tokens. A token is a
+    part of an ending that has two of its digits, or all but zeros it begins with.
+    """
+    digits = [_digits(token.text) for token in tokens]
+    plain = [not any(c == "@" or c.isalpha() for c in token.text) for token in tokens]
+    found: list[tuple[str, list[int]]] = []
+    for end, token in enumerate(tokens):
+        if "@" in token.text:
+            found.append((token.text.lower(), [end]))
+            continue
+        first, number, after = end, digits[end], [0]
+        while (
+            len(number) < _MOST
+            and first
+            and plain[first]
+            and plain[first - 1]
+            and tokens[first].start - tokens[first - 1].end == 1
+        ):
+            after.append(len(number))
+            first -= 1
+            number = digits[first] + number
+        for length in range(_LEAST, min(_MOST, len(number)) + 1):
+            inside = [
+                end - back
+                for back, skipped in enumerate(after)
+                if length - skipped >= min(2, len(digits[end - back].lstrip("0")) or 1)
+            ]
+            found.append((number[-length:], inside))
+    return found
 
 
 _SHAPES = (
@@ -175,19 +209,23 @@ def _features(tokens: list[Token]) -> np.ndarray:
     return made
 
 
-def _links(tokens: list[Token]) -> tuple[np.ndarray, np.ndarray]:
-    """Chain links (i, i + 1), and skip links from each token to the next with its key."""
+def _links(
+    tokens: list[Token], parts: list[tuple[str, list[int]]] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Chain links (i, i + 1), and skip links from each token to the next like it."""
     chain = [(i - 1, i) for i, token in enumerate(tokens) if i and token.joined]
-    last: dict[str, int] = {}
-    skip = []
+    written_in: dict[tuple[str, str], list[list[int]]] = {}
     for i, token in enumerate(tokens):
-        key = _key(token)
-        if key:
-            if key in last:
-                skip.append((last[key], i))
-            last[key] = i
+        written_in.setdefault(("text", token.text), []).append([i])
+    for key, inside in _parts(tokens) if parts is None else parts:
+        written_in.setdefault(("part", key), []).append(inside)
+    skip = set()
+    for places in written_in.values():
+        if len(places) > 1:
+            like = sorted({i for inside in places for i in inside})
+            skip.update(zip(like[:-1], like[1:]))
     shape = (-1, 2)
-    return np.array(chain, int).reshape(shape), np.array(skip, int).reshape(shape)
+    return np.array(chain, int).reshape(shape), np.array(sorted(skip), int).reshape(shape)
 
 
 # ---- the field -------------------------------------------------------------------
@@ -236,12 +274,16 @@ class Field:
         tokens = candidates(text, base) if base else []
         if all(token.label for token in tokens):
             return []
-        held = {(_key(token), token.label) for token in tokens if token.label}
+        parts = _parts(tokens)
+        held = {(key, tokens[i].label) for key, inside in parts for i in inside}
         belief = self.beliefs(tokens)
         best = belief.argmax(axis=1)
         best[belief.max(axis=1) < SURE] = 0
         # A label has to come from a similar token's match, or from a neighbour that has it so.
-        backed = [bool(_key(t)) and (_key(t), int(b)) in held for t, b in zip(tokens, best)]
+        backed = [False] * len(tokens)
+        for key, inside in parts:
+            for i in inside:
+                backed[i] = backed[i] or (best[i] > 0 and (key, int(best[i])) in held)
         ahead = range(1, len(tokens))
         for i, j in [*((i - 1, i) for i in ahead), *((i, i - 1) for i in reversed(ahead))]:
             joined = tokens[max(i, j)].joined and best[i] == best[j] and not tokens[i].label

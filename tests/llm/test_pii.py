@@ -105,6 +105,28 @@ def test_repeats_take_the_label_of_the_match():
     assert len(base) == 1 and len(every) == 2
 
 
+def test_numbers_in_groups_are_linked_and_backed():
+    field = pii.train(sample())
+    for first, later in (
+        ("+44 20 7946 0958", "020 7946 0958"),
+        ("+442079460958", "020 7946 0958"),
+        ("+44 20 7946 0958", "02079460958"),
+        ("+33 1 42 68 53 00", "01 42 68 53 00"),
+        ("+49 30 123456", "030 123456"),
+    ):
+        text = f"call {first} today. later {later} again, 12 times in 2024 and 7946 more"
+        base, every = pii.all_spans(text, field)
+        assert [text[s:e] for _, s, e in base] == [first]
+        assert [text[s:e] for k, s, e in every if (k, s, e) not in base] == [later], first
+        assert later not in pii.masked(text, field)
+
+
+def test_equal_tokens_are_linked():
+    tokens = pii.candidates("x 7946 and 12 or 7946 but 7946", [])
+    assert [t.text for t in tokens] == ["7946", "12", "7946", "7946"]
+    assert pii._links(tokens)[1].tolist() == [[0, 2], [2, 3]]
+
+
 def test_clean_texts_stay_clean():
     field = pii.train(sample())
     for text in ("no numbers here", "12 apples, 3.5 kg, 2024-01-01, 1234567 and 1234567", "a@b"):
