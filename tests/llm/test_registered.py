@@ -80,6 +80,27 @@ def test_pipeline_equals_its_steps_by_hand(spark):
     assert got == wanted and len(first) < len(passed) < len(docs)
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Repeated rows, rows without doc_id, and a doc_id in two groups."""
+    one, two, three = (corpus.prose(seed, 120) for seed in (1, 2, 3))
+    rows = [
+        (1, one, "en", "web", 1),
+        (1, one, "en", "web", 1),
+        (1, one, "de", "web", 1),
+        (None, corpus.edited(one, 5, 1), "en", "web", 1),
+        (None, two, "en", "web", 1),
+        (None, two, "en", "books", 1),
+        (1, three, "en", "web", 1),
+        (0, corpus.edited(three, 6, 1), "en", "web", 1),
+        (9, None, "en", "web", None),
+        (9, None, "en", "web", None),
+    ]
+    out = corpus_pipeline.near_duplicates(spark, corpus.table(spark, rows), FOLDER).collect()
+    assert Counter((r.doc_id, r.text, r.lang) for r in out) == Counter(
+        [(1, one, "de"), (None, two, "en"), (0, rows[7][1], "en"), *[(9, None, "en")] * 2]
+    )
+
+
 def test_nothing_else_imports_the_corpus_operators():
     from pathlib import Path
 
