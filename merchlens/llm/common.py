@@ -69,14 +69,19 @@ def per_batch(
 
 
 def running_before(
-    rows: DataFrame, group: str, order: list[str], amount: Column, name: str
+    rows: DataFrame,
+    group: str,
+    order: list[str],
+    amount: Column,
+    name: str,
+    ties: tuple[str, ...] = (),
 ) -> DataFrame:
     """Add `name`: the amounts of the group's rows before this one, in several tasks a group.
 
     A group's rows are dealt into 4096 buckets by a hash of `order`; totals are taken
     within a bucket, and moved up by the totals of the buckets before it. No window
     holds more than one bucket of rows, or one row per bucket. `rows` is read twice.
-    Rows equal in `order` stand in any order.
+    Rows equal in `order` stand in the order of `ties`, or in any.
     """
     text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order))
     dealt = rows.withColumn("bucket", F.substring(F.md5(text), 1, 3)).withColumn("amount", amount)
@@ -88,7 +93,7 @@ def running_before(
         .agg(F.sum("amount").alias("held"))
         .select(group, "bucket", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("start"))
     )
-    within = Window.partitionBy(group, "bucket").orderBy(*order)
+    within = Window.partitionBy(group, "bucket").orderBy(*order, *ties)
     inside = F.sum("amount").over(within.rowsBetween(Window.unboundedPreceding, -1))
     return (
         dealt.withColumn("inside", F.coalesce(inside, F.lit(0)))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from merchlens.llm.common import WORD, documents, find_package, running_before
-from merchlens.session import ensure_checkpoint_dir
+from merchlens.session import ensure_checkpoint_dir, new_shared_folder
 
 # Weights of the sources in order, repeating; what they share; their bound.
 WEIGHTS = (3, 1, 2)
@@ -215,7 +215,8 @@ def _pieces(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
     named = targets.withColumnRenamed("source", "of_source")
     rows = sized.join(named, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
     order = [c for c in ("doc_id", "text_hash", "size") if c in rows.columns]
-    placed = running_before(rows, "source_index", order, F.col("size"), "offset")
+    ties = tuple(c for c in ("row_key",) if c in rows.columns)
+    placed = running_before(rows, "source_index", order, F.col("size"), "offset", ties)
     first = F.floor(F.col("offset") / BLOCK_WORDS)
     last = F.floor((F.col("offset") + F.col("size") - 1) / BLOCK_WORDS)
     pieces = (
@@ -289,14 +290,19 @@ def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
     A document comes once for each pass that takes words of it, with `text` cut to
     these words and `n_chars` counted anew; taken whole, its text is unchanged. Rows
-    equal in doc_id and text each come with what all of them take.
+    equal in doc_id and text each come with what they take themselves: rows are
+    written once with a key of their own.
     """
-    text_hash = F.xxhash64("text").alias("text_hash")
-    targets, pieces = _pieces(_sized(docs, text_hash))
+    folder = new_shared_folder(docs.sparkSession, "mix")
+    key = F.monotonically_increasing_id().alias("row_key")
+    docs.select(F.struct(*docs.columns).alias("row"), key).write.parquet(folder)
+    rows = docs.sparkSession.read.parquet(folder)
+    flat = rows.select("row.doc_id", "row.source", "row.text", "row_key")
+    targets, pieces = _pieces(_sized(flat, F.xxhash64("text").alias("text_hash"), "row_key"))
     runs = (
         _taken(targets, pieces, seed)
         .where("taken_end > piece_start")
-        .groupBy("doc_id", "text_hash", "turn")
+        .groupBy("row_key", "turn")
         .agg(
             F.collect_list(
                 F.struct(
@@ -305,7 +311,6 @@ def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
                 )
             ).alias("runs")
         )
-        .withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_text", "turn": "of_turn"})
     )
 
     @F.pandas_udf("string")
@@ -315,10 +320,7 @@ def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
             dtype=object,
         )
 
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
-    text = F.col("row.text")
-    same = F.col("row.doc_id").eqNullSafe(F.col("of_doc")) & (F.xxhash64(text) == F.col("of_text"))
-    cut = rows.join(runs, same).withColumn("taken_text", excerpt(text, "runs"))
+    cut = rows.join(runs, "row_key").withColumn("taken_text", excerpt(F.col("row.text"), "runs"))
     changed = {
         "text": F.col("taken_text"),
         "n_chars": F.length("taken_text").cast("bigint"),

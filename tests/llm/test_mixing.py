@@ -129,3 +129,22 @@ def test_mixed_documents_hold_the_words_taken(spark):
     # Both order documents by a hash, of other columns; totals per source agree.
     by_source = lambda c: Counter({s: sum(v for k, v in c.items() if k % 4 == s) for s in range(4)})
     assert by_source(words) == by_source(taken)
+
+
+def test_repeated_rows_take_their_own_words_only(spark):
+    """Rows several times over, also without doc_id and under another source."""
+    given = [*corpus.rows(), *corpus.rows()[:6] * 4, *corpus.rows()[-2:] * 3]
+    given += [(r[0], r[1], r[2], "elsewhere", r[4]) for r in corpus.rows()[:4]]
+    sizes: Counter = Counter()
+    held: Counter = Counter()
+    for r in given:
+        sizes[r[3]] += len((r[1] or "").encode().split())
+        held[r[0], r[3]] += len((r[1] or "").encode().split())
+    taken: Counter = Counter()
+    own: Counter = Counter()
+    for r in mixing.mixed_documents(corpus.table(spark, given)).collect():
+        taken[r.source] += len(r.text.encode().split())
+        own[r.doc_id, r.source] += len(r.text.encode().split())
+    for source, target in shared_out(sizes).items():
+        assert taken[source] == round(target)
+    assert all(words <= 2 * held[row] for row, words in own.items())
