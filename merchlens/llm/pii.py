@@ -239,8 +239,13 @@ class Field:
     chain: np.ndarray
     skip: np.ndarray
 
-    def beliefs(self, tokens: list[Token], rounds: int = 200) -> np.ndarray:
-        """Label probabilities by loopy sum-product, until messages settle."""
+    def beliefs(self, tokens: list[Token], rounds: int | None = None) -> np.ndarray:
+        """Label probabilities by loopy sum-product, until messages settle.
+
+        A message takes about two damped rounds a link, so that by default there are
+        rounds enough to cross all tokens there and back.
+        """
+        rounds = rounds or max(200, 4 * len(tokens))
         local = np.exp(_scaled(_features(tokens) @ self.node))
         chain, skip = _links(tokens)
         forward = np.concatenate([chain, skip])

@@ -94,6 +94,18 @@ def test_message_passing_is_exact_on_a_tree():
         assert np.allclose(belief[i], joint.sum(axis=others), atol=1e-3)
 
 
+def test_evidence_crosses_a_long_document():
+    labels = len(pii.KINDS) + 1
+    node = np.zeros((pii._FEATURES, labels))
+    node[1 + labels - 1, labels - 1] = 20
+    field = pii.Field(node, np.zeros((labels, labels)), 20 * np.eye(labels))
+    text = "+12125550147 " + "x 2125550147 " * 500
+    tokens = pii.candidates(text, pii.base_spans(text))
+    assert len(tokens) == 501
+    assert (field.beliefs(tokens).argmax(axis=1) == labels - 1).all()
+    assert np.allclose(field.beliefs(tokens), field.beliefs(tokens, rounds=10_000), atol=1e-3)
+
+
 def test_repeats_take_the_label_of_the_match():
     field = pii.train(sample())
     text = "call +1 (212) 555-0147 today. later 212-555-0147 again, order 1234567 stays"
