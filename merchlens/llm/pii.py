@@ -349,18 +349,18 @@ def train(documents_: list[str], steps: int = 400, rate: float = 0.3, decay: flo
 
 
 def fit(docs: DataFrame) -> Field:
-    """A field trained on the documents with the smallest hashes of doc_id.
+    """A field trained on rows of the documents with the smallest hashes of doc_id.
 
-    At most `SAMPLE_DOCS` documents come to the driver, and of each only the
-    neighbourhoods of its first `SAMPLE_TOKENS` tokens with a digit or an at sign. A
-    table without personal data gives a field that adds none.
+    At most `SAMPLE_DOCS` rows come to the driver, however often a doc_id is repeated,
+    and of each only the neighbourhoods of its first `SAMPLE_TOKENS` tokens with a digit
+    or an at sign. More are cut by the hash of doc_id and neighbourhoods. A table without personal data gives a field that adds none.
     """
     ids = docs.select("doc_id", F.xxhash64("doc_id").alias("place")).where("doc_id IS NOT NULL")
     held = ids.count()
     if held > 4 * SAMPLE_DOCS:
         # About twice the sample has so small a hash: that many ids are sorted, not all.
         ids = ids.where(F.col("place") < int(-(2**63) + 2 * SAMPLE_DOCS / held * 2**64))
-    found = ids.orderBy("place", "doc_id").limit(SAMPLE_DOCS).collect()
+    found = ids.distinct().orderBy("place", "doc_id").limit(SAMPLE_DOCS).collect()
     chosen = sorted({row.doc_id for row in found})
 
     def step(doc_id, texts):
@@ -369,9 +369,10 @@ def fit(docs: DataFrame) -> Field:
         return [[i for i, _ in rows], [text for _, text in rows]]
 
     some = docs.where(F.col("doc_id").isin(chosen))
-    rows = per_batch(some, ["doc_id", "text"], step, "doc_id bigint, text string").collect()
-    texts = sorted((row.doc_id, row.text) for row in rows)
-    return train([text for _, text in texts[:SAMPLE_DOCS]])
+    rows = per_batch(some, ["doc_id", "text"], step, "doc_id bigint, text string")
+    few = rows.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(SAMPLE_DOCS)
+    texts = sorted((row.doc_id, row.text) for row in few.collect())
+    return train([text for _, text in texts])
 
 
 def excerpt(text: str, around: int = 24) -> str:
