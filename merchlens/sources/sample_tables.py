@@ -49,7 +49,6 @@ def sample_tables(spark: SparkSession, folder: str) -> RawTables:
         return _read(spark, folder, name)
 
     return RawTables(
-        unique_keys=True,
         customers=lambda: _customers(table("customer"), table("nation")),
         sellers=lambda: _sellers(table("supplier"), table("nation")),
         products=lambda: _products(table("part")),
@@ -67,7 +66,6 @@ def with_deliveries(spark: SparkSession, folder: str) -> RawTables:
     """The same model with the customer delivery date, which needs every line item."""
     tables = sample_tables(spark, folder)
     return tables.replace(
-        unique_keys=True,
         orders=lambda: _delivered(tables.orders, _read(spark, folder, "lineitem"))
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as contract
@@ -37,3 +39,14 @@ def test_entry_is_the_category_classes(spark):
         "orders",
         "aov",
     ]
+
+
+def test_sample_queries_count_repeated_customers_once(spark, tmp_path):
+    for path in Path(FOLDER).glob("*.parquet"):
+        if path.name != "customer.parquet":
+            (tmp_path / path.name).symlink_to(path)
+    customers = spark.read.parquet(f"{FOLDER}/customer.parquet")
+    customers.union(customers).write.parquet(f"{tmp_path}/customer.parquet")
+    once = QUERIES["problem_routes"](spark, FOLDER).collect()
+    twice = QUERIES["problem_routes"](spark, str(tmp_path)).collect()
+    assert sorted(map(repr, once)) == sorted(map(repr, twice))
