@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from merchlens.llm import bpe, fuzzy, jaccard, mixing, ngram_lm, pii, quality, sharding, warc, wordpiece
+from merchlens.llm import (
+    bpe,
+    fuzzy,
+    hard_negatives,
+    jaccard,
+    merkle,
+    mixing,
+    ngram_lm,
+    pii,
+    pivots,
+    quality,
+    sharding,
+    warc,
+    wordpiece,
+)
 
 
 def queries():
@@ -17,6 +31,9 @@ def queries():
         "op8_trie_bpe": bpe.op8_trie_bpe,
         "op9_backoff_scores": ngram_lm.op9_backoff_scores,
         "op10_rule_ledger": quality.op10_rule_ledger,
+        "op11_multi_index_negatives": hard_negatives.op11_multi_index_negatives,
+        "op12_slot_manifest": merkle.op12_slot_manifest,
+        "op13_pivot_search": pivots.op13_pivot_search,
     }
 
 
@@ -26,4 +43,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_content_archive": warc.ORACLE,
         "op9_backoff_scores": ngram_lm.ORACLE,
         "op10_rule_ledger": quality.ORACLE,
+        "op11_multi_index_negatives": hard_negatives.ORACLE,
+        "op12_slot_manifest": merkle.ORACLE,
+        "op13_pivot_search": pivots.ORACLE,
     }

@@ -1,0 +1,107 @@
+"""The manifest against a tree built node by node."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+from collections import Counter
+
+import pytest
+
+from merchlens.llm import merkle
+from tests.llm import corpus
+
+
+def hashed(*parts: str) -> str:
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row: tuple) -> str:
+    doc_id, text, lang, source, n_chars = row
+    values = [None if x is None else str(x) for x in (doc_id, source, lang, n_chars, text)]
+    return hashed(*("-" if x is None else f"{len(x.encode())}:{x}" for x in values))
+
+
+def tree(nodes: list[str]) -> tuple[str, list[list[tuple[str, str]]]]:
+    """Root, and per leaf its (left, right) siblings from the leaf up."""
+    paths, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for i, place in enumerate(at):
+            run = nodes[place // 16 * 16 : place // 16 * 16 + 16]
+            paths[i].append(("".join(run[: place % 16]), "".join(run[place % 16 + 1 :])))
+            at[i] = place // 16
+        nodes = [hashed(*nodes[i : i + 16]) for i in range(0, len(nodes), 16)]
+    return nodes[0], paths
+
+
+def by_hand(rows: list[tuple]) -> Counter:
+    sources = sorted({r[3] for r in rows}, key=lambda s: (s is not None, (s or "").encode()))
+    held = []
+    for source in sources:
+        own = [r for r in rows if r[3] == source]
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        held.append((own, *tree([leaf(r) for r in own])))
+    root, upper = tree([subroot for _, subroot, _ in held])
+    out = Counter()
+    for (own, subroot, paths), above in zip(held, upper):
+        for row, path in zip(own, paths):
+            node, chosen = leaf(row), row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0
+            if chosen and row[1] is not None:
+                lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in row[1])
+                node = leaf((row[0], lowered, *row[2:]))
+            for left, right in path + above:
+                node = hashed(left, node, right)
+            proof = hashed(*(side for step in path + above for side in step))
+            out[(row[0], leaf(row), subroot, root, proof, node, node == root)] += 1
+    return out
+
+
+def long_table() -> list[tuple]:
+    """A source of three levels, one of a single row, and more sources than a run holds."""
+    rows = [(i * 7 % 1000 - 20, f"Text {i} É", "en", "web", i) for i in range(300)]
+    rows += [(i, "T" * i, None, f"s{i % 23}", None) for i in range(120)]
+    return [*rows, (5, "Alone", "de", None, 5), (6, "", "de", "\U0001f600", 0), (7, None, "de", "", 0)]
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        corpus.rows(),
+        long_table(),
+        [(1, "only", "en", "web", 4)],
+        [(1, "A", "en", "web", 1)] * 40,
+        [(i, "A", "en", f"s{i}", 1) for i in range(17)],
+        [(None, None, None, None, None)],
+        [],
+    ],
+)
+def test_manifest_equals_a_tree_by_hand(spark, rows):
+    got = merkle.merkle_manifest(corpus.table(spark, rows)).collect()
+    assert Counter(map(tuple, got)) == (by_hand(rows) if rows else Counter())
+
+
+def test_further_columns_are_ignored(spark):
+    docs = corpus.table(spark)
+    wanted = corpus.bag(merkle.merkle_manifest(docs))
+    assert corpus.bag(merkle.merkle_manifest(corpus.clashing(docs))) == wanted
+
+
+def test_tampering_shows_where_letters_change(spark):
+    rows = [(i, "Same Text" if i % 2 else "same text", "en", "web", 9) for i in range(200)]
+    out = merkle.merkle_manifest(corpus.table(spark, rows)).collect()
+    for row in out:
+        chosen = zlib.crc32(str(row.doc_id).encode()) % 5 == 0
+        assert row.verified == (not chosen or row.doc_id % 2 == 0)
+
+
+def test_hot_source_is_numbered_in_many_tasks(spark):
+    docs = spark.range(20000).selectExpr(
+        "id doc_id", "'t' text", "'en' lang", "if(id % 10 < 9, 'web', 'other') source", "1 n_chars"
+    )
+    rows = docs.selectExpr("source tree", "doc_id", "doc_id row")
+    spread = merkle.numbered(rows, "tree", ["doc_id", "row"])
+    got = {(r.tree, r.doc_id): (r.idx, r.total) for r in spread.collect()}
+    web = [i for i in range(20000) if i % 10 < 9]
+    assert [got["web", i] for i in web] == [(at, len(web)) for at in range(len(web))]
+    window = [line for line in spread._jdf.queryExecution().toString().splitlines() if "row_number()" in line]
+    assert all("range" in line for line in window)

@@ -1,0 +1,178 @@
+"""Top-k search and hard negatives against scores of all pairs."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from merchlens.llm import hard_negatives as hard
+from merchlens.llm import pivots
+from merchlens.llm import vectors as v
+from tests.llm import corpus
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def made(seed: int, count: int, size: int = 6) -> list[tuple]:
+    """Vectors around a few centres, on a coarse grid so that scores tie."""
+    rng = random.Random(seed)
+    centres = [[rng.uniform(-1, 1) for _ in range(size)] for _ in range(4)]
+    rows = []
+    for at in range(count):
+        label = rng.randrange(4)
+        vector = [round(c + rng.gauss(0, 0.3), 1) for c in centres[label]]
+        rows.append((at, vector, label))
+    return rows
+
+
+def awkward() -> list[tuple]:
+    rows = made(5, 150)
+    return [
+        *rows,
+        *rows[:20],  # repeated rows, queries among them
+        *[(200 + i, rows[20][1], 1) for i in range(40)],  # many equal vectors
+        (300, None, 1),
+        (301, [1.0, None, 0.5, 0.0, 0.0, 0.0], 1),
+        (302, [1.0, math.nan, 0.5, 0.0, 0.0, 0.0], 1),
+        (303, [math.inf, 0.0, 0.5, 0.0, 0.0, 0.0], 1),
+        (304, [3e30, 0.0, 0.5, 0.0, 0.0, 0.0], 1),
+        (400, [0.25, -0.5], 2),
+        (401, [], 2),
+        (500, [0.0] * 6, 3),
+        (600, [40000.0] * 6, 3),
+        (601, [20000.0] * 6, 0),
+        (None, rows[0][1], 0),
+        (None, rows[1][1], 1),
+        (700, rows[3][1], None),
+        (-20, rows[4][1], 2),
+        (-700, rows[5][1], 2),
+    ]
+
+
+def taking_part(rows: list[tuple], scale: int) -> list[tuple]:
+    size = max((len(r[1]) for r in rows if r[1]), default=0)
+    kept = []
+    for vec_id, vector, label in rows:
+        if vector is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        whole = [math.floor(scale * float(np.float32(x))) for x in vector]
+        if sum(x * x for x in whole) < 1 << 61:
+            kept.append((vec_id, whole + [0] * (size - len(whole)), label))
+    return kept
+
+
+def place(score: int, vec_id: int | None) -> tuple:
+    return -score, vec_id is None, vec_id or 0
+
+
+def score(a: list[int], b: list[int]) -> int:
+    return sum(x * y for x, y in zip(a, b))
+
+
+def top_by_all_pairs(rows, every, k, scale=pivots.SCALE):
+    out, kept = Counter(), taking_part(rows, scale)
+    for at, (query_id, query, _) in enumerate(kept):
+        if query_id is not None and query_id % every == 0:
+            found = [(score(query, x), i) for j, (i, x, _) in enumerate(kept) if j != at]
+            found.sort(key=lambda pair: place(*pair))
+            out.update((query_id, n + 1, i, s) for n, (s, i) in enumerate(found[:k]))
+    return out
+
+
+def negatives_by_all_pairs(rows, every, scale=hard.SCALE):
+    out = Counter()
+    kept = [r for r in taking_part(rows, scale) if r[2] is not None]
+    for at, (anchor_id, anchor, label) in enumerate(kept):
+        if anchor_id is None or anchor_id % every:
+            continue
+        others = [(score(anchor, x), i, y) for j, (i, x, y) in enumerate(kept) if j != at]
+        others.sort(key=lambda t: place(*t[:2]))
+        for ps, positive_id, _ in [t for t in others if t[2] == label][:5]:
+            fits = [t for t in others if t[2] != label and 30 * ps <= 100 * t[0] <= 90 * ps]
+            for n, (ns, negative_id, _) in enumerate(fits[:10]):
+                out[(anchor_id, positive_id, n + 1, negative_id, ps, ns)] += 1
+    return out
+
+
+@pytest.fixture(params=[v.BLOCK_ROWS, 16])
+def block_rows(request, monkeypatch):
+    """One block, and many of them with queries in several parts."""
+    monkeypatch.setattr(v, "BLOCK_ROWS", request.param)
+    if request.param < 100:
+        monkeypatch.setattr(v, "QUERIES_PER_TASK", 5)
+
+
+@pytest.mark.parametrize("every", [1, 20])
+def test_top_scores_equal_all_pairs(spark, block_rows, every):
+    table = spark.createDataFrame(awkward(), SCHEMA)
+    got = Counter(map(tuple, pivots.top_scores(table, every, 7).collect()))
+    assert got == top_by_all_pairs(awkward(), every, 7)
+
+
+@pytest.mark.parametrize("every", [1, 20])
+def test_hard_negatives_equal_all_pairs(spark, block_rows, every):
+    table = spark.createDataFrame(awkward(), SCHEMA)
+    got = Counter(map(tuple, hard.hard_negatives(table, every).collect()))
+    wanted = negatives_by_all_pairs(awkward(), every)
+    assert got == wanted and len(wanted) > 50
+
+
+def test_further_columns_are_ignored(spark):
+    rows = made(9, 60)
+    table = spark.createDataFrame(rows, SCHEMA)
+    names = [*corpus.CLASHES, "x", "norm2", "cell", "left", "right", "least", "found", "query_id"]
+    clash = table.select("*", *(F.lit("own").alias(name) for name in names))
+    assert corpus.bag(pivots.top_scores(clash)) == corpus.bag(pivots.top_scores(table))
+    assert corpus.bag(hard.hard_negatives(clash, 5)) == corpus.bag(hard.hard_negatives(table, 5))
+
+
+@pytest.mark.parametrize(
+    "rows", [[], [(0, None, 1)], [(0, [0.5, 1.0], 1)], [(0, [], 1), (100, [], 2), (200, [], 1)]]
+)
+def test_few_rows(spark, rows):
+    table = spark.createDataFrame(rows, SCHEMA)
+    got = Counter(map(tuple, pivots.top_scores(table).collect()))
+    assert got == top_by_all_pairs(rows, pivots.QUERY_EVERY, pivots.TOP)
+    assert Counter(map(tuple, hard.hard_negatives(table).collect())) == negatives_by_all_pairs(rows, 100)
+
+
+def test_bounds_hold_and_leave_out_rows():
+    """No score passes its bound, and on clustered vectors most rows are never scored."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 60, (8, 16))
+    whole = np.floor(centres[rng.integers(0, 8, 4000)] + rng.normal(0, 4, (4000, 16))).astype(np.int32)
+    norms = (whole.astype(np.int64) ** 2).sum(axis=1)
+    table = pivots.PivotTable(whole[:1000], norms[:1000], int(norms.max()))
+    distances = table.of_vectors(whole, norms)
+    scored = 0
+    for query in whole[:20]:
+        reached = whole.astype(np.int64) @ query
+        bound = np.abs(distances - table.of_queries(query[None])).max(axis=1)
+        most = table.most(float(query.astype(float) @ query), bound)
+        assert (reached <= most).all()
+        scored += (most >= np.sort(reached)[-20]).sum()
+    assert scored < 0.3 * 20 * len(whole)
+
+
+def test_cells_come_by_falling_bound_and_cover_all_rows():
+    rng = np.random.default_rng(4)
+    whole = np.floor(rng.normal(0, 60, (500, 9))).astype(np.int32)
+    books = hard.Codebooks(whole[:200])
+    codes, distances = books.places(whole)
+    radii = []
+    for code, distance, size in zip(codes, distances, map(len, books.codes)):
+        radius = np.full(size, -1.0)
+        np.maximum.at(radius, code, distance)
+        radii.append(radius)
+    for query in whole[:10]:
+        seen = list(hard.multi_sequence(*books.bounds(query, radii)))
+        assert [s for s, _, _ in seen] == sorted((s for s, _, _ in seen), reverse=True)
+        bound = {(i, j): s for s, i, j in seen}
+        assert len(bound) == len(seen)
+        for x, i, j in zip(whole.astype(np.int64), *codes):
+            assert x @ query <= bound[i, j]
