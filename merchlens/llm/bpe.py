@@ -34,9 +34,10 @@ from merchlens.llm.common import documents, per_batch
 REMEMBERED_WORDS, REMEMBERED_SEAMS = 200_000, 100_000
 TRIE_CHARS = 2_000_000
 
-# Texts with none of these are cleaned and split here: NFC keeps characters below
-# U+0250 as they are, and Python's lower case and letter classes are the file's. All
-# others go through the library's own normalizer and splitter.
+# Texts with none of these, in lower case as well, are cleaned and split here: NFC keeps
+# characters below U+0250 as they are, and Python's lower case and letter classes are the
+# file's. All others go through the library's own normalizer and splitter; some capitals
+# below U+0250 are among them, as their small letters lie above.
 _UNUSUAL = re.compile("[\x00\x01\x1c-\x1f\x85\xa0\u0250-\U0010ffff]")
 _LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
 _NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -181,21 +182,26 @@ class Codec:
         self.merges = Merges(
             model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"]
         )
+        for token in parsed["added_tokens"]:
+            if any(token[flag] for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+                raise ValueError(f"special string {token['content']!r} is not matched as it stands")
         self.specials = {t["content"]: t["id"] for t in parsed["added_tokens"]}
         ordered = sorted(self.specials, key=len, reverse=True)
-        self.special = re.compile("(" + "|".join(map(re.escape, ordered)) + ")")
+        # Without special strings nothing matches.
+        self.special = re.compile("(" + ("|".join(map(re.escape, ordered)) or "(?!)") + ")")
         # word, marked if mapped or special -> (tokens, ids as text, tokens as text)
         self.known: dict[str, tuple[int, str, str]] = {}
 
     def _plain_words(self, text: str) -> list[str]:
-        if not _UNUSUAL.search(text):
-            return _WORDS.findall(text.lower())
+        lowered = text.lower()
+        if not _UNUSUAL.search(text) and not _UNUSUAL.search(lowered):
+            return _WORDS.findall(lowered)
         clean = self.library.normalizer.normalize_str(text)
         return [_MAPPED + word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(clean)]
 
     def words(self, text: str) -> list[str]:
         """Special strings, and words of the cleaned text between them."""
-        if "<|" not in text:
+        if not any(name in text for name in self.specials):
             return self._plain_words(text)
         found = []
         for at, piece in enumerate(self.special.split(text)):
@@ -214,7 +220,8 @@ class Codec:
             elif word[0] == _MAPPED:
                 spelt[word] = word[1:]
             else:
-                spelt[word] = word if word.isascii() else _byte_letters(word)
+                plain = word.isascii() and word.isprintable()
+                spelt[word] = word if plain else _byte_letters(word)
         encoded = self.merges.encode(set(spelt.values()))
         vocab = self.merges.vocab
         for word, letters in spelt.items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
 from collections import Counter
@@ -57,6 +58,37 @@ def test_tokens_equal_the_library(library, monkeypatch):
         assert count == len(wanted)
 
 
+def test_every_character_alone_and_in_words(library):
+    """Texts of characters below U+0250 take the own path, all but a few of them."""
+    codec = bpe.Codec(bpe.read_tokenizer())
+    points = [chr(c) for c in range(1, 0x3000)]
+    texts = [t for c in points for t in (c, f"ab{c}cd", f"The {c}x's {c}{c} 1{c}.{c} {c}Azer")]
+    for text, (count, ids, decoded) in zip(texts, codec.encode(texts), strict=True):
+        assert ([int(i) for i in ids.split()], decoded) == by_library(library, text), ascii(text)
+    own = [c for c in points if not (bpe._UNUSUAL.search(c) or bpe._UNUSUAL.search(c.lower()))]
+    assert len(own) > 0x250 - 40
+    mixed = [
+        "".join(random.Random(seed).choices(own, k=60)) + " escape \x1b[31m red\x7f\x08" for seed in range(500)
+    ]
+    for text, (count, ids, decoded) in zip(mixed, codec.encode(mixed), strict=True):
+        assert ([int(i) for i in ids.split()], decoded) == by_library(library, text), ascii(text)
+
+
+def test_other_special_strings(library):
+    """A file with special strings of another form, and with none."""
+    content = json.loads(bpe.read_tokenizer())
+    text = "one [END] two[END]<|endoftext|> three"
+    for name in ("[END]", None):
+        token = content["added_tokens"][0] | {"content": name}
+        changed = content | {"added_tokens": [token] if name else []}
+        other = Tokenizer.from_str(json.dumps(changed))
+        ((count, ids, decoded),) = bpe.Codec(json.dumps(changed)).encode([text])
+        assert [int(i) for i in ids.split()] == other.encode(text, add_special_tokens=False).ids
+    token = content["added_tokens"][0] | {"lstrip": True}
+    with pytest.raises(ValueError):
+        bpe.Codec(json.dumps(content | {"added_tokens": [token]}))
+
+
 def test_encoded_rows(spark, library):
     docs = corpus.table(spark)
     got = Counter((r.doc_id, tuple(r.ids), r.decoded) for r in bpe.encoded(docs).collect())
