@@ -18,11 +18,12 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from merchlens.llm.common import WORD, documents, find_package, running_before
+from merchlens.llm.common import WORD, documents, find_package, in_slices, running_before
 from merchlens.session import ensure_checkpoint_dir, new_shared_folder
 
 # Weights of the sources in order, repeating; what they share; their bound.
@@ -184,8 +185,10 @@ def mix_slots(targets: DataFrame, seed: int = SEED) -> DataFrame:
     runs = planned.withColumn(
         "run", F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / _RUN).cast("bigint")))
     )
-    # Spread the runs of a large source over all tasks before slots are made of them.
-    return runs.repartition("source_index", "turn", "run").mapInPandas(
+    # Spread the runs of a large source over all tasks before slots are made of them. They
+    # are few and small as yet, so without a number adaptive execution would join them again.
+    tasks = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return runs.repartition(tasks, "source_index", "turn", "run").mapInPandas(
         spread, "shard bigint, source_index int, turn int, block bigint, words bigint"
     )
 
@@ -313,12 +316,12 @@ def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
         )
     )
 
-    @F.pandas_udf("string")
-    def excerpt(texts: pd.Series, taken: pd.Series) -> pd.Series:
-        return pd.Series(
-            [_excerpt(t, [(r["start"], r["end"]) for r in rs]) for t, rs in zip(texts, taken)],
-            dtype=object,
-        )
+    def excerpts(texts: list, taken: list) -> list:
+        return [_excerpt(t, [(r["start"], r["end"]) for r in rs]) for t, rs in zip(texts, taken)]
+
+    @F.arrow_udf("string")
+    def excerpt(texts: pa.Array, taken: pa.Array) -> pa.Array:
+        return in_slices(excerpts, pa.string(), texts, taken)
 
     cut = rows.join(runs, "row_key").withColumn("taken_text", excerpt(F.col("row.text"), "runs"))
     changed = {

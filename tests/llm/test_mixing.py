@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from merchlens.llm import mixing
 from tests.llm import corpus
@@ -76,6 +77,16 @@ def test_shards_draw_sources_in_proportion(spark, monkeypatch):
     assert len({(r.source_index, r.turn, r.block) for r in slots}) == len(slots)
 
 
+def test_slots_are_made_in_many_tasks(spark):
+    """Also by adaptive execution, which joins partitions of few rows where it may."""
+    targets = spark.createDataFrame(
+        [("a", 0, 8_000_000, 6_000_000.0), ("b", 1, 100_000, 100_000.0)],
+        "source string, source_index int, source_size bigint, target double",
+    )
+    tasks = mixing.mix_slots(targets).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) >= 6 and max(r["count"] for r in tasks) < 0.5 * sum(r["count"] for r in tasks)
+
+
 def check(spark, docs, given):
     size = [len((r[1] or "").encode().split()) for r in given]
     sizes: dict = {}
