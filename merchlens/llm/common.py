@@ -40,14 +40,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about `BATCH_BYTES`, whatever the lengths of texts."""
+    for batch in batches:
+        cuts = -(-batch.nbytes // BATCH_BYTES) or 1
+        size = -(-batch.num_rows // cuts) or 1
+        for start in range(0, batch.num_rows, size):
+            yield batch.slice(start, size)
+
+
 def per_batch(
     frame: DataFrame, columns: list[str], step: Callable[..., list], schema: str
 ) -> DataFrame:
     """Rows that `step` makes of each Arrow batch.
 
     `step` gets one Python list per column and returns one list per column of `schema`.
-    Only the named columns leave the JVM. Batches are cut so that about `BATCH_BYTES`
-    are turned into Python values at a time, whatever the lengths of texts.
+    Only the named columns leave the JVM; batches are cut by `slices`.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -56,18 +64,26 @@ def per_batch(
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cuts = -(-batch.nbytes // BATCH_BYTES) or 1
-            size = -(-batch.num_rows // cuts) or 1
-            for start in range(0, batch.num_rows, size):
-                part = batch.slice(start, size)
-                made = step(*(column.to_pylist() for column in part.columns))
-                arrays = [pa.array(v, f.type) for v, f in zip(made, arrow, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        for part in slices(batches):
+            made = step(*(column.to_pylist() for column in part.columns))
+            arrays = [pa.array(v, f.type) for v, f in zip(made, arrow, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return frame.select(*columns).mapInArrow(run, schema)
 
 
+def in_slices(step: Callable[..., list], kind: pa.DataType, *columns: pa.Array) -> pa.Array:
+    """`step` of the columns' Python values, about `BATCH_BYTES` of them at a time."""
+    rows = len(columns[0])
+    cuts = -(-sum(column.nbytes for column in columns) // BATCH_BYTES) or 1
+    size = -(-rows // cuts) or 1
+    made = [
+        pa.array(step(*(column.slice(start, size).to_pylist() for column in columns)), kind)
+        for start in range(0, rows, size)
+    ]
+    return pa.concat_arrays(made) if made else pa.array([], kind)
+
+
 def running_before(
     rows: DataFrame,
     group: str,

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.llm.common import documents, per_batch
+from merchlens.llm.common import documents, per_batch, slices
 
 # Bytes the rolling hash sees, smallest block size, signature lengths.
 WINDOW, SMALLEST, LONG, SHORT = 7, 3, 64, 32
@@ -185,7 +185,7 @@ _RESULT = pa.schema(
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of each range in order, then a copy of the first row of the next range."""
     last: _Document | None = None
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for bucket, copy, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
             open_ = last is not None and last.bucket == bucket and not last.copy
@@ -239,7 +239,8 @@ def edited_likeness(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     empty table gives no rows. Other columns are ignored.
 
     `buckets` ranges are compared in parallel, by default as many as shuffle partitions;
-    a task holds two documents at a time, whatever their range holds.
+    a task compares two documents at a time, whatever their range holds, and turns about
+    8 MB of a batch into Python values at a time.
     """
     spark = docs.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -25,10 +25,11 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlens.llm.common import documents, per_batch
+from merchlens.llm.common import documents, in_slices, per_batch
 
 # The kinds in their order.
 KINDS = ("email", "ip", "card", "phone")
@@ -453,9 +454,9 @@ def with_masked_text(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """
     packed = _packed(field or fit(docs))
 
-    @F.pandas_udf("string")
-    def mask(texts):
-        return texts.map(lambda text: masked(text, _field(packed)))
+    @F.arrow_udf("string")
+    def mask(texts: pa.Array) -> pa.Array:
+        return in_slices(lambda part: [masked(t, _field(packed)) for t in part], pa.string(), texts)
 
     hidden = docs.withColumn("text", mask("text"))
     return hidden.withColumn(
