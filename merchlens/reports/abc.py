@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,26 +28,16 @@ def revenue_by(sales, key: str) -> DataFrame:
     )
 
 
-def release(sales, key: str) -> None:
-    """Drop the rows per key value that reports over `key` have kept on disk."""
-    revenue_by(sales, key).unpersist()
-
-
 def pareto(sales, key: str) -> DataFrame:
     """Revenue of each key value with its share and its cumulative share.
 
-    Building the report runs nothing. One row per key value is kept on the executors'
-    disks when the report first runs, so that the sales rows are joined and summed once
-    although totals and rows read the result several times. The kept rows have their
-    lineage, so losing an executor costs their recomputation; they serve later reports
-    over the same rows and key, until `release`, or `spark.catalog.clearCache()`.
+    Building the report runs nothing, and running it reads the sales rows once: totals are
+    put together from the shuffled rows per key, however many there are.
     """
     kind = as_sales(sales).amount_kind("price")
-    groups = revenue_by(sales, key).persist(StorageLevel.DISK_ONLY)
-    total = groups.agg(F.sum("revenue")).scalar()
     return (
-        running_total(groups, "revenue")
-        .withColumn("total_revenue", total)
+        running_total(revenue_by(sales, key), "revenue")
+        .withColumnRenamed("overall", "total_revenue")
         .select(
             key,
             "revenue",

@@ -157,10 +157,6 @@ def test_building_runs_nothing_and_running_reads_items_once(spark, name):
     assert context.statusTracker().getJobIdsForGroup(f"building {name}") == []
     report.collect()
     assert reads.value == 3
-    abc.release(raw, "product_category")
-    REPORTS[name](raw).collect()
-    assert reads.value == 6
-    abc.release(raw, "product_category")
     context.setLocalProperty("spark.jobGroup.id", None)
 
 
@@ -186,10 +182,43 @@ def test_classes_by_amount(spark):
     ]
 
 
-def test_levels_never_order_all_rows_in_one_window(spark):
-    frame = spark.createDataFrame([(Decimal(n),) for n in range(50)], "v decimal(20,2)")
-    plan = running_total(frame, "v")._jdf.queryExecution().optimizedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(windows) == 2
-    unbounded = [line for line in windows if "windowspecdefinition(v#" in line]
-    assert unbounded == []
+@pytest.fixture
+def many_ranges(spark):
+    """As many ranges as shuffle partitions, however few the rows."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ties_are_cut_into_ranges_and_stay_peers(spark, many_ranges, seed):
+    """Half of all rows share one value, others a few, and some have none."""
+    pick = random.Random(seed)
+    common = pick.choice([0, 5, 100])
+    values = [pick.choice([common] * 6 + [1, 2, 2, 7, 100, -3, None]) for _ in range(400)]
+    values = [None if v is None else Decimal(v) for v in values]
+    frame = spark.createDataFrame(list(enumerate(values)), "k int, v decimal(20,2)")
+    found = running_total(frame, "v").collect()
+    assert {(r.k, r.v): r.running for r in found} == brute_running(values)
+    assert {r.overall for r in found} == {sum(v for v in values if v is not None)}
+    ranged = frame.repartitionByRange(F.desc_nulls_last("v"), "k")
+    held = ranged.where(F.col("v") == common).groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) > 2 and max(r["count"] for r in held) < 120
+
+
+def test_rows_and_summaries_read_one_shuffle(spark, many_ranges):
+    frame = spark.createDataFrame([(n, Decimal(n % 9)) for n in range(90)], "k int, v decimal(20,2)")
+    report = running_total(frame.groupBy("v").agg(F.count("k").alias("n")), "v")
+    report.collect()
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and plan.count("Exchange rangepartitioning") == 1
+    assert plan.count("Scan ExistingRDD") == 1
+
+
+@pytest.mark.parametrize("values", [[], [None, None], [3], [2, 2, 2]])
+def test_running_total_of_few_rows(spark, values):
+    frame = spark.createDataFrame(list(enumerate(values)), "k int, v int")
+    found = {(r.k, r.v): r.running for r in running_total(frame, "v").collect()}
+    assert found == brute_running(values)
