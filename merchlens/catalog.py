@@ -137,12 +137,10 @@ class RawTables:
     """The raw layer as DataFrames, each made when it is first asked for.
 
     Tables are given as DataFrames, or as functions that return one, under their
-    names: those of the catalogue, and `reviews`. `unique_keys` says that the source
-    guarantees the primary keys of orders, customers, products and sellers.
+    names: those of the catalogue, and `reviews`.
     """
 
-    def __init__(self, unique_keys: bool = False, **tables: DataFrame | Callable[[], DataFrame]):
-        self.unique_keys = unique_keys
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
         self._given = tables
         self._made: dict[str, DataFrame] = {}
 
@@ -154,11 +152,9 @@ class RawTables:
             self._made[name] = table if isinstance(table, DataFrame) else table()
         return self._made[name]
 
-    def replace(
-        self, unique_keys: bool = False, **tables: DataFrame | Callable[[], DataFrame]
-    ) -> RawTables:
-        """Other tables under some names; that keys are unique has to be said anew."""
-        return RawTables(unique_keys, **{**self._given, **tables})
+    def replace(self, **tables: DataFrame | Callable[[], DataFrame]) -> RawTables:
+        """Other tables under some names."""
+        return RawTables(**{**self._given, **tables})
 
     def present(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in self._given}

@@ -15,12 +15,16 @@ from merchlens.fixed_values import DELIVERED_STATUS
 from merchlens.functions import day_part, hour_part
 
 
-def sales_mart(raw: RawTables) -> DataFrame:
+def sales_mart(raw: RawTables, by_order: bool = False) -> DataFrame:
     """One row for every pair of item and payment of the same order.
 
     Customers are joined between payments and items: each join then follows a
     shuffle of both of its sides, which is what lets Spark split a partition made
     heavy by one order's payments, one customer's orders, or one order's items.
+
+    Tables that are stored `by_order` are paired first, where they lie, and customers,
+    products and sellers joined to the pairs: nothing is then shuffled by order. Choose it
+    for such tables only, as no partition of theirs can be split.
     """
     orders = raw.orders.select(
         "order_id", "customer_id", "order_purchase_timestamp", "order_status"
@@ -30,12 +34,14 @@ def sales_mart(raw: RawTables) -> DataFrame:
     items = raw.order_items.select("order_id", "product_id", "seller_id", "price", "freight_value")
     products = raw.products.select("product_id", "product_category")
     sellers = raw.sellers.select("seller_id", "seller_city", "seller_state")
-    sold = items.join(products, "product_id").join(sellers, "seller_id")
+    if by_order:
+        paired = payments.join(orders, "order_id").join(items, "order_id")
+        joined = paired.join(products, "product_id").join(sellers, "seller_id").join(customers, "customer_id")
+    else:
+        sold = items.join(products, "product_id").join(sellers, "seller_id")
+        joined = payments.join(orders, "order_id").join(customers, "customer_id").join(sold, "order_id")
     return (
-        payments.join(orders, "order_id")
-        .join(customers, "customer_id")
-        .join(sold, "order_id")
-        .select(
+        joined.select(
             "order_id",
             "order_purchase_timestamp",
             "order_status",

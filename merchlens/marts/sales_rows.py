@@ -41,6 +41,10 @@ def _every(orders: DataFrame) -> DataFrame:
     return orders
 
 
+def _literal(time: datetime) -> Column:
+    return F.lit(time.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 @dataclass(frozen=True)
 class StoredSales:
     """The sales mart as it is: one row per item and payment of an order.
@@ -71,16 +75,12 @@ class StoredSales:
     def order_count(self) -> Column:
         return F.count_distinct("order_id")
 
-    def collapsed_count(self) -> Column:
-        """Orders among the rows of `per_order`."""
-        return F.count("order_id") if self.unique_orders else F.count_distinct("order_id")
-
     def amount_kind(self, column: str) -> T.DataType:
         return self.mart.schema[column].dataType
 
     def last_purchase(self) -> Column:
         if self.latest is not None:
-            return F.lit(self.latest.isoformat(sep=" ")).cast("timestamp_ntz")
+            return _literal(self.latest)
         return self.mart.agg(F.max("order_purchase_timestamp")).scalar()
 
 
@@ -90,12 +90,14 @@ class FactoredSales:
 
     Set `keys_enforced` only for tables whose loader found no repeated key and no orphan:
     joins that would merely look for a parent row are then left out, and orders are
-    counted plainly, as on tables whose source guarantees their keys. On other tables a repeated parent repeats rows, as it does in the
-    mart, and orders are counted distinct.
+    counted plainly. On other tables a repeated parent repeats rows, as it does in the
+    mart, and orders are counted distinct. `latest` is the last purchase that has an item
+    and a payment when a load recorded it; else it is looked up among all of them.
     """
 
     tables: RawTables
     keys_enforced: bool = False
+    latest: datetime | None = None
 
     def rows(self, *keys: str, orders: OrderFilter = _every) -> DataFrame:
         """Items and payments of filtered-out orders are dropped before they are added up."""
@@ -127,24 +129,30 @@ class FactoredSales:
 
     per_order = rows
 
-    def order_count(self) -> Column:
+    @property
+    def unique_orders(self) -> bool:
         """With unique keys each order appears once per combination of report keys."""
-        unique = self.keys_enforced or self.tables.unique_keys
-        return F.count("order_id") if unique else F.count_distinct("order_id")
+        return self.keys_enforced
 
-    collapsed_count = order_count
+    def order_count(self) -> Column:
+        return F.count("order_id") if self.unique_orders else F.count_distinct("order_id")
 
     def amount_kind(self, column: str) -> T.DataType:
         table = self.tables.order_items if column == "price" else self.tables.payments
         return table.schema[column].dataType
 
     def last_purchase(self) -> Column:
-        """Latest order that has a payment and an item; nothing is added up for it."""
+        if self.latest is not None:
+            return _literal(self.latest)
+        return self.sold_orders().agg(F.max("order_purchase_timestamp")).scalar()
+
+    def sold_orders(self) -> DataFrame:
+        """Orders that have a payment and an item; nothing is added up for them."""
         sold = self._items(()).select("order_id")
         orders = self._orders((), _every)
         for held in (self.tables.payments.select("order_id"), sold):
             orders = orders.join(held, "order_id", "left_semi")
-        return orders.agg(F.max("order_purchase_timestamp")).scalar()
+        return orders
 
     def _orders(self, keys: tuple[str, ...], chosen: OrderFilter) -> DataFrame:
         return self._with_parent(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from merchlens.functions import month_start, ratio
 from merchlens.marts.sales_rows import as_sales
+from merchlens.operators.distinct import per_customer
 from merchlens.operators.metrics import metric_value
 from merchlens.operators.periods import active, period_bucket, sold_in
 
@@ -71,13 +72,15 @@ def top_categories(sales, metric: str, period: str, top: int = 10) -> DataFrame:
 def payment_methods(sales) -> DataFrame:
     """Six measures per payment method, over all time.
 
-    Rows of clean tables and stored marts are collapsed per order first: counting orders
-    is then a plain count and only customers need a distinct one, so no row is expanded.
+    Rows are collapsed per order, then per customer, so that orders and customers of a
+    method are counted without a distinct count and no row is expanded for a second one.
     """
     source = as_sales(sales)
-    rows = active(source.per_order("payment_type"))
+    rows = per_customer(
+        active(source.per_order("payment_type")), "payment_type", unique_orders=source.unique_orders
+    )
     turnover, paid = F.sum("payment_value"), source.amount_kind("payment_value")
-    orders, customers = source.collapsed_count(), F.count_distinct("customer_id")
+    orders, customers = F.sum("orders"), F.count("customer_id")
     return (
         rows.groupBy("payment_type")
         .agg(
