@@ -1,16 +1,31 @@
-"""Landing copies of raw tables as header CSV."""
+"""Landing copies of raw tables as header CSV.
+
+A copy is a folder of its own below `<folder>/<table>.csv`, and counts once an empty
+marker file beside it names it. Making that file is one step in any store, so a reader
+finds the copy before or the whole new one; a copy that was not finished is never read.
+"""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merchlens.catalog import TABLES
+from merchlens.session import delete_folder
+from merchlens.sources.csv_files import LANDED, landed_copies
+
 
+def land_csv(
+    frame: DataFrame, folder: str, table: str, multi_line: bool | None = None, keep: int = 1
+) -> str:
+    """Write a copy of a table in parallel parts, and make it the one that is read.
 
-def land_csv(frame: DataFrame, folder: str, table: str, multi_line: bool | None = None) -> str:
-    """Write `<folder>/<table>.csv` in parallel parts, replacing an earlier copy.
+    Returns `<folder>/<table>.csv`, whose newest finished copy the readers take. The `keep`
+    copies before it stay for readers that have begun; older ones, and those that were
+    never finished, are deleted. One writer at a time may land a table.
 
     Columns get their file names back, quotes are doubled as the reader expects, and
     blanks at the edges of texts stay. A text with a line break stops the job, unless the
@@ -39,5 +54,26 @@ def land_csv(frame: DataFrame, folder: str, table: str, multi_line: bool | None
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
     }
-    named.write.mode("overwrite").options(**options).csv(path)
+    spark = frame.sparkSession
+    copy = f"copy-{time.time_ns()}"
+    named.write.options(**options).csv(f"{path}/{copy}")
+    store, base = _store(spark, path)
+    finished = landed_copies(spark, path)
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base, f"{LANDED}{copy}")
+    store.create(marker, False).close()
+    kept = {copy, *finished[len(finished) - keep :]}
+    for status in store.listStatus(base):
+        name = status.getPath().getName()
+        if name.removeprefix(LANDED) not in kept and name.startswith(LANDED):
+            store.delete(status.getPath(), False)
+    for status in store.listStatus(base):
+        name = status.getPath().getName()
+        if name not in kept and name.startswith("copy-"):
+            delete_folder(spark, f"{path}/{name}")
     return path
+
+
+def _store(spark, path: str):
+    context = spark.sparkContext
+    base = context._jvm.org.apache.hadoop.fs.Path(path)
+    return base.getFileSystem(context._jsc.hadoopConfiguration()), base

@@ -1,8 +1,8 @@
 """Typed raw tables and stored marts, refreshed whole.
 
-Every load writes a new table version and then repoints the view that readers
-use, so readers see the old rows or the new ones and a failed load changes
-nothing. Keys and references are checked on the new version before it is shown.
+Every load writes new table versions and then publishes them in the manifest that all
+views resolve through: readers see all old rows or all new ones, and a failed load changes
+nothing. Keys and references are checked on the new versions before they are shown.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,11 +27,14 @@ from merchlens.marts import (
     sales_mart,
 )
 from merchlens.marts.sales_rows import STORED_MONTH
+from merchlens.operators.keys import key_facts
+from merchlens.sinks import manifest
+from merchlens.sinks.manifest import Facts, Manifest
+from merchlens.sources.csv_files import PROBLEMS, PROBLEMS_TYPE
 
-_VERSION = "merchlens.version"
-_LATEST = "merchlens.latest_purchase"
-_CLEAN = "merchlens.clean"
-_PUBLISHED = "merchlens.published"
+_REJECTED = "_rejected"
+# Tables whose rows decide which purchase is the last one sold.
+_SOLD = ("orders", "order_items", "payments", "customers", "products", "sellers")
 
 
 class ConstraintError(ValueError):
@@ -48,10 +51,22 @@ class Loaded:
     duplicate_rows: int
     null_keys: int
     orphan_keys: int
+    rejected_rows: int = 0
+    quarantined: bool = False
+    children: tuple[Loaded, ...] = ()
 
     def problems(self) -> bool:
         return bool(self.duplicate_rows or self.null_keys or self.orphan_keys)
 
+    def facts(self) -> Facts:
+        return Facts(
+            self.version,
+            self.rows,
+            self.rejected_rows,
+            clean=not self.problems(),
+            quarantined=self.quarantined,
+        )
+
 
 class Warehouse:
     """Raw and mart databases below one shared folder.
@@ -62,6 +77,7 @@ class Warehouse:
     a large part of the rows: the layout is the caller's choice alone.
 
     `keep_versions` published versions of a table are kept for readers that hold them.
+    Any number of readers may run beside one writer; two writers have to take turns.
     """
 
     def __init__(
@@ -89,25 +105,47 @@ class Warehouse:
 
     def create_tables(self) -> None:
         """Empty typed tables for those that do not exist yet."""
-        for name in self.specs:
-            if not self.spark.catalog.tableExists(f"{self.raw}.{name}"):
-                self._publish(self.raw, name, self._new_version(name), self.specs[name].columns)
+        known = self._manifest().tables
+        self._publish_raw([self._empty(name) for name in self.specs if f"raw_{name}" not in known])
 
     def truncate(self, name: str, cascade: bool = True) -> list[str]:
         """Empty a table and, as their rows would be orphans, its dependants."""
         emptied = [name, *(dependants(self.specs, name) if cascade else ())]
-        for table in emptied:
-            self._publish(self.raw, table, self._new_version(table), self.specs[table].columns)
+        self._publish_raw([self._empty(table) for table in emptied])
         return emptied
 
-    def load_table(self, name: str, frame: DataFrame, enforce: bool = True) -> Loaded:
-        """Replace the rows of one table, and empty its dependants."""
-        loaded = self._stage(name, lambda _: frame, {}, enforce)
-        self._refuse([loaded] if enforce else [])
-        for child in dependants(self.specs, name):
-            self.truncate(child, cascade=False)
-        self._publish(self.raw, name, loaded.version, self.specs[name].columns)
-        return loaded
+    def load_table(
+        self,
+        name: str,
+        frame: DataFrame,
+        enforce: bool = True,
+        reload: bool | Callable[[str], DataFrame | None] = False,
+    ) -> Loaded:
+        """Replace the rows of one table, and empty its dependants or bring them back.
+
+        With `reload` the dependants' rows stay as they are, checked against their new
+        parents; a function gives new rows for those it returns a frame for. A dependant
+        that is emptied or reloaded comes after the tables it references, and all are
+        published together. Where rules are enforced, a dependant that breaks one, as by
+        a row whose parent is gone, refuses the whole load.
+        """
+        started: list[str] = []
+        try:
+            loads = {name: self._stage(name, frame, {}, started)}
+            for child in dependants(self.specs, name) if reload else ():
+                given = reload(child) if callable(reload) else None
+                if given is not None:
+                    loads[child] = self._stage(child, given, loads, started)
+                else:
+                    loads[child] = self._checked_again(child, loads)
+            self._refuse(loads.values() if enforce else [])
+        except BaseException:
+            self._forget(started)
+            raise
+        children = tuple(loads[child] for child in loads if child != name)
+        emptied = () if reload else map(self._empty, dependants(self.specs, name))
+        self._publish_raw([*loads.values(), *emptied])
+        return replace(loads[name], children=children)
 
     def load_all(
         self, read: Callable[[str], DataFrame], enforce: bool = True, parallel: int = 4
@@ -115,38 +153,65 @@ class Warehouse:
         """Replace all tables: parents before children, independent ones together.
 
         Nothing is shown before every table is written and checked; a load that fails
-        drops all it wrote. Views are then repointed one after another. Returns one row
-        per table with the rows written and the problems found.
+        drops all it wrote. Then all tables change at one instant. Returns one row per
+        table with the rows written and the problems found.
+
+        Frames that come with a column of problems (`read_split`) are stored with their
+        rejected rows set apart; see `rejections`.
         """
         staged: dict[str, Loaded] = {}
         started: list[str] = []
         try:
             with ThreadPoolExecutor(parallel) as pool:
                 for wave in load_waves(self.specs):
-                    versions = {name: loaded.version for name, loaded in staged.items()}
+                    known = dict(staged)
                     running = {
-                        name: pool.submit(self._stage, name, read, versions, enforce, started)
+                        name: pool.submit(lambda n: self._stage(n, read(n), known, started), name)
                         for name in wave
                     }
                     staged.update({name: future.result() for name, future in running.items()})
-                    self._refuse(list(staged.values()) if enforce else [], drop=False)
+                    self._refuse(staged.values() if enforce else [])
         except BaseException:
-            for version in started:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self.raw}.{version}")
+            self._forget(started)
             raise
-        for name, loaded in staged.items():
-            self._publish(self.raw, name, loaded.version, self.specs[name].columns)
+        self._publish_raw(list(staged.values()))
         return self.spark.createDataFrame(
             [(v.table, v.rows, v.duplicate_rows, v.orphan_keys) for v in staged.values()],
             "table_name string, rows bigint, duplicate_rows bigint, orphan_keys bigint",
         )
 
     def tables(self) -> RawTables:
-        """The current raw tables, read at their stored layout."""
-        def reader(name: str):
-            return lambda: self._current(self.raw, name)
-
-        return RawTables(**{name: reader(name) for name in self.specs})
+        """The raw tables of one instant, read at their stored layout."""
+        return self._tables(self._manifest())
+
+    def rejections(self) -> DataFrame:
+        """Every value that kept a row out of the current raw tables, with its reason."""
+        parts = []
+        for name, facts in self._manifest().tables.items():
+            if facts.quarantined:
+                rows = self.spark.table(f"{self.raw}.{facts.version}").where(F.col(_REJECTED))
+                parts.append(
+                    rows.select(F.lit(name.removeprefix("raw_")).alias("table_name"), F.inline(PROBLEMS))
+                )
+        if not parts:
+            return self.spark.createDataFrame(
+                [], "table_name string, column_name string, text string, reason string"
+            )
+        found = parts[0]
+        for part in parts[1:]:
+            found = found.unionByName(part)
+        return found
+
+    def row_counts(self) -> DataFrame:
+        """Rows and rejected rows of every raw table, as its load counted them."""
+        counts = [
+            (name.removeprefix("raw_"), facts.rows, facts.rejected)
+            for name, facts in self._manifest().tables.items()
+            if name.startswith("raw_")
+        ]
+        return self.spark.createDataFrame(
+            counts, "table_name string, rows bigint, rejected_rows bigint"
+        )
 
     # ---- marts ------------------------------------------------------------
 
@@ -157,11 +222,11 @@ class Warehouse:
         own months, and carry their last purchase, so that no report looks for it.
         """
         raw = self.tables()
-        sales = sales_mart(raw)
+        sales = sales_mart(raw, by_order=self.buckets is not None)
         latest = F.max("order_purchase_timestamp").cast("string").alias("latest")
         by_month = sales.withColumn(STORED_MONTH, F.trunc("order_purchase_timestamp", "month"))
-        # Readers of the view see the month too, so that SQL can prune by it. Rebalancing splits the large months and joins the small ones into files
-        # of the advisory size.
+        # Readers of the view see the month too, so that SQL can prune by it. Rebalancing
+        # splits the large months and joins the small ones into files of the advisory size.
         by_month = by_month.hint("rebalance", F.col(STORED_MONTH))
         marts = (
             ("sales", by_month, (STORED_MONTH,), latest),
@@ -169,156 +234,231 @@ class Warehouse:
             ("purchasing_power", purchasing_power_mart(raw)),
         )
         with ThreadPoolExecutor(len(marts)) as pool:
-            counts = list(pool.map(lambda mart: self._store_mart(*mart), marts))
-        return self.spark.createDataFrame(counts, "mart string, rows bigint")
+            made = list(pool.map(lambda mart: self._store_mart(*mart), marts))
+        self._publish({f"dm_{name}": facts for name, facts in made})
+        return self.spark.createDataFrame(
+            [(name, facts.rows) for name, facts in made], "mart string, rows bigint"
+        )
 
     def sales(self) -> StoredSales:
-        latest = self._property(f"{self.dm}.{self._version(self.dm, 'sales')}", _LATEST)
+        held = self._manifest()
+        facts = held.tables["dm_sales"]
         return StoredSales(
-            self._current(self.dm, "sales"),
-            datetime.fromisoformat(latest) if latest else None,
-            self._clean("orders", "customers"),
+            self._frame("dm_sales", facts),
+            datetime.fromisoformat(facts.latest) if facts.latest else None,
+            self._clean(held, "orders", "customers"),
         )
 
     def delivery(self) -> StoredDelivery:
-        return StoredDelivery(self._current(self.dm, "delivery"))
+        return StoredDelivery(self._frame("dm_delivery", self._manifest().tables["dm_delivery"]))
 
     def raw_sales(self) -> FactoredSales:
-        """Sales rows from the raw tables, by what their loads found about their keys."""
-        return FactoredSales(self.tables(), keys_enforced=self._clean(*self.specs))
+        """Sales rows from the raw tables, by what their loads found.
+
+        Joins that would look for parents, and for the last purchase, are left out.
+        """
+        held = self._manifest()
+        return FactoredSales(
+            self._tables(held),
+            keys_enforced=self._clean(held, *self.specs),
+            latest=datetime.fromisoformat(held.sold_until) if held.sold_until else None,
+        )
 
     def raw_delivery(self) -> FactoredDelivery:
-        return FactoredDelivery(self.tables(), keys_enforced=self._clean(*self.specs))
+        held = self._manifest()
+        return FactoredDelivery(self._tables(held), keys_enforced=self._clean(held, *self.specs))
 
     def drop(self) -> None:
         """Drop both databases with all their tables and views."""
         for database in (self.dm, self.raw):
             self.spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
 
-    def _clean(self, *names: str) -> bool:
-        """Whether the loads of these tables found every key unique and every parent there.
-
-        A table's references are those to the versions it was loaded with, so all of a
-        table's parents have to be asked for together with it.
-        """
-        return all(
-            self._property(f"{self.raw}.{self._version(self.raw, name)}", _CLEAN) == "true"
-            for name in names
-        )
-
-    # ---- versions ---------------------------------------------------------
+    # ---- staging ----------------------------------------------------------
 
     def _stage(
-        self,
-        name: str,
-        read: Callable[[str], DataFrame],
-        staged: Mapping[str, str],
-        enforce: bool,
-        started: list[str] | None = None,
+        self, name: str, frame: DataFrame, staged: Mapping[str, Loaded], started: list[str]
     ) -> Loaded:
-        """Write a table version and check it against its parents, in one job."""
+        """Write a table version, and check its key and references in one scan of it."""
         spec = self.specs[name]
-        frame = read(name).select(*spec.columns)
+        split = PROBLEMS in frame.columns and PROBLEMS not in spec.columns
+        frame = frame.select(*spec.columns, *([PROBLEMS] if split else []))
+        rejected = F.size(PROBLEMS) > 0 if split else F.lit(False)
+        if split:
+            frame = frame.withColumn(_REJECTED, rejected)
         layout = self._bucket_clause(name)
-        version = self._new_version(name, layout)
-        if started is not None:
-            started.append(version)
+        version = self._new_version(name, layout, split)
+        started.append(version)
         target = f"{self.raw}.{version}"
         written = Observation()
-        counted = frame.observe(written, F.count(F.lit(1)).alias("rows"))
+        counted = frame.observe(
+            written, F.count_if(~rejected).alias("rows"), F.count_if(rejected).alias("rejected")
+        )
         if layout:
             # The shuffle hashes as buckets do: every bucket becomes one file.
             counted = counted.repartition(self.buckets, "order_id")
         counted.write.insertInto(target, overwrite=True)
-        rows = self.spark.table(target)
-        checks = _key_problems(rows, spec.primary_key)
-        for key, parent in spec.references.items():
-            parent_version = staged.get(parent) or self._version(self.raw, parent)
-            parents = self.spark.table(f"{self.raw}.{parent_version}").select(key)
-            keys = rows.select(key).where(F.col(key).isNotNull()).distinct()
-            orphans = keys.join(parents, key, "left_anti").agg(F.count(F.lit(1)).alias("found"))
-            checks = checks.union(orphans.select(F.lit("orphans"), "found"))
-        found = {"duplicates": 0, "null_keys": 0, "orphans": 0}
-        for row in checks.collect():
-            found[row.problem] += row.found
-        loaded = Loaded(name, version, written.get["rows"], *found.values())
-        if not loaded.problems():
-            self.spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{_CLEAN}' = 'true')")
-        return loaded
-
-    def _refuse(self, loads: list[Loaded], drop: bool = True) -> None:
+        held = written.get
+        return self._found(
+            Loaded(name, version, held["rows"], 0, 0, 0, held["rejected"], split), staged
+        )
+
+    def _found(self, load: Loaded, staged: Mapping[str, Loaded]) -> Loaded:
+        """The load with what a check of its written rows against its parents finds."""
+        spec, known = self.specs[load.table], self._manifest().tables
+        if not load.rows:
+            return replace(load, duplicate_rows=0, null_keys=0, orphan_keys=0)
+        parents = {}
+        for parent in spec.references.values():
+            facts = staged[parent].facts() if parent in staged else known[f"raw_{parent}"]
+            parents[parent] = self._frame(f"raw_{parent}", facts)
+        found = key_facts(self._frame(f"raw_{load.table}", load.facts()), spec, parents).first()
+        return replace(
+            load,
+            duplicate_rows=found.duplicate_rows,
+            null_keys=found.null_keys,
+            orphan_keys=sum(found.orphans),
+        )
+
+    def _checked_again(self, name: str, staged: Mapping[str, Loaded]) -> Loaded:
+        """The current version of a table, checked against parents about to be published."""
+        facts = self._manifest().tables[f"raw_{name}"]
+        load = Loaded(
+            name, facts.version, facts.rows, 0, 0, 0, facts.rejected, facts.quarantined
+        )
+        return self._found(load, staged)
+
+    def _empty(self, name: str) -> Loaded:
+        return Loaded(name, self._new_version(name), 0, 0, 0, 0)
+
+    def _refuse(self, loads) -> None:
         broken = [loaded for loaded in loads if loaded.problems()]
         if broken:
-            for loaded in loads if drop else ():
-                self.spark.sql(f"DROP TABLE {self.raw}.{loaded.version}")
             raise ConstraintError(
                 "not loaded: " + "; ".join(f"{loaded.table}: {loaded}" for loaded in broken)
             )
 
+    def _forget(self, versions: list[str]) -> None:
+        for version in versions:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.raw}.{version}")
+
     def _bucket_clause(self, name: str) -> str:
         if self.buckets is None or name not in ("orders", "order_items", "payments"):
             return ""
         return f"CLUSTERED BY (order_id) INTO {self.buckets} BUCKETS"
 
-    def _new_version(self, name: str, layout: str = "") -> str:
+    def _new_version(self, name: str, layout: str = "", split: bool = False) -> str:
         version = f"{name}__{time.time_ns()}"
+        columns, folders = self.specs[name].ddl(), ""
+        if split:
+            columns += f", `{PROBLEMS}` {PROBLEMS_TYPE}, `{_REJECTED}` boolean"
+            folders = f"PARTITIONED BY (`{_REJECTED}`)"
         self.spark.sql(
-            f"CREATE TABLE {self.raw}.{version} ({self.specs[name].ddl()}) USING parquet {layout}"
+            f"CREATE TABLE {self.raw}.{version} ({columns}) USING parquet {folders} {layout}"
         )
         return version
 
-    def _store_mart(self, name, frame, partition=(), latest=None) -> tuple[str, int]:
+    def _store_mart(self, name, frame, partition=(), latest=None) -> tuple[str, Facts]:
         version = f"{name}__{time.time_ns()}"
-        target = f"{self.dm}.{version}"
         written = Observation()
         facts = [F.count(F.lit(1)).alias("rows"), *([latest] if latest is not None else [])]
-        frame.observe(written, *facts).write.partitionBy(*partition).saveAsTable(target)
-        if written.get.get("latest"):
-            self.spark.sql(
-                f"ALTER TABLE {target} SET TBLPROPERTIES ('{_LATEST}' = '{written.get['latest']}')"
-            )
-        self._publish(self.dm, name, version, frame.columns)
-        return name, written.get["rows"]
-
-    def _publish(self, database: str, name: str, version: str, columns) -> None:
-        """Point the view readers use at a version, and drop published ones long replaced."""
-        listed = ", ".join(f"`{column}`" for column in columns)
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {database}.{name} "
-            f"TBLPROPERTIES ('{_VERSION}' = '{version}') "
-            f"AS SELECT {listed} FROM {database}.{version}"
+        counted = frame.observe(written, *facts)
+        counted.write.partitionBy(*partition).saveAsTable(f"{self.dm}.{version}")
+        held = written.get
+        return name, Facts(
+            version, held["rows"], latest=held.get("latest"), columns=tuple(frame.columns)
         )
-        self.spark.sql(
-            f"ALTER TABLE {database}.{version} SET TBLPROPERTIES ('{_PUBLISHED}' = 'true')"
+
+    # ---- publication ------------------------------------------------------
+
+    def _publish_raw(self, loads: list[Loaded]) -> None:
+        """Publish raw versions, with the last purchase that they leave."""
+        updates = {
+            f"raw_{load.table}": replace(load.facts(), columns=tuple(self.specs[load.table].columns))
+            for load in loads
+        }
+        if updates:
+            held = self._manifest()
+            self._publish(updates, self._sold_until(held, held.with_tables(**updates)))
+
+    def _sold_until(self, before: Manifest, after: Manifest) -> str | None:
+        """Last purchase that has an item and a payment, looked up where it may have changed."""
+        names = [f"raw_{name}" for name in _SOLD]
+        if any(name not in after.tables or not after.tables[name].rows for name in names):
+            return None
+        changed = any(
+            name not in before.tables or before.tables[name].version != after.tables[name].version
+            for name in names
         )
-        older = sorted(
-            row.tableName
-            for row in self.spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__*'").collect()
-            if row.tableName < version
-            and self._property(f"{database}.{row.tableName}", _PUBLISHED)
+        if not changed:
+            return before.sold_until
+        clean = self._clean(after, *(name for name in self.specs if f"raw_{name}" in after.tables))
+        sold = FactoredSales(self._tables(after), keys_enforced=clean).sold_orders()
+        latest = sold.agg(F.max("order_purchase_timestamp").cast("string").alias("latest"))
+        return latest.first().latest
+
+    def _publish(self, updates: Mapping[str, Facts], *sold_until: str | None) -> None:
+        """Show new versions, all at one instant, and drop those long replaced.
+
+        Views first learn of the new versions, which the manifest does not name yet.
+        Replacing the manifest shows them. Views then forget the versions that go, and
+        tables that are new to the manifest get theirs.
+        """
+        held = self._manifest()
+        after, stale, due = {}, [], []
+        for name, facts in updates.items():
+            before = held.tables.get(name)
+            kept = before.kept if before else ()
+            if not before or before.version != facts.version:
+                kept = (*kept, f"{facts.version}{' split' if facts.quarantined else ''}")
+                if before:
+                    self._show(name, facts.columns, kept)
+            stale += [(name, version) for version in kept[: -self.keep_versions]]
+            if not before or len(kept) > self.keep_versions:
+                due.append(name)
+            after[name] = replace(facts, kept=kept[-self.keep_versions :])
+        shown = held.with_tables(**after)
+        manifest.write(
+            self.spark, self.raw, replace(shown, sold_until=sold_until[0]) if sold_until else shown
         )
-        for stale in older[: max(0, len(older) - self.keep_versions + 1)]:
-            self.spark.sql(f"DROP TABLE {database}.{stale}")
-
-    def _version(self, database: str, name: str) -> str:
-        return self._property(f"{database}.{name}", _VERSION)
-
-    def _current(self, database: str, name: str) -> DataFrame:
-        return self.spark.table(f"{database}.{self._version(database, name)}")
-
-    def _property(self, table: str, key: str) -> str | None:
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == key).collect()
-        return rows[0].value if rows else None
-
-
-def _key_problems(rows: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """Rows beyond the first of their key, and rows whose key has a NULL, by problem."""
-    if not key:
-        return rows.limit(0).select(F.lit("").alias("problem"), F.lit(0).cast("long").alias("found"))
-    empty = F.greatest(*(F.col(c).isNull().cast("int") for c in key), F.lit(0)) == 1
-    groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("held"))
-    found = groups.agg(
-        F.coalesce(F.sum(F.when(~empty, F.col("held") - 1)), F.lit(0)).alias("duplicates"),
-        F.coalesce(F.sum(F.when(empty, F.col("held"))), F.lit(0)).alias("null_keys"),
-    )
-    return found.unpivot([], ["duplicates", "null_keys"], "problem", "found")
+        for name in due:
+            self._show(name, after[name].columns, after[name].kept)
+        for name, version in stale:
+            self.spark.sql(f"DROP TABLE {self._database(name)}.{version.split()[0]}")
+
+    def _show(self, name: str, columns: tuple[str, ...], kept: tuple[str, ...]) -> None:
+        """The view that readers use: of its versions, the one that the manifest names."""
+        listed = ", ".join(f"`{column}`" for column in columns)
+        database, branches = self._database(name), []
+        for entry in kept:
+            version, *split = entry.split()
+            good = f" AND NOT `{_REJECTED}`" if split else ""
+            branches.append(
+                f"SELECT {listed} FROM {database}.{version} "
+                f"WHERE {manifest.current(self.raw, name, version)}{good}"
+            )
+        view = f"{database}.{name.split('_', 1)[1]}"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS {' UNION ALL '.join(branches)}")
+
+    def _database(self, name: str) -> str:
+        return self.raw if name.startswith("raw_") else self.dm
+
+    def _manifest(self) -> Manifest:
+        return manifest.read(self.spark, self.raw)
+
+    def _tables(self, held: Manifest) -> RawTables:
+        def reader(name: str):
+            return lambda: self._frame(f"raw_{name}", held.tables[f"raw_{name}"])
+
+        return RawTables(**{name: reader(name) for name in self.specs})
+
+    def _frame(self, name: str, facts: Facts) -> DataFrame:
+        rows = self.spark.table(f"{self._database(name)}.{facts.version}")
+        return rows.where(~F.col(_REJECTED)).drop(_REJECTED, PROBLEMS) if facts.quarantined else rows
+
+    def _clean(self, held: Manifest, *names: str) -> bool:
+        """Whether every key of these tables is unique and every parent there.
+
+        A table's references are those to the versions published with it, so all of a
+        table's parents have to be asked for together with it.
+        """
+        return all(held.tables[f"raw_{name}"].clean for name in names)
