@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.catalog import ORDER_DATES, TABLES, RawTables, TableSpec
+from merchlens.operators.keys import key_facts, key_values, without_parents
 
 
 def table_shapes(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -108,15 +109,51 @@ def pk_checks(tables: RawTables, specs: Mapping[str, TableSpec] = TABLES) -> Dat
 
 
 def fk_checks(tables: RawTables, specs: Mapping[str, TableSpec] = TABLES) -> DataFrame:
-    """The orphan check of every reference between tables."""
-    frames = tables.present()
-    checks = [
-        fk_check(frames[name], frames[parent], key).select(
-            F.lit(f"{name}.{key}").alias("relation"), "orphans", "verdict"
+    """The orphan check of every reference between tables; one scan of each child."""
+    frames, checks = tables.present(), []
+    for name, spec in specs.items():
+        if not spec.references:
+            continue
+        references = {key: frames[parent] for key, parent in spec.references.items()}
+        values = key_values(frames[name], (), tuple(references), null_references=True)
+        counts = without_parents(values, references).agg(
+            *(F.count_if(F.col("relation") == at + 1).alias(key) for at, key in enumerate(references))
+        )
+        relations = F.array(
+            *(
+                F.struct(F.lit(f"{name}.{key}").alias("relation"), F.col(key).alias("orphans"))
+                for key in references
+            )
+        )
+        checks.append(counts.select(F.inline(relations)))
+    found = reduce(DataFrame.unionByName, checks)
+    verdict = F.when(F.col("orphans") == 0, "OK").otherwise(
+        F.concat(F.col("orphans").cast("string"), F.lit(" orphans"))
+    )
+    return found.withColumn("verdict", verdict)
+
+
+def key_checks(tables: RawTables, specs: Mapping[str, TableSpec] = TABLES) -> DataFrame:
+    """Keys and references of every table, found by one scan of each.
+
+    Rows, distinct keys, rows that repeat a key, rows whose key has a NULL, and distinct
+    references without a parent; a NULL reference is none.
+    """
+    frames, checks = tables.present(), []
+    for name, spec in specs.items():
+        if not (spec.primary_key or spec.references):
+            continue
+        facts = key_facts(frames[name], spec, {parent: frames[parent] for parent in spec.references.values()})
+        checks.append(
+            facts.select(
+                F.lit(name).alias("table_name"),
+                F.col("keyed_rows").alias("rows"),
+                "unique_keys",
+                "duplicate_rows",
+                "null_keys",
+                F.aggregate("orphans", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("orphan_keys"),
+            )
         )
-        for name, spec in specs.items()
-        for key, parent in spec.references.items()
-    ]
     return reduce(DataFrame.unionByName, checks)
 
 

@@ -403,7 +403,76 @@ def _check_queries() -> dict[str, str]:
                     f"row_number() over (order by {by}) place from ({rows})) where place <= 3"
                 )
 
+    def profiled():
+        """Every column of every table: rows, NULLs, smallest and largest value as text."""
+        wider = {"price": "decimal(12,2)", "payment_value": "decimal(12,2)"}
+        for name, columns in layouts.items():
+            for at, (column, kind) in enumerate(columns.items()):
+                kind = "string" if kind.startswith("varchar") else wider.get(column, kind)
+                yield (
+                    f"select '{name}' table_name, {at} as position, '{column}' column_name, "
+                    f"'{kind}' data_type, count(*) as rows, count(*) - count({column}) missing, "
+                    f"cast(min({column}) as varchar) smallest, cast(max({column}) as varchar) largest "
+                    f"from {shapes[name][0]}"
+                )
+
+    def keyed():
+        for name, (table, key) in keys.items():
+            orphans = " + ".join(
+                f"(select count(distinct {column}) from {table} where {column} not in "
+                f"(select {column} from {keys[parent][0]}))"
+                for column, parent in TABLES[name].references.items()
+            )
+            yield (
+                f"select '{name}' table_name, cast(sum(held) as bigint) as rows, count(*) unique_keys, "
+                f"cast(sum(held - 1) as bigint) duplicate_rows, cast(0 as bigint) null_keys, "
+                f"{orphans or 'cast(0 as bigint)'} orphan_keys "
+                f"from (select count(*) held from {table} group by {key})"
+            )
+
+    # Which values `load_quarantined` breaks.
+    number = "cast(order_id as bigint)"
+    broken = {
+        "payments": {
+            "payment_value": (f"{number} % 97 = 3", "decimal(12,2)"),
+            "payment_installments": (f"{number} % 89 = 3", "int"),
+        },
+        "sellers": {"seller_city": ("cast(seller_id as bigint) % 10 = 1", "varchar(50)")},
+        "orders": {"order_approved_at": (f"{number} % 101 = 5", "timestamp_ntz")},
+    }
+
+    def quarantined():
+        for name in TABLES:
+            bad = " or ".join(where for where, _ in broken.get(name, {}).values()) or "false"
+            yield (
+                f"select '{name}' table_name, '' column_name, '' reason, "
+                f"count(*) filter (where not ({bad})) as rows, count(*) filter (where {bad}) "
+                f"rejected_rows from {shapes[name][0]}"
+            )
+            for column, (where, kind) in broken.get(name, {}).items():
+                yield (
+                    f"select '{name}', '{column}', 'not of type {kind}', cast(0 as bigint), count(*) "
+                    f"from {shapes[name][0]} where {where} having count(*) > 0"
+                )
+
+    def reloaded():
+        for name in TABLES:
+            even = f"{number} % 2 = 0" if name in ("orders", "order_items", "payments") else "true"
+            yield (
+                f"select '{name}' table_name, count(*) kept_rows, count(*) filter (where {even}) as rows, "
+                f"true checked from {shapes[name][0]}"
+            )
+
     return {
+        "dq_profile": stacked(profiled()),
+        "dq_keys": stacked(keyed()),
+        "load_quarantined": stacked(quarantined()),
+        "load_reloaded": stacked(reloaded()),
+        "stored_dq_shapes": stacked(
+            f"select '{name}' table_name, count(*) as rows, "
+            f"cast({shapes[name][1]} as bigint) cols from {shapes[name][0]}"
+            for name in TABLES
+        ),
         "dq_shapes": stacked(
             f"select '{name}' table_name, count(*) as rows, cast({cols} as bigint) cols from {table}"
             for name, (table, cols) in shapes.items()
@@ -529,6 +598,16 @@ def oracle_sql() -> dict[str, str]:
         "delivery_histogram",
         "fastest_cities",
         "problem_routes",
+        "dq_missing",
+        "dq_date_ranges",
+        "value_counts_status",
+        "value_counts_payment_type",
     ):
         found[f"stored_{name}"] = found[name]
+    for name in (
+        "kpi_turnover_last_month",
+        "kpi_trend_aov_last_year",
+        "top_categories_customers_last_quarter",
+    ):
+        found[f"loaded_{name}"] = found[name]
     return found

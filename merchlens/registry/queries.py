@@ -10,20 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from merchlens.catalog import TABLES, RawTables
+from merchlens.catalog import ORDER_DATES, TABLES, RawTables
 from merchlens.marts import delivery_mart, purchasing_power_mart, sales_mart
 from merchlens.operators import checks
 from merchlens.operators.metrics import METRICS
 from merchlens.operators.periods import PERIODS
+from merchlens.operators.table_profile import TableProfile
 from merchlens.registry.stored import (
     cascaded_truncate,
     land_and_load,
     load_enforced,
+    load_quarantined,
     load_rejected,
+    load_reloaded,
     stored_warehouse,
 )
 from merchlens.reports import abc, logistics, profile, sales
 from merchlens.session import configure
+from merchlens.sinks import Warehouse
 from merchlens.sources import sample_tables, with_deliveries
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,6 +138,8 @@ def _check_queries() -> dict[str, Callable[[RawTables], DataFrame]]:
         "dq_missing": lambda raw: _each_table(raw, lambda _, frame: checks.missing_values(frame)),
         "dq_pk": checks.pk_checks,
         "dq_fk": checks.fk_checks,
+        "dq_keys": checks.key_checks,
+        "dq_profile": lambda raw: _each_table(raw, lambda _, frame: TableProfile.of(frame).overview()),
         "dq_date_ranges": lambda raw: checks.date_ranges(raw.orders),
         "value_counts_status": lambda raw: checks.value_counts(raw.orders, "order_status"),
         "value_counts_payment_type": lambda raw: checks.value_counts(raw.payments, "payment_type"),
@@ -187,6 +193,32 @@ def _stored_queries() -> dict[str, Query]:
         "stored_delivery_median": logistics.delivery_median,
     }
 
+    on_profiles = {
+        "stored_dq_shapes": lambda house: _profiles(house, TableProfile.shape),
+        "stored_dq_missing": lambda house: _profiles(house, TableProfile.missing_values),
+        "stored_dq_date_ranges": lambda house: house.profile("orders").ranges(ORDER_DATES),
+        "stored_value_counts_status": lambda house: house.profile("orders").value_counts(
+            "order_status"
+        ),
+        "stored_value_counts_payment_type": lambda house: house.profile("payments").value_counts(
+            "payment_type"
+        ),
+    }
+    on_loaded = {
+        "loaded_kpi_turnover_last_month": lambda s: sales.kpi(s, "turnover", "last_month"),
+        "loaded_kpi_trend_aov_last_year": lambda s: sales.kpi_trend(s, "aov", "last_year"),
+        "loaded_top_categories_customers_last_quarter": lambda s: sales.top_categories(
+            s, "customers", "last_quarter"
+        ),
+    }
+
+    def house_query(run) -> Query:
+        return lambda spark, folder: plain(run(stored_warehouse(spark, folder)))
+
+    def loaded_query(run) -> Query:
+        """Reports on a warehouse's raw tables, by what their loads recorded."""
+        return lambda spark, folder: plain(run(stored_warehouse(spark, folder).raw_sales()))
+
     def sales_query(run) -> Query:
         return lambda spark, folder: plain(run(stored_warehouse(spark, folder).sales()))
 
@@ -211,9 +243,13 @@ def _stored_queries() -> dict[str, Query]:
         "load_roundtrip": land_and_load,
         "load_enforced": load_enforced,
         "load_rejected": load_rejected,
+        "load_quarantined": load_quarantined,
+        "load_reloaded": load_reloaded,
         "truncate_cascade": cascaded_truncate,
         "stored_turnover_by_month": pruned_sql,
         **{name: orders_query(run) for name, run in on_orders.items()},
+        **{name: house_query(run) for name, run in on_profiles.items()},
+        **{name: loaded_query(run) for name, run in on_loaded.items()},
         **{name: sales_query(run) for name, run in on_sales.items()},
         **{name: delivery_query(run) for name, run in on_delivery.items()},
     }
@@ -227,6 +263,13 @@ def _each_table(raw: RawTables, check: Callable[[str, DataFrame], DataFrame]) ->
     return reduce(DataFrame.unionByName, found)
 
 
+def _profiles(house: Warehouse, check: Callable[[TableProfile], DataFrame]) -> DataFrame:
+    found = [
+        check(house.profile(name)).select(F.lit(name).alias("table_name"), "*") for name in TABLES
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def _preview(name: str, frame: DataFrame) -> DataFrame:
     """The overview of a table by its key, with the first values as one text."""
     key = TABLES[name].primary_key if name in TABLES else ()

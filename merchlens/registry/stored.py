@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,13 @@ from pyspark.sql.window import Window
 from merchlens.catalog import TABLES, RawTables
 from merchlens.session import configure, delete_folder, warehouse_folder
 from merchlens.sinks import ConstraintError, Warehouse, land_csv
-from merchlens.sources import read_raw, sample_specs, sample_tables, with_deliveries
+from merchlens.sources import (
+    read_raw,
+    read_split,
+    sample_specs,
+    sample_tables,
+    with_deliveries,
+)
 
 _built: dict[str, Warehouse] = {}
 
@@ -69,6 +76,81 @@ def load_rejected(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def load_quarantined(spark: SparkSession, folder: str) -> DataFrame:
+    """Files with values that their types cannot hold: what is loaded, and what is kept out.
+
+    A row for each table, with the lines of its file in `rows` and `rejected_rows`
+    together, and one for each column and reason, with the rejected values.
+    """
+    configure(spark)
+    tables = with_deliveries(spark, folder)
+    number = F.col("order_id").cast("bigint")
+    broken = tables.replace(
+        payments=tables.payments.withColumns(
+            {
+                "payment_value": F.when(number % 97 == 3, "12,50").otherwise(
+                    F.col("payment_value").cast("string")
+                ),
+                "payment_installments": F.when(number % 89 == 3, "twelve").otherwise(
+                    F.col("payment_installments").cast("string")
+                ),
+            }
+        ),
+        sellers=tables.sellers.withColumn(
+            "seller_city",
+            F.when(F.col("seller_id").cast("bigint") % 10 == 1, F.repeat(F.lit("x"), F.lit(60))).otherwise(
+                F.col("seller_city")
+            ),
+        ),
+        orders=tables.orders.withColumn(
+            "order_approved_at",
+            F.when(number % 101 == 5, "2001-13-45 00:00:00").otherwise(
+                F.col("order_approved_at").cast("string")
+            ),
+        ),
+    )
+    root, house, _ = _load(spark, broken, read=read_split)
+    counts = house.row_counts().select(
+        "table_name", F.lit("").alias("column_name"), F.lit("").alias("reason"), "rows", "rejected_rows"
+    )
+    reasons = (
+        house.rejections()
+        .groupBy("table_name", "column_name", "reason")
+        .agg(F.count(F.lit(1)).alias("rejected_rows"))
+        .withColumn("rows", F.lit(0).cast("bigint"))
+    )
+    found = spark.createDataFrame(counts.unionByName(reasons).collect(), counts.schema)
+    _drop(spark, root, house)
+    return found
+
+
+def load_reloaded(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows after orders are loaded anew, twice, with the tables that need them.
+
+    First the same orders, all approved, over items and payments as they are; then only
+    orders with an even number, with items and payments that go with them.
+    """
+    configure(spark)
+    tables = sample_tables(spark, folder)
+    root, house, _ = _load(spark, _numbered(tables), enforce=True)
+    approved = tables.orders.withColumn("order_status", F.lit("approved"))
+    house.load_table("orders", approved, reload=True)
+    kept = {name: spark.table(f"{house.raw}.{name}").count() for name in TABLES}
+    raw = house.tables()
+    even = F.col("order_id").cast("bigint") % 2 == 0
+    house.load_table(
+        "orders", approved.where(even), reload=lambda name: getattr(raw, name).where(even)
+    )
+    report = [
+        (name, kept[name], spark.table(f"{house.raw}.{name}").count(), house.raw_sales().keys_enforced)
+        for name in TABLES
+    ]
+    _drop(spark, root, house)
+    return spark.createDataFrame(
+        report, "table_name string, kept_rows bigint, rows bigint, checked boolean"
+    )
+
+
 def cascaded_truncate(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of every table after customers are emptied, and with them all that needs them."""
     configure(spark)
@@ -109,7 +191,7 @@ def _numbered(tables: RawTables) -> RawTables:
 
 
 def _load(
-    spark: SparkSession, tables: RawTables, enforce: bool = False
+    spark: SparkSession, tables: RawTables, enforce: bool = False, read: Callable = read_raw
 ) -> tuple[str, Warehouse, DataFrame]:
     """Land all tables at once, then load them below the session's warehouse folder."""
     specs = sample_specs()
@@ -121,7 +203,7 @@ def _load(
     tag = uuid.uuid4().hex[:8]
     warehouse = Warehouse(spark, root, specs, raw=f"raw_{tag}", dm=f"dm_{tag}")
     report = warehouse.load_all(
-        lambda name: read_raw(spark, landed[name], specs[name]), enforce=enforce
+        lambda name: read(spark, landed[name], specs[name]), enforce=enforce
     )
     delete_folder(spark, f"{root}/landing")
     return root, warehouse, report

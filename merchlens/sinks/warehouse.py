@@ -28,11 +28,14 @@ from merchlens.marts import (
 )
 from merchlens.marts.sales_rows import STORED_MONTH
 from merchlens.operators.keys import key_facts
+from merchlens.operators.table_profile import TableProfile
 from merchlens.sinks import manifest
 from merchlens.sinks.manifest import Facts, Manifest
 from merchlens.sources.csv_files import PROBLEMS, PROBLEMS_TYPE
 
-_REJECTED = "_rejected"
+_REJECTED, _PROFILE = "_rejected", "profile_of_"
+# Columns whose values profiles count.
+COUNTED = {"orders": ("order_status",), "payments": ("payment_type",)}
 # Tables whose rows decide which purchase is the last one sold.
 _SOLD = ("orders", "order_items", "payments", "customers", "products", "sellers")
 
@@ -213,6 +216,20 @@ class Warehouse:
             counts, "table_name string, rows bigint, rejected_rows bigint"
         )
 
+    def profile(self, name: str) -> TableProfile:
+        """The profile of a raw table, made by one scan when first asked for.
+
+        It is stored with the version and goes with it. Several columns of a table are
+        counted together, so choose few values for `COUNTED`.
+        """
+        facts = self._manifest().tables[f"raw_{name}"]
+        rows, counted = self._frame(f"raw_{name}", facts), COUNTED.get(name, ())
+        target = f"{self.raw}.{_PROFILE}{facts.version}"
+        if not self.spark.catalog.tableExists(target):
+            made = TableProfile.of(rows, counted).rows
+            made.coalesce(1).write.mode("ignore").saveAsTable(target)
+        return TableProfile(self.spark.table(target), tuple(rows.dtypes), counted)
+
     # ---- marts ------------------------------------------------------------
 
     def build_marts(self) -> DataFrame:
@@ -423,7 +440,9 @@ class Warehouse:
         for name in due:
             self._show(name, after[name].columns, after[name].kept)
         for name, version in stale:
-            self.spark.sql(f"DROP TABLE {self._database(name)}.{version.split()[0]}")
+            database, version = self._database(name), version.split()[0]
+            self.spark.sql(f"DROP TABLE {database}.{version}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {database}.{_PROFILE}{version}")
 
     def _show(self, name: str, columns: tuple[str, ...], kept: tuple[str, ...]) -> None:
         """The view that readers use: of its versions, the one that the manifest names."""

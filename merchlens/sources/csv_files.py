@@ -98,7 +98,7 @@ def read_split(spark: SparkSession, path: str, table: str | TableSpec) -> DataFr
     bad = [
         F.when(
             ~broken & F.col(name).isNotNull() & values[name].isNull(),
-            problem(F.lit(name), F.col(name), f"not a {kind}"),
+            problem(F.lit(name), F.col(name), f"not of type {kind}"),
         )
         for name, kind in spec.columns.items()
     ]
