@@ -3,8 +3,11 @@ from __future__ import annotations
 from datetime import datetime
 from decimal import Decimal
 
+import pytest
+
 from merchlens.catalog import TABLES, dependants, load_waves
 from merchlens.operators import checks
+from merchlens.operators.table_profile import TableProfile
 from merchlens.reports import profile
 from tests.fixtures import frame, raw_tables, rows
 
@@ -54,6 +57,56 @@ def test_shapes_and_overview(spark):
     ]
 
 
+def profiled(spark):
+    rows_ = [(1, "x", datetime(2018, 1, 1)), (2, None, None), (10, "y", datetime(2018, 3, 1)), (9, "x", None)]
+    return spark.createDataFrame(rows_, "n int, kind string, at timestamp_ntz")
+
+
+def test_a_profile_answers_all_checks(spark):
+    data = profiled(spark)
+    found = TableProfile.of(data, ("kind",))
+    assert rows(found.shape()) == [{"rows": 4, "cols": 3}]
+    assert rows(found.missing_values()) == rows(checks.missing_values(data))
+    assert rows(found.ranges(["at"])) == rows(checks.date_ranges(data, ["at"]))
+    assert rows(found.value_counts("kind")) == rows(checks.value_counts(data, "kind"))
+    # Bounds are those of the type: 10 is larger than 9.
+    overview = {r["column_name"]: (r["smallest"], r["largest"], r["missing"]) for r in rows(found.overview())}
+    assert overview["n"] == ("1", "10", 0) and overview["kind"] == ("x", "y", 1)
+    assert overview["at"] == ("2018-01-01 00:00:00", "2018-03-01 00:00:00", 2)
+
+
+def test_profiles_of_parts_merge_into_that_of_the_whole(spark):
+    data = profiled(spark)
+    parts = [data.where("n < 2"), data.where("n between 2 and 9"), data.where("n > 9"), data.limit(0)]
+    whole = TableProfile.of(data, ("kind",))
+    merged = TableProfile.of(parts[0], ("kind",)).merged(*(TableProfile.of(p, ("kind",)) for p in parts[1:]))
+    for check in (TableProfile.shape, TableProfile.overview, TableProfile.missing_values):
+        assert rows(check(merged)) == rows(check(whole))
+    assert rows(merged.value_counts("kind")) == rows(whole.value_counts("kind"))
+    with pytest.raises(ValueError):
+        whole.merged(TableProfile.of(data))
+
+
+def test_a_profile_of_no_rows(spark):
+    empty = TableProfile.of(profiled(spark).limit(0))
+    assert rows(empty.shape()) == [{"rows": 0, "cols": 3}]
+    assert [r["missing"] for r in rows(empty.overview())] == [0, 0, 0]
+    assert rows(empty.missing_values()) == []
+
+
+def test_key_checks_tell_repeats_gaps_and_orphans(spark):
+    raw = raw_tables(
+        spark,
+        orders=[{"order_id": "a"}, {"order_id": "b"}, {"order_id": "b"}, {"order_id": None}],
+        items=[{"order_id": "a", "price": 1}, {"order_id": "z", "price": 1}, {"order_id": "z", "price": 1}],
+        payments=[{"order_id": "a", "payment_value": 1}],
+    )
+    found = {r["table_name"]: r for r in rows(checks.key_checks(raw))}
+    orders = {"rows": 4, "unique_keys": 2, "duplicate_rows": 1, "null_keys": 1, "orphan_keys": 0}
+    assert found["orders"] == {"table_name": "orders", **orders}
+    assert found["order_items"]["orphan_keys"] == 1 and found["payments"]["orphan_keys"] == 0
+
+
 def test_value_counts_leave_out_null(spark):
     data = keys(spark, ["a", "b", "b", None])
     assert rows(checks.value_counts(data, "id")) == [{"id": "b", "rows": 2}, {"id": "a", "rows": 1}]

@@ -130,3 +130,40 @@ def test_category_revenue_equals_a_plain_loop(tables):
     assert {k: (r["revenue"] or 0, r["cash_flow"], r["orders"]) for k, r in found.items()} == {
         k: (revenue[k], turnover[k], len(sold[k])) for k in sold
     }
+
+
+def test_methods_count_orders_that_come_with_several_customers(spark):
+    """An order id held by two customers is one order and two customers of its method."""
+    raw = raw_tables(
+        spark,
+        orders=[
+            {"order_id": "a", "customer_id": "c1"},
+            {"order_id": "a", "customer_id": "c2"},
+            {"order_id": "b", "customer_id": "c2"},
+            {"order_id": "b", "customer_id": "c2"},
+            {"order_id": "d", "customer_id": "c1"},
+        ],
+        items=[{"order_id": o, "price": 10} for o in "aabd"],
+        payments=[
+            {"order_id": o, "payment_type": kind, "payment_value": 5}
+            for o, kind in (("a", "card"), ("a", "voucher"), ("b", "card"), ("d", None), ("d", "card"))
+        ],
+    )
+    pairs = sales_mart(raw)
+    expected = {
+        r.payment_type: (r.orders, r.customers, r.turnover, r.net_revenue)
+        for r in pairs.groupBy("payment_type")
+        .agg(
+            F.count_distinct("order_id").alias("orders"),
+            F.count_distinct("customer_id").alias("customers"),
+            F.sum("payment_value").alias("turnover"),
+            F.sum("price").alias("net_revenue"),
+        )
+        .collect()
+    }
+    for source in (raw, pairs):
+        found = rows(sales.payment_methods(source))
+        assert {
+            r["payment_type"]: (r["orders"], r["customers"], r["turnover"], r["net_revenue"]) for r in found
+        } == expected
+    assert expected["card"][:2] == (3, 2)

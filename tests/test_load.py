@@ -1,17 +1,20 @@
 from __future__ import annotations
 
+import threading
 import uuid
 from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from merchlens.catalog import TABLES
+from merchlens.catalog import TABLES, TableSpec
 from merchlens.marts import sales_mart
+from merchlens.operators.keys import key_facts
 from merchlens.reports import logistics, sales
 from merchlens.sinks import ConstraintError, Warehouse, database_options, land_csv
-from merchlens.sources import read_all, read_raw
+from merchlens.sources import read_all, read_raw, read_split
 from tests.fixtures import delivered, frame, raw_tables, rows
 
 PRODUCT_HEADER = (
@@ -305,6 +308,165 @@ def test_dropping_a_warehouse_leaves_nothing(spark, tmp_path, raw):
     assert not {house.raw, house.dm} & names
 
 
+def test_all_tables_change_at_one_instant(spark, tmp_path, raw):
+    """A reader that asks for several tables while loads go on never sees two loads."""
+    house = loaded(spark, tmp_path, raw)
+    views = [f"{house.raw}.{name}" for name in ("customers", "sellers", "orders")]
+    question = "select " + ", ".join(
+        f"(select max({column}) from {view}) as of{at}"
+        for at, (view, column) in enumerate(
+            zip(views, ("customer_city", "seller_city", "order_status"))
+        )
+    )
+    seen, failed, stop = [], [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.append(tuple(spark.sql(question).first()))
+                # Frames taken together are of one load, however late they are read.
+                held = house.tables()
+                frames = (held.customers.select("customer_city"), held.orders.select("order_status"))
+                seen.append(tuple({f.first()[0] for f in frames} | {frames[0].first()[0]}) * 3)
+            except Exception as problem:  # noqa: BLE001
+                failed.append(str(problem)[:300])
+
+    def tagged(tag):
+        return with_geolocation(raw, spark).replace(
+            customers=raw.customers.withColumn("customer_city", F.lit(tag)),
+            sellers=raw.sellers.withColumn("seller_city", F.lit(tag)),
+            orders=raw.orders.withColumn("order_status", F.lit(tag)),
+        )
+
+    house.keep_versions = 6
+    first = tagged("load 0")
+    house.load_all(lambda n: getattr(first, n))
+    readers = [threading.Thread(target=read) for _ in range(3)]
+    for reader in readers:
+        reader.start()
+    for load in range(1, 5):
+        frames = tagged(f"load {load}")
+        house.load_all(lambda n: getattr(frames, n))
+    stop.set()
+    for reader in readers:
+        reader.join()
+    assert failed == []
+    assert all(len(set(found)) == 1 for found in seen) and len(set(seen)) > 2
+
+
+def test_views_leave_one_version_in_the_plan(spark, tmp_path, raw):
+    house = loaded(spark, tmp_path, raw)
+    house.load_all(lambda n: getattr(with_geolocation(raw, spark), n))
+    plan = spark.table(f"{house.raw}.orders")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Union" not in plan and "subquery" not in plan
+
+
+def test_children_stay_when_their_parent_is_loaded_anew(spark, tmp_path, raw):
+    house = loaded(spark, tmp_path, raw)
+    items = house.tables().order_items.inputFiles()
+    report = house.load_table("orders", raw.orders.withColumn("order_status", F.lit("new")), reload=True)
+    assert {c.table: c.rows for c in report.children} == {"order_items": 4, "payments": 4}
+    assert house.tables().order_items.inputFiles() == items
+    assert spark.table(f"{house.raw}.payments").count() == 4
+    assert {r.order_status for r in spark.table(f"{house.raw}.orders").collect()} == {"new"}
+    assert house.raw_sales().keys_enforced and house.raw_sales().latest == datetime(2018, 3, 1, 12)
+
+
+def test_children_without_parents_refuse_the_load(spark, tmp_path, raw):
+    house = loaded(spark, tmp_path, raw)
+    fewer = raw.orders.where(F.col("order_id") != "o002")
+    with pytest.raises(ConstraintError, match="payments"):
+        house.load_table("orders", fewer, reload=True)
+    assert spark.table(f"{house.raw}.orders").count() == 3
+    report = house.load_table("orders", fewer, enforce=False, reload=True)
+    assert {c.table: c.orphan_keys for c in report.children} == {"order_items": 1, "payments": 1}
+    assert not house.raw_sales().keys_enforced
+    assert house.raw_sales().latest == datetime(2018, 2, 1, 12)
+
+
+def test_children_come_from_a_source_when_one_is_given(spark, tmp_path, raw):
+    house = loaded(spark, tmp_path, raw)
+    left = F.col("order_id") != "o002"
+    given = {"payments": raw.payments.where(left), "order_items": raw.order_items.where(left)}
+    report = house.load_table("orders", raw.orders.where(left), reload=given.get)
+    assert not report.problems() and not any(c.problems() for c in report.children)
+    assert spark.table(f"{house.raw}.payments").count() == 3
+    house.load_table("customers", raw.customers, reload=lambda name: None)
+    assert spark.table(f"{house.raw}.order_items").count() == 3
+
+
+def test_bad_lines_are_set_apart_with_their_reasons(spark, tmp_path, raw):
+    header = ",".join(TABLES["payments"].columns)
+    lines = [
+        "o000,1,card,1,5.00",
+        "o000,2,card,one,5.00",
+        "o001,1,card,2,123456.00",
+        "o001,2,a very long type of payment,x,7",
+        "o002,1,card",
+        "o002,2,card,1,5.00,more",
+        "o002,3,,NA,",
+    ]
+    path = csv(tmp_path, "\n".join([header, *lines]) + "\n")
+    house = warehouse(spark, tmp_path)
+    frames = with_geolocation(raw, spark).replace(payments=read_split(spark, path, "payments"))
+    house.load_all(lambda n: getattr(frames, n), enforce=False)
+    counts = {r.table_name: (r.rows, r.rejected_rows) for r in house.row_counts().collect()}
+    assert counts["payments"] == (2, 5) and counts["orders"] == (3, 0)
+    assert sorted(map(tuple, house.rejections().collect()), key=str) == sorted(
+        [
+            ("payments", "payment_installments", "one", "not of type int"),
+            ("payments", "payment_value", "123456.00", "not of type decimal(7,2)"),
+            ("payments", "payment_type", "a very long type of payment", "not of type varchar(15)"),
+            ("payments", "payment_installments", "x", "not of type int"),
+            ("payments", None, "o002,1,card", "another number of fields"),
+            ("payments", None, "o002,2,card,1,5.00,more", "another number of fields"),
+        ],
+        key=str,
+    )
+    for frame_ in (house.tables().payments, spark.table(f"{house.raw}.payments")):
+        assert frame_.columns == list(TABLES["payments"].columns)
+        assert sorted(r.payment_sequential for r in frame_.collect()) == [1, 3]
+    house.load_all(lambda n: getattr(with_geolocation(raw, spark), n))
+    assert house.rejections().count() == 0
+
+
+def test_keys_and_references_take_one_scan(spark, tmp_path, raw):
+    house = loaded(spark, tmp_path, raw)
+    held = house.tables()
+    parents = {name: getattr(held, name) for name in ("orders", "products", "sellers")}
+    facts = key_facts(held.order_items, TABLES["order_items"], parents)
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    version = held.order_items._jdf.queryExecution().analyzed().toString()
+    assert plan.count("order_item_id#") >= 1 and plan.count("Relation") == 4 and "order_items__" in version
+    assert plan.count("order_items__") == 1
+
+
+def test_keys_of_several_parts_are_not_confused(spark):
+    """('1', '11') and ('11', '1'), parts with separators, and a NULL part."""
+    spec = TableSpec("t", {"a": "string", "b": "string"}, ("a", "b"))
+    pairs = [("1", "11"), ("11", "1"), ("1:", "1"), ("1", ":1"), (None, "1"), ("1", "11")]
+    found = key_facts(spark.createDataFrame(pairs, "a string, b string"), spec, {}).first()
+    assert (found.keyed_rows, found.unique_keys, found.duplicate_rows, found.null_keys) == (6, 4, 1, 1)
+
+
+def test_a_landing_that_fails_leaves_the_copy_before(spark, tmp_path, raw):
+    folder = str(tmp_path / "landing")
+    path = land_csv(raw.sellers, folder, "sellers")
+    broken = raw.sellers.withColumn("seller_city", F.raise_error(F.lit("no more")).cast("string"))
+    with pytest.raises(Exception, match="no more"):
+        land_csv(broken, folder, "sellers")
+    assert read_raw(spark, path, "sellers").count() == 1
+    reading = read_raw(spark, path, "sellers")
+    land_csv(raw.sellers.withColumn("seller_city", F.lit("moved")), folder, "sellers")
+    assert [r.seller_city for r in read_raw(spark, path, "sellers").collect()] == ["moved"]
+    # A reader that had begun still finds its copy; the unfinished one is gone.
+    assert [r.seller_city for r in reading.collect()] == ["city-s"]
+    copies = [p.name for p in Path(path).iterdir() if p.name.startswith("copy-")]
+    assert len(copies) == 2
+    land_csv(raw.sellers, folder, "sellers")
+    assert len([p for p in Path(path).iterdir() if p.name.startswith("copy-")]) == 2
+
+
 def test_database_refresh_truncates_with_cascade_in_batches():
     options = database_options("jdbc:postgresql://host/db", "raw.orders", user="u")
     assert options["truncate"] == options["cascadeTruncate"] == "true"

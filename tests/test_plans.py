@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from merchlens.marts import FactoredSales, delivery_mart, sales_mart
+from merchlens.operators import checks
 from merchlens.registry import queries
 from merchlens.reports import abc, logistics, sales
 from merchlens.sinks import Warehouse
@@ -71,11 +72,43 @@ def test_no_pairing_expanding_or_python(spark, name):
         assert operator not in plan
 
 
+def test_no_registered_report_expands_rows(spark):
+    """Loads aside, which run when they are called."""
+    for name, query in queries().items():
+        if not name.startswith(("load_", "truncate_")):
+            assert "Expand" not in physical(query(spark, FOLDER)), name
+
+
 def test_methods_of_clean_tables_expand_nothing(model):
     clean = physical(sales.payment_methods(FactoredSales(model, keys_enforced=True)))
     assert "Expand" not in clean
 
 
+def test_mart_of_tables_by_order_shuffles_nothing_by_order(house, settings):
+    """Products, sellers and customers are too large to broadcast here."""
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    mart = sales_mart(house.tables(), by_order=True)
+    shuffles = [line for line in physical(mart).splitlines() if "Exchange" in line]
+    assert shuffles and not any("hashpartitioning(order_id" in line for line in shuffles)
+    assert any("hashpartitioning(product_id" in line for line in shuffles)
+    mart_rows = sorted(map(str, mart.select("order_id", "price", "payment_value").collect()))
+    other = sales_mart(house.tables()).select("order_id", "price", "payment_value")
+    assert mart_rows == sorted(map(str, other.collect()))
+
+
+def test_trailing_reports_on_loaded_tables_look_for_no_last_purchase(house):
+    for report in (sales.kpi, sales.kpi_trend, sales.top_categories):
+        plan = physical(report(house.raw_sales(), "turnover", "last_month"))
+        assert "Subquery" not in plan and "max(order_purchase_timestamp" not in plan
+        assert "2001-07-01" in plan
+
+
+def test_references_of_a_child_take_one_scan_of_it(model):
+    plan = optimized(checks.fk_checks(model))
+    # Two children with one reference each, and items with three: one scan each.
+    assert plan.count("Generate explode") == 3 and plan.count("l_suppkey") == 2
+
+
 def test_other_orders_are_dropped_before_anything_is_added_up(model):
     """In a trailing report, items and payments meet the period's orders first."""
     plan = optimized(sales.kpi(model, "turnover", "last_month")).splitlines()
