@@ -3,10 +3,13 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 
 from merchlens.llm import pii
+from tests.comparison import SAMPLE
 from tests.llm import corpus
 
 
@@ -199,3 +202,63 @@ def test_masking_keeps_rows_and_counts(spark):
     assert all(r.text is None or r.n_chars == len(r.text) for r in rows)
     assert not any(pii.base_spans(r.text or "") for r in rows)
     assert sum("<email>" in (r.text or "") for r in rows) == 1
+
+
+WAYS = {
+    "dashes": lambda d: f"{d[:3]}-{d[3:6]}-{d[6:]}",
+    "brackets": lambda d: f"({d[:3]}) {d[3:6]}-{d[6:]}",
+    "blanks": lambda d: f"{d[:3]} {d[3:6]} {d[6:]}",
+    "dots": lambda d: f"{d[:3]}.{d[3:6]}.{d[6:]}",
+    "in one": lambda d: d,
+    "the last seven": lambda d: f"{d[3:6]}-{d[6:]}",
+    "pairs": lambda d: " ".join(d[i : i + 2] for i in range(0, 10, 2)),
+}
+
+
+def test_planted_repeats_are_found_by_the_field_itself(spark):
+    """Numbers of the sample written again without prefix, and others that repeat nothing.
+
+    Recall and precision of the field, of the field without the rule that a label needs a
+    similar match, and of the field without the set agreement, which finds none.
+    """
+    docs = spark.read.parquet(f"{SAMPLE}/sf0.01/documents.parquet").where("text IS NOT NULL")
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    field = pii.train([e for e in map(pii.excerpt, texts) if e])
+    agreeing = pii.AGREEMENT * np.diag([0] + [1] * len(pii.KINDS))
+    learned_only = replace(field, skip=field.skip - agreeing)
+
+    def without_rule(own, text):
+        tokens = pii.candidates(text, pii.base_spans(text))
+        belief = own.beliefs(tokens)
+        return [
+            (int(b.argmax()) - 1, t.start, t.end)
+            for t, b in zip(tokens, belief)
+            if b.argmax() and b.max() >= pii.SURE and not t.label
+        ]
+
+    finders = {
+        "field": lambda text: field.added(text, pii.base_spans(text)),
+        "without rule": lambda text: without_rule(field, text),
+        "learned only": lambda text: without_rule(learned_only, text),
+    }
+    rng = random.Random(4)
+    found, wrong, planted = Counter(), Counter(), 0
+    for text in texts:
+        phones = [text[a:b] for kind, a, b in pii.base_spans(text) if kind == 3]
+        digits = pii._digits(phones[0])[-10:] if phones else ""
+        if len(digits) < 10:
+            continue
+        other = "".join(rng.choice("0123456789") for _ in range(10))
+        for way in WAYS.values():
+            planted += 1
+            for name, find in finders.items():
+                again = f"{text}\nCall again: {way(digits)} today"
+                numbers = [i for i in range(len(text) + 12, len(again)) if again[i].isdigit()]
+                covered = {i for _, a, b in find(again) for i in range(a, b)}
+                found[name] += covered.issuperset(numbers)
+                unrelated = f"{text}\nOrder number {way(other)} went out"
+                wrong[name] += any(b > len(text) for _, _, b in find(unrelated))
+    assert planted >= 50
+    for name in ("field", "without rule"):
+        assert found[name] >= 0.9 * planted and wrong[name] <= 0.01 * planted, (name, found, wrong)
+    assert found["learned only"] < 0.5 * planted
