@@ -1,16 +1,16 @@
 """Stupid-backoff scores of documents under the n-gram counts of all other documents.
 
-Texts are dealt into buckets by a hash, compressed together for each bucket. Each bucket explodes its texts into n-grams of
-one to three words, counts them, and sends one row of packed (n-gram, count) pairs to
-every range of n-gram hashes. A range adds up the counts of all buckets, which makes it
-one partition of the count table, and joins back to each bucket's n-grams what the
-other buckets hold of them.
+Texts are dealt into buckets by a hash, compressed together for each bucket. Each bucket
+explodes its texts into n-grams of one to three words, counts them, and sends one row of
+packed (n-gram, count) pairs to every range of n-gram hashes. A range adds up the counts of
+all buckets, which makes it one partition of the count table, and joins back to each
+bucket's n-grams what the other buckets hold of them.
 The bucket then scores its documents: every word by the longest n-gram ending in it that
 other documents hold, and sums the logarithms per document.
 
 An n-gram comes once from each bucket however often it is found, so no n-gram is too
-frequent for one task; buckets and ranges grow with the shuffle partitions. N-grams are
-64-bit hashes.
+frequent for one task; buckets and ranges grow with the bytes of text. N-grams are 64-bit
+hashes.
 """
 
 from __future__ import annotations
@@ -29,8 +29,11 @@ from merchlens.llm.shingles import WordHashes, grams, words_of
 # Longest n-gram, and the factor for each order backed off.
 ORDER, BACKOFF = 3, 0.4
 
-# Buckets for each shuffle partition: a task holds its bucket's n-grams several times over.
-BUCKETS_PER_PARTITION = 2
+# Buckets for each shuffle partition, more where a bucket would hold more bytes of text: a
+# task holds its bucket's n-grams several times over.
+BUCKETS_PER_PARTITION, BUCKET_BYTES = 2, 8_000_000
+# Rows, and bytes of them, whose texts are compressed together by bucket.
+DEALT_ROWS, DEALT_BYTES = 10_000, 32_000_000
 
 _TEXTS = "bucket int, doc_ids array<bigint>, sizes array<int>, texts binary"
 _COUNTS = "part int, bucket int, n int, hashes binary, counts binary"
@@ -128,9 +131,7 @@ def _schema(ddl: str) -> pa.Schema:
 def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts of a batch by bucket, those of a bucket in one row; a null text is an empty one."""
     schema, codec = _schema(_TEXTS), pa.Codec("zstd")
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in _gathered(batches):
         bucket = batch["bucket"].to_numpy()
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
@@ -149,6 +150,18 @@ def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _table(schema, rows).to_batches()
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together up to `DEALT_ROWS` rows or `DEALT_BYTES`."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        held, rows, size = [*held, batch], rows + batch.num_rows, size + batch.nbytes
+        if rows >= DEALT_ROWS or size >= DEALT_BYTES:
+            yield pa.Table.from_batches(held)
+            held, rows, size = [], 0, 0
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
 def _texts(table: pa.Table) -> tuple[list[int | None], list[str]]:
     """doc_ids and texts of a bucket."""
     doc_ids, texts, codec = [], [], pa.Codec("zstd")
@@ -232,18 +245,22 @@ def backoff_scores(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     see each other. A null or empty text has no words, a log_score of 0 and a null mean.
     Other columns are ignored; an empty table gives no rows.
 
-    Texts and n-grams are dealt into `buckets`, by default two for each shuffle partition;
-    a bucket has to fit into a task's memory.
+    Texts and n-grams are dealt into `buckets`, by default two for each shuffle partition,
+    and more where a bucket would hold over `BUCKET_BYTES` of text. A job counts words and
+    bytes while the frame is built.
     """
     spark = docs.sparkSession
     find_package(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = buckets or BUCKETS_PER_PARTITION * partitions
+    words = F.size(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    sizes = docs.where("text IS NOT NULL").agg(F.sum(words), F.sum(F.octet_length("text"))).first()
+    all_words, size = (value or 0 for value in sizes)
+    buckets = buckets or max(BUCKETS_PER_PARTITION * partitions, -(-size // BUCKET_BYTES))
     spread = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int")
     chosen = docs.select(spread.alias("bucket"), F.col("doc_id").cast("bigint"), "text")
-    dealt = chosen.mapInArrow(_dealt, _TEXTS).repartition(partitions, "bucket")
-    words = F.size(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
-    all_words = docs.where("text IS NOT NULL").agg(F.sum(words)).first()[0] or 0
+    dealt = chosen.mapInArrow(_dealt, _TEXTS).repartition(
+        max(partitions, -(-buckets // BUCKETS_PER_PARTITION)), "bucket"
+    )
     counts = dealt.groupBy("bucket").applyInArrow(_count(buckets), _COUNTS)
     totals = counts.groupBy("part").applyInArrow(_total, _TOTALS)
     scored = (
