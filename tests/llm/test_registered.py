@@ -6,6 +6,7 @@ import importlib.util
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -101,6 +102,20 @@ def test_one_row_of_each_group_stays(spark):
     )
 
 
+def test_repeated_rows_with_columns_of_no_order(spark):
+    """Maps cannot be compared; one row of each group stays all the same."""
+    docs = corpus.table(spark, [(1, corpus.prose(1, 60), "en", "web", 1)] * 3 + [(2, None, None, None, None)])
+    docs = docs.withColumn("tags", F.create_map(F.lit("k"), F.rand(3)))
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        docs = stage(spark, docs, FOLDER)
+        assert "map" in dict(docs.dtypes)["tags"]
+    kept = corpus_pipeline.near_duplicates(spark, corpus.table(spark, [(1, "a b", "en", "w", 1)] * 2).withColumn(
+        "tags", F.create_map(F.lit("k"), F.lit(1))
+    ), FOLDER)
+    assert [(r.doc_id, r.tags) for r in kept.collect()] == [(1, {"k": 1})]
+    assert docs.select("doc_id").distinct().collect() == [(1,)]
+
+
 def test_nothing_else_imports_the_corpus_operators():
     from pathlib import Path
 
