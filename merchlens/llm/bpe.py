@@ -18,21 +18,26 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterable
+from array import array
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import count, islice
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
-from merchlens.llm.common import documents, per_batch
+from merchlens.llm.common import BATCH_ROWS, documents, find_package, give_back, slices
 
-# Distinct words whose encodings, and pairs of tokens whose seams, one Python worker
-# remembers for as long as it lives, and characters of text whose new words go into one
-# trie. They bound memory, not results.
-REMEMBERED_WORDS, REMEMBERED_SEAMS = 200_000, 100_000
-TRIE_CHARS = 2_000_000
+# Characters of text whose distinct words go into one trie, and pairs of tokens whose seams
+# one Python worker remembers. They bound memory, not results.
+TRIE_CHARS = 8_000_000
+REMEMBERED_SEAMS = 60_000
 
 # Texts with none of these, in lower case as well, are cleaned and split here: NFC keeps
 # characters below U+0250 as they are, and Python's lower case and letter classes are the
@@ -70,9 +75,11 @@ class Merges:
         self.suffix = suffix
         self.rank = {}
         self.parts = {}
+        own = {token: token for token in vocab}  # one string for each, however often it is read
         for at, (left, right) in enumerate(merges):
-            self.rank.setdefault((left, right), at)
-            self.parts.setdefault(left + right, (left, right))
+            pair = own.get(left, left), own.get(right, right)
+            self.rank.setdefault(pair, at)
+            self.parts.setdefault(own.get(left + right, left + right), pair)
         # A spine lists the tokens at one edge of a token, with the rank that ends each.
         self.right_spine: dict[str, list[tuple[str, int]]] = {}
         self.left_spine: dict[str, list[tuple[str, int]]] = {}
@@ -80,7 +87,22 @@ class Merges:
         # A token whose own characters are encoded otherwise never appears.
         self.reachable: dict[str, bool] = {}
         self.vocab = {token: number for token, number in vocab.items() if self._reaches(token)}
-        self.longest = max(len(token) for token in self.vocab)
+        # Few tokens meet in texts; their spines are made again when they do.
+        self.forget()
+        # By its last two letters: length of the longest token inside a word, and at its end.
+        self.inside: dict[str, int] = {}
+        self.ending: dict[str, int] = {}
+        for token in self.vocab:
+            at_end = suffix and token.endswith(suffix)
+            letters = token[: -len(suffix)] if at_end else token
+            longest = self.ending if at_end or not suffix else self.inside
+            longest[letters[-2:]] = max(len(letters), longest.get(letters[-2:], 1))
+        if not suffix:
+            self.inside = self.ending
+
+    def forget(self) -> None:
+        for known in (self.seams, self.reachable, self.left_spine, self.right_spine):
+            known.clear()
 
     def _spine(self, token: str, side: int) -> list[tuple[str, int]]:
         known = self.left_spine if side == 0 else self.right_spine
@@ -131,9 +153,9 @@ class Merges:
 
     def encode(self, words: Iterable[str]) -> dict[str, list[str]]:
         """Tokens of each distinct word in byte letters, shared prefixes once."""
-        vocab, suffix, longest, seams = self.vocab, self.suffix, self.longest, self.seams
+        vocab, suffix, seams = self.vocab, self.suffix, self.seams
         if len(seams) > REMEMBERED_SEAMS:
-            seams.clear()
+            self.forget()
         before, path = "", [""]  # path[d]: last token of the prefix of length d
         made = {}
         for word in sorted(words):
@@ -147,6 +169,7 @@ class Merges:
             # The end of the word is part of its last letter: an edge of its own.
             for end in range(len(path), size + 1):
                 ending = suffix if end == size else ""
+                longest = (self.ending if end == size else self.inside).get(word[max(0, end - 2) : end], 1)
                 for start in range(max(0, end - longest), end):
                     token = word[start:end] + ending
                     if token in vocab:
@@ -178,7 +201,9 @@ class Codec:
     def __init__(self, content: str):
         parsed = json.loads(content)
         model = parsed["model"]
-        self.library = Tokenizer.from_str(content)
+        # The library cleans and splits some texts; it never merges, and needs no vocabulary.
+        bare = {**model, "vocab": {}, "merges": []}
+        self.library = Tokenizer.from_str(json.dumps({**parsed, "model": bare, "added_tokens": []}))
         self.merges = Merges(
             model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"]
         )
@@ -189,8 +214,12 @@ class Codec:
         ordered = sorted(self.specials, key=len, reverse=True)
         # Without special strings nothing matches.
         self.special = re.compile("(" + ("|".join(map(re.escape, ordered)) or "(?!)") + ")")
-        # word, marked if mapped or special -> (tokens, ids as text, tokens as text)
-        self.known: dict[str, tuple[int, str, str]] = {}
+        # Words of the last texts, marked if mapped or special -> their ids as packed int32.
+        self.known: dict[str, bytes] = {}
+        names = {number: token for token, number in model["vocab"].items()}
+        names |= {number: name for name, number in self.specials.items()}
+        self.names = [names.get(number, "") for number in range(max(names) + 1)]
+        self.digits = [str(number) for number in range(len(self.names))]
 
     def _plain_words(self, text: str) -> list[str]:
         lowered = text.lower()
@@ -208,45 +237,57 @@ class Codec:
             found += [_SPECIAL + piece] if at % 2 else self._plain_words(piece)
         return found
 
-    def learn(self, words: set[str]) -> None:
-        """Encode all words not known yet in one trie."""
-        if len(self.known) > REMEMBERED_WORDS:
-            self.known.clear()
-        spelt = {}
-        for word in words - self.known.keys():
-            if word[0] == _SPECIAL:
-                name = word[1:]
-                self.known[word] = (1, str(self.specials[name]), name)
+    def learn(self, words: Iterable[str]) -> None:
+        """Make these the known words, all that were not known encoded in one trie."""
+        before, known, spelt = self.known, {}, {}
+        for word in words:
+            if word in before:
+                known[word] = before[word]
+            elif word[0] == _SPECIAL:
+                known[word] = np.int32(self.specials[word[1:]]).tobytes()
             elif word[0] == _MAPPED:
                 spelt[word] = word[1:]
             else:
                 plain = word.isascii() and word.isprintable()
                 spelt[word] = word if plain else _byte_letters(word)
+        self.known = known
+        del before
         encoded = self.merges.encode(set(spelt.values()))
         vocab = self.merges.vocab
         for word, letters in spelt.items():
-            tokens = encoded[letters]
-            ids = " ".join([str(vocab[token]) for token in tokens])
-            self.known[word] = (len(tokens), ids, " ".join(tokens))
-
-    def encode(self, texts: list[str | None]) -> Iterable[tuple[int, str, str]]:
-        """Per text: number of tokens, ids and decoded text, both joined by blanks."""
-        at = 0
-        while at < len(texts):
-            size, cut = 0, []
-            while at < len(texts) and (not cut or size < TRIE_CHARS):
-                text = texts[at] or ""
-                cut.append(self.words(text))
-                size += len(text)
-                at += 1
-            self.learn(set().union(*cut))
-            for words in cut:
-                found = [self.known[word] for word in words]
-                yield (
-                    sum([x[0] for x in found]),
-                    " ".join([x[1] for x in found]),
-                    " ".join([x[2] for x in found]),
-                )
+            known[word] = array("i", [vocab[token] for token in encoded[letters]]).tobytes()
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text. Words are numbered, so a text waits as one number a word."""
+        texts = iter(texts)
+        while True:
+            numbers: defaultdict[str, int] = defaultdict(count().__next__)
+            size, rows = 0, []
+            for text in texts:
+                rows.append(array("I", map(numbers.__getitem__, self.words(text or ""))))
+                size += len(text or "")
+                if size >= TRIE_CHARS:
+                    break
+            if not rows:
+                return
+            self.learn(numbers)
+            ids = [self.known[word] for word in numbers]
+            for row in rows:
+                yield np.frombuffer(b"".join([ids[number] for number in row]), np.int32)
+
+    def forget(self) -> None:
+        self.known = {}
+        self.merges.forget()
+
+    def written(self, ids: np.ndarray) -> str:
+        """Ids in decimal, joined by blanks."""
+        digits = self.digits
+        return " ".join([digits[i] for i in ids.tolist()])
+
+    def decode(self, ids: np.ndarray) -> str:
+        """Token strings joined by blanks, as the file names no decoder."""
+        names = self.names
+        return " ".join([names[i] for i in ids.tolist()])
 
 
 @lru_cache(maxsize=2)
@@ -272,20 +313,43 @@ def encoded(docs: DataFrame, tokenizer: str | None = None, digests: bool = False
     list of ids and an empty decoded text. Equal texts get equal rows. Other columns are
     ignored. Decoding joins the token strings with blanks, as the file names no decoder.
     """
+    find_package(docs.sparkSession)
     content = docs.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer))
-
-    def step(doc_id, texts):
-        counts, ids, decoded = [], [], []
-        for n, numbers, text in codec(content.value).encode(texts):
-            counts.append(n)
-            ids.append(_hex(numbers) if digests else np.array(numbers.split(), np.int32))
-            decoded.append(_hex(text) if digests else text)
-        return [doc_id, counts, ids, decoded]
-
     kinds = (
         "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string"
     )
-    return per_batch(docs, ["doc_id", "text"], step, f"doc_id bigint, n_tokens bigint, {kinds}")
+    schema = f"doc_id bigint, n_tokens bigint, {kinds}"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def rows(own: Codec, doc_ids: list, texts: list) -> Iterator[pa.RecordBatch]:
+        """The rows of some texts, a few at a time."""
+        ids = own.encode(texts)
+        for at in range(0, len(doc_ids), BATCH_ROWS):
+            made = list(islice(ids, BATCH_ROWS))
+            columns = [doc_ids[at : at + BATCH_ROWS], [len(i) for i in made]]
+            if digests:
+                columns += [[_hex(own.written(i)) for i in made], [_hex(own.decode(i)) for i in made]]
+            else:
+                columns += [made, [own.decode(i) for i in made]]
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(content.value)
+        doc_ids, texts, size = [], [], 0
+        for part in slices(batches):
+            doc_ids += part.column(0).to_pylist()
+            texts += part.column(1).to_pylist()
+            size += part.nbytes
+            if size >= TRIE_CHARS:
+                yield from rows(own, doc_ids, texts)
+                doc_ids, texts, size = [], [], 0
+        yield from rows(own, doc_ids, texts)
+        # The worker lives on for other stages, which need the memory.
+        own.forget()
+        give_back()
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

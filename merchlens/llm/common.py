@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -14,15 +16,21 @@ from pyspark.sql.window import Window
 # Fixed value: a word is a run of anything but blank, tab, line and page breaks.
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Bytes of an Arrow batch that a task turns into Python values at once.
-BATCH_BYTES = 8_000_000
+# Bytes of an Arrow batch that a task turns into Python values at once, and rows of a batch.
+BATCH_BYTES = 4_000_000
+BATCH_ROWS = 2_000
+_BATCH_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def find_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+    """Let Python workers import this package, and give them batches that fit texts.
 
-    It matters where the package is neither installed nor shipped, as in a checkout.
+    The path matters where the package is neither installed nor shipped, as in a
+    checkout. Batches hold at most `BATCH_ROWS` rows from here on in the session: both
+    sides of the pipe keep whole batches, and rows are whole texts.
     """
+    if int(spark.conf.get(_BATCH_ROWS_CONF)) > BATCH_ROWS:
+        spark.conf.set(_BATCH_ROWS_CONF, BATCH_ROWS)
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     listed = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
@@ -68,10 +76,21 @@ def per_batch(
             made = step(*(column.to_pylist() for column in part.columns))
             arrays = [pa.array(v, f.type) for v, f in zip(made, arrow, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        give_back()
 
     return frame.select(*columns).mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system: its worker idles beside the next stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library, which has no such call
+
+
 def in_slices(step: Callable[..., list], kind: pa.DataType, *columns: pa.Array) -> pa.Array:
     """`step` of the columns' Python values, about `BATCH_BYTES` of them at a time."""
     rows = len(columns[0])
