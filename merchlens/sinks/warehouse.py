@@ -153,27 +153,27 @@ class Warehouse:
     def load_all(
         self, read: Callable[[str], DataFrame], enforce: bool = True, parallel: int = 4
     ) -> DataFrame:
-        """Replace all tables: parents before children, independent ones together.
+        """Replace all tables, each checked against the parents loaded with it.
 
-        Nothing is shown before every table is written and checked; a load that fails
-        drops all it wrote. Then all tables change at one instant. Returns one row per
-        table with the rows written and the problems found.
+        All are written, then all are checked, `parallel` of them at a time, and nothing is
+        shown before: a load that fails drops all it wrote, and one that does not changes
+        all tables at one instant, so that parents never come after their children.
+        Returns one row per table, parents first, with the rows written and the problems
+        found.
 
         Frames that come with a column of problems (`read_split`) are stored with their
         rejected rows set apart; see `rejections`.
         """
-        staged: dict[str, Loaded] = {}
         started: list[str] = []
+        names = [name for wave in load_waves(self.specs) for name in wave]
         try:
             with ThreadPoolExecutor(parallel) as pool:
-                for wave in load_waves(self.specs):
-                    known = dict(staged)
-                    running = {
-                        name: pool.submit(lambda n: self._stage(n, read(n), known, started), name)
-                        for name in wave
-                    }
-                    staged.update({name: future.result() for name, future in running.items()})
-                    self._refuse(staged.values() if enforce else [])
+                # The largest tables, which reference others, are begun first.
+                writing = {n: pool.submit(lambda n: self._write(n, read(n), started), n) for n in names[::-1]}
+                written = {name: writing[name].result() for name in names}
+                finding = {n: pool.submit(self._found, written[n], written) for n in names[::-1]}
+                staged = {name: finding[name].result() for name in names}
+            self._refuse(staged.values() if enforce else [])
         except BaseException:
             self._forget(started)
             raise
@@ -296,6 +296,9 @@ class Warehouse:
         self, name: str, frame: DataFrame, staged: Mapping[str, Loaded], started: list[str]
     ) -> Loaded:
         """Write a table version, and check its key and references in one scan of it."""
+        return self._found(self._write(name, frame, started), staged)
+
+    def _write(self, name: str, frame: DataFrame, started: list[str]) -> Loaded:
         spec = self.specs[name]
         split = PROBLEMS in frame.columns and PROBLEMS not in spec.columns
         frame = frame.select(*spec.columns, *([PROBLEMS] if split else []))
@@ -315,9 +318,7 @@ class Warehouse:
             counted = counted.repartition(self.buckets, "order_id")
         counted.write.insertInto(target, overwrite=True)
         held = written.get
-        return self._found(
-            Loaded(name, version, held["rows"], 0, 0, 0, held["rejected"], split), staged
-        )
+        return Loaded(name, version, held["rows"], 0, 0, 0, held["rejected"], split)
 
     def _found(self, load: Loaded, staged: Mapping[str, Loaded]) -> Loaded:
         """The load with what a check of its written rows against its parents finds."""
