@@ -169,7 +169,8 @@ class Merges:
             # The end of the word is part of its last letter: an edge of its own.
             for end in range(len(path), size + 1):
                 ending = suffix if end == size else ""
-                longest = (self.ending if end == size else self.inside).get(word[max(0, end - 2) : end], 1)
+                known = self.ending if end == size else self.inside
+                longest = known.get(word[max(0, end - 2) : end], 1)
                 for start in range(max(0, end - longest), end):
                     token = word[start:end] + ending
                     if token in vocab:
@@ -328,7 +329,8 @@ def encoded(docs: DataFrame, tokenizer: str | None = None, digests: bool = False
             made = list(islice(ids, BATCH_ROWS))
             columns = [doc_ids[at : at + BATCH_ROWS], [len(i) for i in made]]
             if digests:
-                columns += [[_hex(own.written(i)) for i in made], [_hex(own.decode(i)) for i in made]]
+                columns.append([_hex(own.written(i)) for i in made])
+                columns.append([_hex(own.decode(i)) for i in made])
             else:
                 columns += [made, [own.decode(i) for i in made]]
             arrays = [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)]

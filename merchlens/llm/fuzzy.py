@@ -240,7 +240,8 @@ def edited_likeness(docs: DataFrame, buckets: int | None = None) -> DataFrame:
 
     `buckets` ranges are compared in parallel, by default as many as shuffle partitions;
     a task compares two documents at a time, whatever their range holds, and turns about
-    8 MB of a batch into Python values at a time.
+    4 MB of a batch into Python values at a time. Jobs find the ranges while the frame is
+    built.
     """
     spark = docs.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))

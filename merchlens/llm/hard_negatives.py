@@ -273,25 +273,24 @@ def _at_home(books: Codebooks, width: int, every: int):
     return run
 
 
-def _sent(anchors: DataFrame, books: Codebooks, radii: dict[int, list[np.ndarray]]) -> DataFrame:
+def _sent(anchors: DataFrame, books: Codebooks, reach: pa.Table) -> DataFrame:
     """Anchors with `block`: every block, but `home`, whose best cell may hold `least` or more."""
     schema = ", ".join(f"{n} {k}" for n, k in anchors.dtypes) + ", blocks array<bigint>"
-    arrow = v.arrow_schema(schema)
+    arrow, names = v.arrow_schema(schema), reach["block"].to_numpy()
+    radii = [
+        np.array([np.frombuffer(b, np.float64) for b in reach[side].to_pylist()]).reshape(
+            len(names), -1 if len(names) else 0
+        )
+        for side in ("left", "right")
+    ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
             for anchor in batch.select(["home", "x", "least"]).to_pylist():
                 query = np.frombuffer(anchor["x"], np.int32)
-                kept.append(
-                    [
-                        name
-                        for name, own in radii.items()
-                        if name != anchor["home"]
-                        and sum(b.max(initial=-np.inf) for b in books.bounds(query, own))
-                        >= anchor["least"]
-                    ]
-                )
+                best = sum(b.max(axis=1, initial=-np.inf) for b in books.bounds(query, radii))
+                kept.append(names[(best >= anchor["least"]) & (names != anchor["home"])])
             columns = [*batch.columns, pa.array(kept, arrow[-1].type)]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
@@ -373,28 +372,28 @@ def hard_negatives(
     with tasks. Runs jobs while it is built: vectors, index, anchors and positives are
     checkpointed.
     """
-    vectors = v.integer_vectors(
-        table.where("label IS NOT NULL").select("vec_id", "label", vector), scale, vector, "vec_id", "label"
-    )
+    labelled = table.where("label IS NOT NULL").select("vec_id", "label", vector)
+    vectors = v.integer_vectors(labelled, scale, vector, "vec_id", "label")
     rows, size, anchors = vectors.agg(
         F.count(F.lit(1)), F.max(F.octet_length("x")), F.count_if(F.col("vec_id") % every == 0)
     ).first()
     width = (size or 0) // 4
     books = Codebooks(v.matrix(v.sample(vectors)["x"], width))
     coded = _coded(vectors, books, width)
-    index = v.in_blocks(
-        coded, v.block_count(rows), ["left", "right", "vec_id", "row"], _packer(books, width), _PACKED
-    )
-    radii = {r["block"]: _radii(r) for r in index.select("block", "left", "right").toArrow().to_pylist()}
+    order = ["left", "right", "vec_id", "row"]
+    index = v.in_blocks(coded, rows, order, _packer(books, width), _PACKED)
+    reach = index.select("block", "left", "right").toArrow()
     parts = -(-anchors // v.QUERIES_PER_TASK) or 1
 
     asked = index.mapInArrow(_at_home(books, width, every), _ANCHORS).checkpoint()
-    sent = _sent(asked.drop("found"), books, radii)
+    sent = _sent(asked.drop("found"), books, reach)
     away = v.beside_blocks(sent, index, parts, _more_positives(books, width), _POSITIVES)
     home = asked.select("row", F.inline("found"))
     positives = _ranked(home.unionByName(away), "turn", POSITIVES, "row").checkpoint()
 
-    listed = positives.groupBy("row").agg(F.collect_list(F.struct("turn", "score")).alias("positives"))
+    listed = positives.groupBy("row").agg(
+        F.collect_list(F.struct("turn", "score")).alias("positives")
+    )
     # The lowest window that is not empty tells which blocks an anchor has to see.
     low = F.floor(F.col("score").cast("double") * (LEAST_PART / 100 - 1e-9)) - 1
     lowest = (
@@ -406,7 +405,7 @@ def hard_negatives(
         .join(listed, "row")
     )
     found = v.beside_blocks(
-        _sent(mining, books, radii), index, parts, _mined(books, width), _NEGATIVES
+        _sent(mining, books, reach), index, parts, _mined(books, width), _NEGATIVES
     )
     negatives = _ranked(found, "rank", NEGATIVES, "row", "turn")
     return (

@@ -15,8 +15,6 @@ Everything is built-in expressions.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -130,7 +128,9 @@ def below(level: DataFrame, *carried: str) -> DataFrame:
             F.when(
                 F.col(name).isNotNull(),
                 F.struct(
-                    (F.col("idx") * FANOUT + at).alias("idx"), F.col(name).alias("child"), step.alias("step")
+                    (F.col("idx") * FANOUT + at).alias("idx"),
+                    F.col(name).alias("child"),
+                    step.alias("step"),
                 ),
             )
         )
@@ -185,22 +185,22 @@ def merkle_manifest(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("row"),
     )
     placed = numbered(leaves, "tree", ["doc_id", "hash", "row"]).drop("row")
-    sizes = placed.where("idx = 0").agg(F.max("total").alias("most"), F.count(F.lit(1)).alias("n"))
-    most, sources = sizes.first()
+    most, sources = placed.where("idx = 0").agg(F.max("total"), F.count(F.lit(1))).first()
     levels = levels_of(placed, most or 1, ("doc_id", "tampered"))
 
-    subroots = as_nodes(levels[-1]).select(F.lit("").alias("tree"), F.col("tree").alias("of"), "hash")
+    subroots = as_nodes(levels[-1]).select(
+        F.lit("").alias("tree"), F.col("tree").alias("of"), "hash"
+    )
     ordered = numbered(subroots, "tree", ["of"])
     upper = levels_of(ordered, sources or 1, ("of",))
-    root = as_nodes(upper[-1]).select(
-        "tree", F.col("hash").alias("root"), F.array().cast("array<struct<left:string,right:string>>").alias("path")
-    )
+    nowhere = F.array().cast("array<struct<left:string,right:string>>").alias("path")
+    root = as_nodes(upper[-1]).select("tree", F.col("hash").alias("root"), nowhere)
     tops = descended(upper, root, "root").select(
         F.col("child.of").alias("tree"), F.col("child.hash").alias("subroot"), "root", "path"
     )
     rows = descended(levels, tops, "subroot", "root")
     start = F.coalesce(F.col("child.tampered"), F.col("child.hash"))
-    folded = F.aggregate("path", start, lambda node, step: digest(step["left"], node, step["right"]))
+    folded = F.aggregate("path", start, lambda node, s: digest(s["left"], node, s["right"]))
     proof = F.array_join(F.transform("path", lambda p: F.concat(p["left"], p["right"])), "")
     return rows.select(
         F.col("child.doc_id").alias("doc_id"),
@@ -252,21 +252,17 @@ def _oracle() -> str:
         ("t", k, "p.place", "''") for k in range(_SQL_LEVELS)
     ]
     joins = "\n".join(
-        f"JOIN {name}_run{k} {name}r{k} ON {name}r{k}.tree = {tree} AND {name}r{k}.idx = {at} // {FANOUT**k}"
+        f"JOIN {name}_run{k} {name}r{k} ON {name}r{k}.tree = {tree}"
+        f" AND {name}r{k}.idx = {at} // {FANOUT**k}"
         for name, k, at, tree in steps
     )
-    folded = reduce(
-        lambda node, step: (
-            f"CASE WHEN {step[0]}r{step[1]}.total > 1 THEN"
-            f" sha256({step[0]}r{step[1]}.l || {node} || {step[0]}r{step[1]}.r) ELSE {node} END"
-        ),
-        steps[:1],
-        "start",
+    proof = " || ".join(f"{n}r{k}.l || {n}r{k}.r" for n, k, _, _ in steps)
+    sides = ", ".join(
+        f"{n}r{k}.total AS {n}n{k}, {n}r{k}.l AS {n}l{k}, {n}r{k}.r AS {n}e{k}" for n, k, _, _ in steps
     )
     # Folding step by step in nested selects keeps the text of the query short.
-    query = f"""SELECT p.doc_id, p.h AS leaf, u.h AS subroot, w.h AS root, coalesce(p.altered, p.h) AS start,
-      sha256({" || ".join(f"{n}r{k}.l || {n}r{k}.r" for n, k, _, _ in steps)}) AS proof_sha256,
-      {", ".join(f"{n}r{k}.total AS {n}n{k}, {n}r{k}.l AS {n}l{k}, {n}r{k}.r AS {n}e{k}" for n, k, _, _ in steps)}
+    query = f"""SELECT p.doc_id, p.h AS leaf, u.h AS subroot, w.h AS root,
+      coalesce(p.altered, p.h) AS start, sha256({proof}) AS proof_sha256, {sides}
       FROM placed p JOIN s{_SQL_LEVELS} u ON u.tree = p.tree CROSS JOIN t{_SQL_LEVELS} w
       {joins}"""
     for n, k, _, _ in steps:
@@ -282,8 +278,10 @@ def _oracle() -> str:
         FROM (SELECT unnest(range(256)) AS b))
     ), sums AS (
       SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT,
-          list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'), lambda d: ('0x' || d)::BIGINT)),
-          lambda v, b: xor(v >> 8, crc[1 + xor(v & 255, b)])), 4294967295::BIGINT) % {TAMPERED_IN} = 0 AS chosen
+          list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'),
+            lambda d: ('0x' || d)::BIGINT)),
+          lambda v, b: xor(v >> 8, crc[1 + xor(v & 255, b)])), 4294967295::BIGINT)
+          % {TAMPERED_IN} = 0 AS chosen
       FROM documents, crc_table
     ), hashed AS (
       SELECT coalesce('1' || source, '0') AS tree, doc_id, {row("text")} AS h,

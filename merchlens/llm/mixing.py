@@ -251,7 +251,8 @@ def mixed_words(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
     One row per row of `docs`. A null text has no words; a null source is a source, the
     last in order; documents equal in doc_id and size may swap places in the mix. An
-    empty table gives no rows. Other columns are ignored.
+    empty table gives no rows. Other columns are ignored. Sizes and targets are
+    checkpointed by jobs while the frame is built.
     """
     sized = _sized(docs)
     targets, pieces = _pieces(sized)
@@ -294,7 +295,8 @@ def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     A document comes once for each pass that takes words of it, with `text` cut to
     these words and `n_chars` counted anew; taken whole, its text is unchanged. Rows
     equal in doc_id and text each come with what they take themselves: rows are
-    written once with a key of their own.
+    written once with a key of their own, and sizes and targets checkpointed, by jobs while
+    the frame is built.
     """
     folder = new_shared_folder(docs.sparkSession, "mix")
     key = F.monotonically_increasing_id().alias("row_key")

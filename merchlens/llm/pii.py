@@ -420,7 +420,7 @@ def personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame:
 
     Spans are kind:start:end in code points, end exclusive. One row per row of `docs`;
     a null text counts as empty and has no spans; equal texts have equal spans. Other
-    columns are ignored.
+    columns are ignored. Without a field given, jobs fit one while the frame is built.
     """
     packed = _packed(field or fit(docs))
 
@@ -455,7 +455,8 @@ def masked(text: str | None, field: Field) -> str | None:
 def with_masked_text(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """`docs` with personal data masked in `text` and `n_chars` counted anew.
 
-    All columns and rows stay; null texts stay null with the n_chars they had.
+    All columns and rows stay; null texts stay null with the n_chars they had. Without a
+    field given, jobs fit one while the frame is built.
     """
     packed = _packed(field or fit(docs))
 

@@ -91,7 +91,13 @@ class Block:
         )
 
     def best(
-        self, table: PivotTable, query: np.ndarray, to_pivots: np.ndarray, own: int, k: int, least: int
+        self,
+        table: PivotTable,
+        query: np.ndarray,
+        to_pivots: np.ndarray,
+        own: int,
+        k: int,
+        least: int,
     ) -> tuple[np.ndarray, np.ndarray]:
         """Positions and scores of the k best from `least` on, the row `own` left out."""
         bound = np.zeros(len(self.ids), np.float32)
@@ -230,7 +236,11 @@ def _compared(table: PivotTable, width: int, k: int):
 
 
 def top_scores(
-    table: DataFrame, every: int = QUERY_EVERY, k: int = TOP, scale: int = SCALE, vector: str = "embedding"
+    table: DataFrame,
+    every: int = QUERY_EVERY,
+    k: int = TOP,
+    scale: int = SCALE,
+    vector: str = "embedding",
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the k best rows for every query.
 
@@ -247,16 +257,15 @@ def top_scores(
     tasks. Runs jobs while it is built: vectors, blocks and queries are checkpointed.
     """
     vectors = v.integer_vectors(table, scale, vector, "vec_id")
-    facts = vectors.agg(
-        F.count(F.lit(1)), F.max("norm2"), F.max(F.octet_length("x")), F.count_if(F.col("vec_id") % every == 0)
-    )
+    asking = F.count_if(F.col("vec_id") % every == 0)
+    facts = vectors.agg(F.count(F.lit(1)), F.max("norm2"), F.max(F.octet_length("x")), asking)
     rows, longest, size, queries = facts.first()
     width = (size or 0) // 4
     held = v.sample(vectors)
     pivots = PivotTable(v.matrix(held["x"], width), held["norm2"].to_numpy(), longest or 0)
     nearest = _nearest_pivot(vectors, pivots, width)
     blocks = v.in_blocks(
-        nearest, v.block_count(rows), ["cell", "vec_id", "row"], _packer(pivots, width), _PACKED
+        nearest, rows, ["cell", "vec_id", "row"], _packer(pivots, width), _PACKED
     )
     asked = blocks.mapInArrow(_at_home(pivots, width, every, k), _QUERIES).checkpoint()
     bounds = blocks.select("block", "lows", "highs").toArrow()

@@ -137,8 +137,8 @@ def hash_tree_shards(docs: DataFrame, tree: Node, grown: Node | None = None) ->
     doc_id share a shard and are numbered by checksum and size; an empty table gives
     no rows. Other columns of `docs` are ignored.
 
-    The text is read once: the few numbers kept of each row are checkpointed before
-    shards are counted and numbered.
+    The text is read once: the few numbers kept of each row are checkpointed, by a job
+    while the frame is built, before shards are counted and numbered.
     """
     ensure_checkpoint_dir(docs.sparkSession)
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))

@@ -120,13 +120,13 @@ def block_count(rows: int) -> int:
 
 
 def in_blocks(
-    rows: DataFrame, count: int, order: list[str], pack: Callable[[pa.Table], dict], schema: str
+    rows: DataFrame, total: int, order: list[str], pack: Callable[[pa.Table], dict], schema: str
 ) -> DataFrame:
     """One packed row per range of `order`, and `block`, its number; checkpointed.
 
-    `pack` makes the columns of `schema` from a range's rows. `order` has to end in a
-    column that tells rows apart, so that equal rows are cut as well. A range comes out
-    up to about twice its share of rows; larger ones are cut.
+    `pack` makes the columns of `schema` from a range's rows, `total` in all. `order` has to
+    end in a column that tells rows apart, so that equal rows are cut as well. A range
+    comes out up to about twice its share of rows; larger ones are cut.
     """
     arrow = arrow_schema(schema)
 
@@ -146,7 +146,8 @@ def in_blocks(
         if n:
             yield one(held)
 
-    most = max(BLOCK_ROWS, -(-rows.count() // count))
+    count = block_count(total)
+    most = max(BLOCK_ROWS, -(-total // count))
     ranged = rows.repartitionByRange(count, *order)
     return (
         ranged.mapInArrow(run, schema)
