@@ -36,10 +36,12 @@ def sales_mart(raw: RawTables, by_order: bool = False) -> DataFrame:
     sellers = raw.sellers.select("seller_id", "seller_city", "seller_state")
     if by_order:
         paired = payments.join(orders, "order_id").join(items, "order_id")
-        joined = paired.join(products, "product_id").join(sellers, "seller_id").join(customers, "customer_id")
+        sold = paired.join(products, "product_id").join(sellers, "seller_id")
+        joined = sold.join(customers, "customer_id")
     else:
         sold = items.join(products, "product_id").join(sellers, "seller_id")
-        joined = payments.join(orders, "order_id").join(customers, "customer_id").join(sold, "order_id")
+        paid = payments.join(orders, "order_id").join(customers, "customer_id")
+        joined = paid.join(sold, "order_id")
     return (
         joined.select(
             "order_id",

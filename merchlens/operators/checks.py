@@ -143,7 +143,8 @@ def key_checks(tables: RawTables, specs: Mapping[str, TableSpec] = TABLES) -> Da
     for name, spec in specs.items():
         if not (spec.primary_key or spec.references):
             continue
-        facts = key_facts(frames[name], spec, {parent: frames[parent] for parent in spec.references.values()})
+        parents = {parent: frames[parent] for parent in spec.references.values()}
+        facts = key_facts(frames[name], spec, parents)
         checks.append(
             facts.select(
                 F.lit(name).alias("table_name"),
@@ -151,7 +152,9 @@ def key_checks(tables: RawTables, specs: Mapping[str, TableSpec] = TABLES) -> Da
                 "unique_keys",
                 "duplicate_rows",
                 "null_keys",
-                F.aggregate("orphans", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("orphan_keys"),
+                F.aggregate("orphans", F.lit(0).cast("bigint"), lambda a, b: a + b).alias(
+                    "orphan_keys"
+                ),
             )
         )
     return reduce(DataFrame.unionByName, checks)

@@ -31,9 +31,8 @@ def key_values(
         found = entry(at + 1, key_text(column))
         made.append(found if null_references else F.when(F.col(column).isNotNull(), found))
     if not made:
-        return rows.limit(0).select(
-            F.lit(KEY).alias("relation"), F.lit("").alias("value"), F.lit(0).cast("bigint").alias("held")
-        )
+        none = F.lit(0).cast("bigint").alias("held")
+        return rows.limit(0).select(F.lit(KEY).alias("relation"), F.lit("").alias("value"), none)
     values = rows.select(F.explode(F.array(*made)).alias("of")).where("of IS NOT NULL")
     return values.groupBy("of.relation", "of.value").agg(F.count(F.lit(1)).alias("held"))
 
@@ -71,14 +70,17 @@ def key_facts(rows: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]
     references = {column: parents[parent] for column, parent in spec.references.items()}
     values = key_values(rows, spec.primary_key, tuple(references))
     left = without_parents(values, references)
-    keyed = (F.col("relation") == KEY) & F.col("value").isNotNull()
+    own, held = F.col("relation") == KEY, F.col("held")
+    keyed, empty = own & F.col("value").isNotNull(), own & F.col("value").isNull()
+
+    def rows_of(which: Column, count: Column) -> Column:
+        return F.coalesce(F.sum(F.when(which, count)), F.lit(0))
+
     return left.agg(
-        F.coalesce(F.sum(F.when(F.col("relation") == KEY, F.col("held"))), F.lit(0)).alias("keyed_rows"),
+        rows_of(own, held).alias("keyed_rows"),
         F.count_if(keyed).alias("unique_keys"),
-        F.coalesce(F.sum(F.when(keyed, F.col("held") - 1)), F.lit(0)).alias("duplicate_rows"),
-        F.coalesce(
-            F.sum(F.when((F.col("relation") == KEY) & F.col("value").isNull(), F.col("held"))), F.lit(0)
-        ).alias("null_keys"),
+        rows_of(keyed, held - 1).alias("duplicate_rows"),
+        rows_of(empty, held).alias("null_keys"),
         F.array(*(F.count_if(F.col("relation") == at + 1) for at in range(len(references))))
         .cast("array<bigint>")
         .alias("orphans"),

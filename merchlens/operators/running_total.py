@@ -37,9 +37,10 @@ def running_total(rows: DataFrame, value: str) -> DataFrame:
     return (
         dealt.withColumn("_within", within)
         .join(_summaries(dealt, value, columns), "_range")
+        .withColumn("_running", F.col("_above") + F.col("_within") + peers)
         .select(
             *columns,
-            F.when(F.col(value).isNotNull(), F.col("_above") + F.col("_within") + peers).alias("running"),
+            F.when(F.col(value).isNotNull(), F.col("_running")).alias("running"),
             F.col("_overall").alias("overall"),
         )
     )

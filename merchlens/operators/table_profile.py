@@ -60,22 +60,20 @@ class TableProfile:
         facts = [F.coalesce(F.sum(_ROWS), F.lit(0)).alias(_ROWS)]
         entries = []
         for at, (name, kind) in enumerate(self.columns):
-            facts.append(F.coalesce(F.sum(f"_missing{at}"), F.lit(0)).alias(f"_missing{at}"))
+            missing, least, most = f"_missing{at}", f"_least{at}", f"_most{at}"
+            facts.append(F.coalesce(F.sum(missing), F.lit(0)).alias(missing))
             if _has_order(kind):
-                facts += [F.min(f"_least{at}").alias(f"_least{at}"), F.max(f"_most{at}").alias(f"_most{at}")]
-            text = [
-                F.col(f"_{bound}{at}").cast("string") if _has_order(kind) else F.lit(None).cast("string")
-                for bound in ("least", "most")
-            ]
+                facts += [F.min(least).alias(least), F.max(most).alias(most)]
+            bounds = [F.col(least), F.col(most)] if _has_order(kind) else [F.lit(None)] * 2
             entries.append(
                 F.struct(
                     F.lit(at).alias("position"),
                     F.lit(name).alias("column_name"),
                     F.lit(kind).alias("data_type"),
                     F.col(_ROWS).alias("rows"),
-                    F.col(f"_missing{at}").alias("missing"),
-                    text[0].alias("smallest"),
-                    text[1].alias("largest"),
+                    F.col(missing).alias("missing"),
+                    bounds[0].cast("string").alias("smallest"),
+                    bounds[1].cast("string").alias("largest"),
                 )
             )
         return self.rows.agg(*facts).select(F.inline(F.array(*entries)))

@@ -139,7 +139,7 @@ def _check_queries() -> dict[str, Callable[[RawTables], DataFrame]]:
         "dq_pk": checks.pk_checks,
         "dq_fk": checks.fk_checks,
         "dq_keys": checks.key_checks,
-        "dq_profile": lambda raw: _each_table(raw, lambda _, frame: TableProfile.of(frame).overview()),
+        "dq_profile": lambda raw: _each_table(raw, lambda _, table: TableProfile.of(table).overview()),
         "dq_date_ranges": lambda raw: checks.date_ranges(raw.orders),
         "value_counts_status": lambda raw: checks.value_counts(raw.orders, "order_status"),
         "value_counts_payment_type": lambda raw: checks.value_counts(raw.payments, "payment_type"),

@@ -98,9 +98,9 @@ def load_quarantined(spark: SparkSession, folder: str) -> DataFrame:
         ),
         sellers=tables.sellers.withColumn(
             "seller_city",
-            F.when(F.col("seller_id").cast("bigint") % 10 == 1, F.repeat(F.lit("x"), F.lit(60))).otherwise(
-                F.col("seller_city")
-            ),
+            F.when(
+                F.col("seller_id").cast("bigint") % 10 == 1, F.repeat(F.lit("x"), F.lit(60))
+            ).otherwise(F.col("seller_city")),
         ),
         orders=tables.orders.withColumn(
             "order_approved_at",
@@ -110,9 +110,8 @@ def load_quarantined(spark: SparkSession, folder: str) -> DataFrame:
         ),
     )
     root, house, _ = _load(spark, broken, read=read_split)
-    counts = house.row_counts().select(
-        "table_name", F.lit("").alias("column_name"), F.lit("").alias("reason"), "rows", "rejected_rows"
-    )
+    whole = [F.lit("").alias(name) for name in ("column_name", "reason")]
+    counts = house.row_counts().select("table_name", *whole, "rows", "rejected_rows")
     reasons = (
         house.rejections()
         .groupBy("table_name", "column_name", "reason")
@@ -141,9 +140,9 @@ def load_reloaded(spark: SparkSession, folder: str) -> DataFrame:
     house.load_table(
         "orders", approved.where(even), reload=lambda name: getattr(raw, name).where(even)
     )
+    checked = house.raw_sales().keys_enforced
     report = [
-        (name, kept[name], spark.table(f"{house.raw}.{name}").count(), house.raw_sales().keys_enforced)
-        for name in TABLES
+        (name, kept[name], spark.table(f"{house.raw}.{name}").count(), checked) for name in TABLES
     ]
     _drop(spark, root, house)
     return spark.createDataFrame(

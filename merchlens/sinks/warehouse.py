@@ -169,9 +169,12 @@ class Warehouse:
         try:
             with ThreadPoolExecutor(parallel) as pool:
                 # The largest tables, which reference others, are begun first.
-                writing = {n: pool.submit(lambda n: self._write(n, read(n), started), n) for n in names[::-1]}
+                write = lambda name: self._write(name, read(name), started)
+                writing = {name: pool.submit(write, name) for name in names[::-1]}
                 written = {name: writing[name].result() for name in names}
-                finding = {n: pool.submit(self._found, written[n], written) for n in names[::-1]}
+                finding = {
+                    name: pool.submit(self._found, written[name], written) for name in names[::-1]
+                }
                 staged = {name: finding[name].result() for name in names}
             self._refuse(staged.values() if enforce else [])
         except BaseException:
@@ -193,9 +196,8 @@ class Warehouse:
         for name, facts in self._manifest().tables.items():
             if facts.quarantined:
                 rows = self.spark.table(f"{self.raw}.{facts.version}").where(F.col(_REJECTED))
-                parts.append(
-                    rows.select(F.lit(name.removeprefix("raw_")).alias("table_name"), F.inline(PROBLEMS))
-                )
+                table = F.lit(name.removeprefix("raw_")).alias("table_name")
+                parts.append(rows.select(table, F.inline(PROBLEMS)))
         if not parts:
             return self.spark.createDataFrame(
                 [], "table_name string, column_name string, text string, reason string"

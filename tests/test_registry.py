@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -30,6 +32,16 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
+@pytest.mark.parametrize("package", ["tokenizers", "xxhash", "public_tokenizers"])
+def test_entry_goes_without_packages_of_the_optional_part(package):
+    code = (
+        f"import sys; sys.modules[{package!r}] = None; import __spark_entry__ as e; "
+        "from merchlens import registry; assert set(e.queries()) >= set(registry.queries())"
+    )
+    root = Path(contract.__file__).parent
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+
+
 def test_entry_is_the_category_classes(spark):
     assert contract.entry(spark).columns == [
         "abc_group",
