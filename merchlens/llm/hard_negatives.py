@@ -7,8 +7,9 @@ length times radius; the sum of both half bounds is the bound of a cell. With co
 both halves in the order of their bounds, a heap over pairs of codes visits cells by
 falling bound, without a look at those it never gets to.
 
-An anchor first takes its positives, the best rows of its own label. Each positive opens a
-window of scores for negatives. A window is certified, and its search over, when the
+An anchor first takes its positives, the best rows of its own label, in its own block and
+then in others that may hold better ones. Each positive opens a window of scores for
+negatives, which are searched in the same two steps. A window is certified, and its search over, when the
 bound of the next cell is below what is found already, or below the window itself.
 """
 
@@ -327,7 +328,11 @@ def _mined(books: Codebooks, width: int):
             block = Block(packed, width)
             for a in anchors.to_pylist():
                 query = np.frombuffer(a["x"], np.int32)
-                windows = [window(p["score"]) for p in a["positives"]]
+                windows = [
+                    (max(low, p["floor"]), high)
+                    for p in a["positives"]
+                    for low, high in [window(p["score"])]
+                ]
                 mined = block.negatives(books, query, a["label"], windows)
                 for p, (places, found) in zip(a["positives"], mined):
                     columns = [
@@ -342,6 +347,22 @@ def _mined(books: Codebooks, width: int):
     return compare
 
 
+def _windows(positives: DataFrame) -> DataFrame:
+    """Per anchor: its positives, and `least`, the lowest score that any of their windows takes.
+
+    `floor` is what a window holds enough of already. A positive below zero has no window.
+    """
+    low = F.floor(F.col("score").cast("double") * (LEAST_PART / 100 - 1e-9)).cast("bigint") - 1
+    return (
+        positives.where("score >= 0")
+        .groupBy("row")
+        .agg(
+            F.collect_list(F.struct("turn", "score", "floor")).alias("positives"),
+            F.min(F.greatest(low, "floor")).alias("least"),
+        )
+    )
+
+
 def _ranked(hits: DataFrame, name: str, most: int, *keys: str) -> DataFrame:
     order = Window.partitionBy(*keys).orderBy(
         F.col("score").desc(), F.col("vec_id").asc_nulls_last()
@@ -369,12 +390,12 @@ def hard_negatives(
 
     Codebooks are fitted on at most SAMPLE_ROWS rows; every row is indexed, and the result
     does not depend on them. Codebooks and the radii of at most MOST_BLOCKS blocks travel
-    with tasks. Runs jobs while it is built: vectors, index, anchors and positives are
-    checkpointed.
+    with tasks. Runs jobs while it is built: vectors, index, anchors, positives and what is
+    found at home are checkpointed.
     """
     labelled = table.where("label IS NOT NULL").select("vec_id", "label", vector)
     vectors = v.integer_vectors(labelled, scale, vector, "vec_id", "label")
-    rows, size, anchors = vectors.agg(
+    rows, size, asking = vectors.agg(
         F.count(F.lit(1)), F.max(F.octet_length("x")), F.count_if(F.col("vec_id") % every == 0)
     ).first()
     width = (size or 0) // 4
@@ -383,7 +404,7 @@ def hard_negatives(
     order = ["left", "right", "vec_id", "row"]
     index = v.in_blocks(coded, rows, order, _packer(books, width), _PACKED)
     reach = index.select("block", "left", "right").toArrow()
-    parts = -(-anchors // v.QUERIES_PER_TASK) or 1
+    parts = -(-asking // v.QUERIES_PER_TASK) or 1
 
     asked = index.mapInArrow(_at_home(books, width, every), _ANCHORS).checkpoint()
     sent = _sent(asked.drop("found"), books, reach)
@@ -391,22 +412,19 @@ def hard_negatives(
     home = asked.select("row", F.inline("found"))
     positives = _ranked(home.unionByName(away), "turn", POSITIVES, "row").checkpoint()
 
-    listed = positives.groupBy("row").agg(
-        F.collect_list(F.struct("turn", "score")).alias("positives")
-    )
-    # The lowest window that is not empty tells which blocks an anchor has to see.
-    low = F.floor(F.col("score").cast("double") * (LEAST_PART / 100 - 1e-9)) - 1
-    lowest = (
-        positives.where("score >= 0").groupBy("row").agg(F.min(low).cast("bigint").alias("least"))
-    )
-    mining = (
-        asked.select("row", "label", "x", F.lit(-1).cast("bigint").alias("home"))
-        .join(lowest, "row")
-        .join(listed, "row")
-    )
-    found = v.beside_blocks(
-        _sent(mining, books, reach), index, parts, _mined(books, width), _NEGATIVES
+    anchors = asked.select("row", "label", "x", "home")
+    mine = _mined(books, width)
+    first = _windows(positives.withColumn("floor", F.lit(_NONE)))
+    at_home = anchors.join(first, "row").withColumn("block", F.col("home"))
+    found = v.beside_blocks(at_home, index, parts, mine, _NEGATIVES).checkpoint()
+    # From other blocks only what is as good as the tenth found at home can count.
+    held = found.groupBy("row", "turn").agg(
+        F.when(F.count(F.lit(1)) >= NEGATIVES, F.min("score")).alias("tenth")
     )
+    floor = F.coalesce("tenth", F.lit(_NONE)).alias("floor")
+    second = _windows(positives.join(held, ["row", "turn"], "left").select("*", floor))
+    away = _sent(anchors.join(second, "row"), books, reach)
+    found = found.unionByName(v.beside_blocks(away, index, parts, mine, _NEGATIVES))
     negatives = _ranked(found, "rank", NEGATIVES, "row", "turn")
     return (
         negatives.withColumnsRenamed({"vec_id": "negative_id", "score": "negative_score"})
