@@ -22,6 +22,14 @@ def key_values(
     counted before they are shuffled, so a value that a large part of the rows hold is one
     row. A key with a NULL part is NULL. NULL references are left out unless asked for.
     """
+    values = _entries(rows, key, references, null_references)
+    return values.groupBy("relation", "value").agg(F.count(F.lit(1)).alias("held"))
+
+
+def _entries(
+    rows: DataFrame, key: tuple[str, ...], references: tuple[str, ...], null_references: bool = False
+) -> DataFrame:
+    """relation and value of every key and reference of every row, in one scan."""
 
     def entry(relation: int, value: Column) -> Column:
         return F.struct(F.lit(relation).alias("relation"), value.alias("value"))
@@ -31,10 +39,9 @@ def key_values(
         found = entry(at + 1, key_text(column))
         made.append(found if null_references else F.when(F.col(column).isNotNull(), found))
     if not made:
-        none = F.lit(0).cast("bigint").alias("held")
-        return rows.limit(0).select(F.lit(KEY).alias("relation"), F.lit("").alias("value"), none)
+        return rows.limit(0).select(F.lit(KEY).alias("relation"), F.lit("").alias("value"))
     values = rows.select(F.explode(F.array(*made)).alias("of")).where("of IS NOT NULL")
-    return values.groupBy("of.relation", "of.value").agg(F.count(F.lit(1)).alias("held"))
+    return values.select("of.relation", "of.value")
 
 
 def key_text(*columns: str) -> Column:
@@ -66,11 +73,26 @@ def key_facts(rows: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]
     a key, `null_keys` rows whose key has a NULL, and `orphans` distinct values, NULL left
     out, that no parent row has, in the order of the table's references. A table without a
     key has no rows counted here (`keyed_rows`).
+
+    Values of the table and of its parents are counted together, in one aggregate that
+    combines them before it shuffles them: nothing is sorted, and no key is joined.
     """
     references = {column: parents[parent] for column, parent in spec.references.items()}
-    values = key_values(rows, spec.primary_key, tuple(references))
-    left = without_parents(values, references)
+    one, no = F.lit(1).cast("bigint").alias("held"), F.lit(False).alias("known")
+    values = _entries(rows, spec.primary_key, tuple(references)).select("relation", "value", one, no)
+    for at, (column, frame) in enumerate(references.items()):
+        own = frame.select(
+            F.lit(at + 1).alias("relation"),
+            key_text(column).alias("value"),
+            F.lit(0).cast("bigint").alias("held"),
+            F.lit(True).alias("known"),
+        )
+        values = values.union(own)
+    left = values.groupBy("relation", "value").agg(
+        F.sum("held").alias("held"), F.max("known").alias("known")
+    )
     own, held = F.col("relation") == KEY, F.col("held")
+    orphan = (held > 0) & ~F.col("known")
     keyed, empty = own & F.col("value").isNotNull(), own & F.col("value").isNull()
 
     def rows_of(which: Column, count: Column) -> Column:
@@ -81,7 +103,9 @@ def key_facts(rows: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]
         F.count_if(keyed).alias("unique_keys"),
         rows_of(keyed, held - 1).alias("duplicate_rows"),
         rows_of(empty, held).alias("null_keys"),
-        F.array(*(F.count_if(F.col("relation") == at + 1) for at in range(len(references))))
+        F.array(
+            *(F.count_if((F.col("relation") == at + 1) & orphan) for at in range(len(references)))
+        )
         .cast("array<bigint>")
         .alias("orphans"),
     )

@@ -38,6 +38,8 @@ _REJECTED, _PROFILE = "_rejected", "profile_of_"
 COUNTED = {"orders": ("order_status",), "payments": ("payment_type",)}
 # Tables whose rows decide which purchase is the last one sold.
 _SOLD = ("orders", "order_items", "payments", "customers", "products", "sellers")
+# Of the newest orders, so many are looked at before all others.
+NEWEST_ORDERS = 1000
 
 
 class ConstraintError(ValueError):
@@ -322,9 +324,14 @@ class Warehouse:
         held = written.get
         return Loaded(name, version, held["rows"], 0, 0, 0, held["rejected"], split)
 
-    def _found(self, load: Loaded, staged: Mapping[str, Loaded]) -> Loaded:
-        """The load with what a check of its written rows against its parents finds."""
-        spec, known = self.specs[load.table], self._manifest().tables
+    def _found(
+        self, load: Loaded, staged: Mapping[str, Loaded], spec: TableSpec | None = None
+    ) -> Loaded:
+        """The load with what a check of its written rows against its parents finds.
+
+        Of the key and references of the table, or those of another `spec` alone.
+        """
+        spec, known = spec or self.specs[load.table], self._manifest().tables
         if not load.rows:
             return replace(load, duplicate_rows=0, null_keys=0, orphan_keys=0)
         parents = {}
@@ -340,12 +347,26 @@ class Warehouse:
         )
 
     def _checked_again(self, name: str, staged: Mapping[str, Loaded]) -> Loaded:
-        """The current version of a table, checked against parents about to be published."""
-        facts = self._manifest().tables[f"raw_{name}"]
+        """The current version of a table, checked against parents about to be published.
+
+        A version that had unique keys and all its parents still has those keys, and the
+        parents that stay: only references to the new parents are then looked at.
+        """
+        facts, spec = self._manifest().tables[f"raw_{name}"], self.specs[name]
+        if facts.clean:
+            moved = {
+                column: parent
+                for column, parent in spec.references.items()
+                if parent in staged and staged[parent].version != self._version(parent)
+            }
+            spec = replace(spec, primary_key=(), references=moved)
         load = Loaded(
             name, facts.version, facts.rows, 0, 0, 0, facts.rejected, facts.quarantined
         )
-        return self._found(load, staged)
+        return self._found(load, staged, spec) if spec.primary_key or spec.references else load
+
+    def _version(self, name: str) -> str:
+        return self._manifest().tables[f"raw_{name}"].version
 
     def _empty(self, name: str) -> Loaded:
         return Loaded(name, self._new_version(name), 0, 0, 0, 0)
@@ -412,9 +433,15 @@ class Warehouse:
         if not changed:
             return before.sold_until
         clean = self._clean(after, *(name for name in self.specs if f"raw_{name}" in after.tables))
-        sold = FactoredSales(self._tables(after), keys_enforced=clean).sold_orders()
-        latest = sold.agg(F.max("order_purchase_timestamp").cast("string").alias("latest"))
-        return latest.first().latest
+        every = self._tables(after)
+        # An order of the newest that is sold is later than all orders that are older.
+        for tables in (_of_newest(every), every):
+            sold = FactoredSales(tables, keys_enforced=clean).sold_orders()
+            latest = sold.agg(F.max("order_purchase_timestamp").cast("string").alias("latest"))
+            found = latest.first().latest
+            if found is not None:
+                return found
+        return None
 
     def _publish(self, updates: Mapping[str, Facts], *sold_until: str | None) -> None:
         """Show new versions, all at one instant, and drop those long replaced.
@@ -484,3 +511,18 @@ class Warehouse:
         table's parents have to be asked for together with it.
         """
         return all(held.tables[f"raw_{name}"].clean for name in names)
+
+
+def _of_newest(tables: RawTables) -> RawTables:
+    """The newest orders alone, with their items and payments."""
+    newest = (
+        tables.orders.where(F.col("order_purchase_timestamp").isNotNull())
+        .orderBy(F.desc("order_purchase_timestamp"))
+        .limit(NEWEST_ORDERS)
+    )
+    ids = newest.select("order_id")
+    return tables.replace(
+        orders=newest,
+        order_items=tables.order_items.join(ids, "order_id", "left_semi"),
+        payments=tables.payments.join(ids, "order_id", "left_semi"),
+    )

@@ -10,10 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from merchlens.catalog import TABLES, TableSpec
-from merchlens.marts import sales_mart
+from merchlens.marts import FactoredSales, sales_mart
 from merchlens.operators.keys import key_facts
 from merchlens.reports import logistics, sales
 from merchlens.sinks import ConstraintError, Warehouse, database_options, land_csv
+from merchlens.sinks import warehouse as warehouse_module
 from merchlens.sources import read_all, read_raw, read_split
 from tests.fixtures import delivered, frame, raw_tables, rows
 
@@ -473,3 +474,61 @@ def test_database_refresh_truncates_with_cascade_in_batches():
     assert options["batchsize"] == "10000"
     assert options["user"] == "u"
 
+
+
+def test_keys_and_references_are_counted_without_a_join(spark):
+    """Parents that repeat or are NULL, repeated and NULL keys, NULL and unknown references."""
+    spec = TableSpec("t", {"a": "string", "b": "string"}, ("a",), {"b": "parents"})
+    pairs = [("1", "x"), ("1", "y"), (None, "y"), ("2", None), ("3", "z"), ("4", "z"), ("x", "q")]
+    parents = {"parents": spark.createDataFrame([("x",), ("x",), (None,)], "b string")}
+    found = key_facts(spark.createDataFrame(pairs, "a string, b string"), spec, parents)
+    facts = found.first()
+    assert (facts.keyed_rows, facts.unique_keys, facts.duplicate_rows, facts.null_keys) == (7, 5, 1, 1)
+    assert facts.orphans == [3]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Sort" not in plan
+
+
+@pytest.mark.parametrize("sold", [2, 1, 0])
+def test_the_last_purchase_is_looked_for_among_the_newest_orders(
+    spark, tmp_path, raw, monkeypatch, sold
+):
+    """With one newest order at a time: it is sold, only an older one is, or none is."""
+    monkeypatch.setattr(warehouse_module, "NEWEST_ORDERS", 1)
+    looked = []
+    counted = FactoredSales.sold_orders
+    monkeypatch.setattr(
+        FactoredSales, "sold_orders", lambda self: looked.append(self) or counted(self)
+    )
+    ids = [r.order_id for r in raw.orders.orderBy("order_purchase_timestamp").collect()]
+    some = raw.replace(payments=raw.payments.where(F.col("order_id").isin(ids[: sold + 1 if sold else 0])))
+    house = loaded(spark, tmp_path, some)
+    latest = house.raw_sales().latest
+    if not sold:
+        assert latest is None and not looked
+    else:
+        assert latest == datetime(2018, 1 + sold, 1, 12)
+        assert len(looked) == (1 if sold == 2 else 2)
+
+
+def test_kept_rows_are_checked_against_new_parents_only(spark, tmp_path, raw, monkeypatch):
+    house = loaded(spark, tmp_path, raw)
+    checked = {}
+
+    def facts(rows, spec, parents):
+        checked[spec.name] = (spec.primary_key, tuple(spec.references))
+        return key_facts(rows, spec, parents)
+
+    monkeypatch.setattr(warehouse_module, "key_facts", facts)
+    house.load_table("orders", raw.orders, reload=True)
+    assert checked == {
+        "orders": (("order_id",), ("customer_id",)),
+        "order_items": ((), ("order_id",)),
+        "payments": ((), ("order_id",)),
+    }
+    # Rows that were loaded with a broken key are checked whole.
+    twice = raw.payments.union(raw.payments.limit(1))
+    house.load_table("payments", twice, enforce=False)
+    report = house.load_table("orders", raw.orders, enforce=False, reload=True)
+    assert checked["payments"] == (TABLES["payments"].primary_key, ("order_id",))
+    assert {c.table: c.duplicate_rows for c in report.children} == {"order_items": 0, "payments": 1}
