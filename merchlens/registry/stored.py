@@ -197,7 +197,10 @@ def _load(
     root = warehouse_folder(spark, "sample")
     frames = {name: getattr(tables, name) for name in TABLES}
     with ThreadPoolExecutor(4) as pool:
-        paths = pool.map(lambda name: land_csv(frames[name], f"{root}/landing", name), TABLES)
+        land = lambda name: land_csv(
+            frames[name], f"{root}/landing", name, compression="lz4"
+        )
+        paths = pool.map(land, TABLES)
         landed = dict(zip(TABLES, paths))
     tag = uuid.uuid4().hex[:8]
     warehouse = Warehouse(spark, root, specs, raw=f"raw_{tag}", dm=f"dm_{tag}")

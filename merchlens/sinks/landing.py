@@ -19,7 +19,12 @@ from merchlens.sources.csv_files import LANDED, landed_copies
 
 
 def land_csv(
-    frame: DataFrame, folder: str, table: str, multi_line: bool | None = None, keep: int = 1
+    frame: DataFrame,
+    folder: str,
+    table: str,
+    multi_line: bool | None = None,
+    keep: int = 1,
+    compression: str = "none",
 ) -> str:
     """Write a copy of a table in parallel parts, and make it the one that is read.
 
@@ -30,7 +35,8 @@ def land_csv(
     Columns get their file names back, quotes are doubled as the reader expects, and
     blanks at the edges of texts stay. A text with a line break stops the job, unless the
     catalogue or `multi_line` says that the table is read with such texts. An empty text
-    is read back as missing, as the reader takes it.
+    is read back as missing, as the reader takes it. With a `compression` that CSV files
+    may have (`lz4`, `gzip`, ...) they take less room, and each is read back in one task.
     """
     path = f"{folder.rstrip('/')}/{table}.csv"
     spec = TABLES.get(table)
@@ -53,6 +59,7 @@ def land_csv(
         "escape": '"',
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
+        "compression": compression,
     }
     spark = frame.sparkSession
     copy = f"copy-{time.time_ns()}"

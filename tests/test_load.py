@@ -532,3 +532,20 @@ def test_kept_rows_are_checked_against_new_parents_only(spark, tmp_path, raw, mo
     report = house.load_table("orders", raw.orders, enforce=False, reload=True)
     assert checked["payments"] == (TABLES["payments"].primary_key, ("order_id",))
     assert {c.table: c.duplicate_rows for c in report.children} == {"order_items": 0, "payments": 1}
+
+
+def test_compressed_landing_copies_read_back_the_same(spark, tmp_path):
+    sellers = spark.range(20000).selectExpr(
+        "cast(id as string) as seller_id",
+        "cast(id % 100 as int) as seller_zip_code_prefix",
+        "concat('  \"', id % 7, '\", city ') as seller_city",
+        "if(id % 5 = 0, null, 'SP') as seller_state",
+    )
+    sizes = {}
+    for kind in ("none", "lz4"):
+        path = land_csv(sellers, str(tmp_path / kind), "sellers", compression=kind)
+        back = read_raw(spark, path, "sellers").select(sellers.columns)
+        assert back.exceptAll(sellers).count() == 0 and back.count() == 20000
+        assert read_split(spark, path, "sellers").where("size(_problems) > 0").count() == 0
+        sizes[kind] = sum(file.stat().st_size for file in Path(path).rglob("part-*"))
+    assert sizes["lz4"] < sizes["none"] / 2
