@@ -12,7 +12,7 @@ from merchlens.reports import abc, logistics, sales
 from merchlens.sinks import Warehouse
 from merchlens.sources import sample_specs, with_deliveries
 from tests.comparison import SAMPLE
-from tests.fixtures import rows
+from tests.fixtures import raw_tables, rows
 
 FOLDER = f"{SAMPLE}/sf0.001"
 
@@ -285,6 +285,33 @@ def test_raw_reports_split_hot_parents(spark, model, settings, kind):
     assert "skew=true" in physical(report)
 
 
+@pytest.mark.parametrize("metric", ["orders", "arpu"])
+def test_top_reports_hash_small_partitions_and_sort_large_ones(spark, settings, metric):
+    """A task keeps one side of a join, not both of them sorted, unless that side is large."""
+    orders = [{"order_id": f"o{n}"} for n in range(40)]
+    model = raw_tables(
+        spark,
+        orders,
+        [{"order_id": o["order_id"], "price": 2, "product_id": f"p{o['order_id']}"} for o in orders],
+        [{"order_id": o["order_id"], "payment_value": 3} for o in orders],
+    )
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    found = []
+    for threshold in (None, "1B"):
+        if threshold:
+            settings(
+                adaptive__advisoryPartitionSizeInBytes="1B",
+                adaptive__maxShuffledHashJoinLocalMapThreshold=threshold,
+            )
+        report = sales.top_categories(model, metric, "last_year")
+        found.append(rows(report))
+        report.collect()
+        final = physical(report).split("Initial Plan")[0]
+        assert ("ShuffledHashJoin" in final) == (threshold is None)
+        assert ("SortMergeJoin" in final) == (threshold is not None)
+    assert found[0] == found[1] and found[0]
+
+
 def test_hot_orders_are_collapsed_before_they_are_shuffled(spark, model):
     """Figures from raw tables pair nothing, so a hot order is a handful of rows."""
     hot = hot_model(model, spark)["items of one order"]
