@@ -249,9 +249,11 @@ class Warehouse:
         # Readers of the view see the month too, so that SQL can prune by it. Rebalancing
         # splits the large months and joins the small ones into files of the advisory size.
         by_month = by_month.hint("rebalance", F.col(STORED_MONTH))
+        # Whichever way it was joined, an order's rows lie together: their columns compress.
+        delivery = delivery_mart(raw).sortWithinPartitions("order_id")
         marts = (
             ("sales", by_month, (STORED_MONTH,), latest),
-            ("delivery", delivery_mart(raw)),
+            ("delivery", delivery),
             ("purchasing_power", purchasing_power_mart(raw)),
         )
         with ThreadPoolExecutor(len(marts)) as pool:

@@ -138,10 +138,12 @@ def typed(table: str, name: str, kind: str, strict: bool = True) -> Column:
     elif kind == "int":
         # Whole numbers may be written as 45.0 where the column has gaps.
         number = text.try_cast("double")
-        value = F.when(number == F.floor(number), number.try_cast("int"))
+        whole = F.when(number == F.floor(number), number.try_cast("int"))
+        value = F.coalesce(text.try_cast("int"), whole)
     else:
         value = text.try_cast(kind)
     if not strict:
         return value
+    # The value comes first and once: only where there is none is the text looked at again.
     problem = F.concat(F.lit(f"{table}.{name}: not a {kind}: "), text)
-    return F.when(text.isNotNull() & value.isNull(), F.raise_error(problem)).otherwise(value)
+    return F.coalesce(value, F.when(text.isNotNull(), F.raise_error(problem)))

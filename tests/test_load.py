@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 import threading
 import uuid
 from datetime import datetime
@@ -46,6 +47,20 @@ def test_quotes_gaps_and_float_integers(spark, tmp_path):
     assert row["product_width_cm"] is None
 
 
+def test_a_value_is_cast_once(spark, tmp_path):
+    plan = products(spark, tmp_path, "1,a,1,1,1,1,1,1,1")._jdf.queryExecution().optimizedPlan()
+    weight = next(line for line in plan.toString().splitlines() if "product_weight_g" in line)
+    assert len(re.findall(r"cast\(product_weight_g#\d+ as decimal", weight)) == 1
+
+
+def test_whole_numbers_in_any_writing(spark, tmp_path):
+    written = ("45", "45.0", " 7 ", "+5", "-3", "1e3", "45.5", "3000000000", "many", "NaN")
+    lines = [f"{at},a,{text},1,1,1,1,1,1" for at, text in enumerate(written)]
+    found = products(spark, tmp_path, *lines, strict=False).orderBy("product_id")
+    values = [row["product_name_length"] for row in rows(found)]
+    assert values == [45, 45, 7, 5, -3, 1000, None, None, None, None]
+
+
 def test_types_follow_the_catalogue(spark, tmp_path):
     assert dict(products(spark, tmp_path, "1,a,1,1,1,1,1,1,1").dtypes) == {
         name: "string" if kind.startswith("varchar") else kind
@@ -173,6 +188,25 @@ def test_round_trip_through_files_tables_and_marts(spark, tmp_path, raw, buckets
     assert view.columns == [*sales_mart(raw).columns, "purchase_month"]
 
 
+def test_delivery_rows_of_an_order_are_stored_together(spark, tmp_path):
+    ids = [f"o{n:03}" for n in range(60)]
+    items = [{"order_id": o, "price": 1} for _ in range(3) for o in ids]
+    model = raw_tables(
+        spark,
+        delivered([24.0] * len(ids)),
+        items,
+        [{"order_id": o, "payment_value": 1} for o in ids],
+    ).replace(geolocation=frame(spark, "geolocation", []))
+    house = warehouse(spark, tmp_path)
+    house.load_all(lambda name: getattr(model, name))
+    house.build_marts()
+    stored = house.delivery().mart
+    assert stored.count() == 180
+    for file in stored.inputFiles():
+        held = [row["order_id"] for row in rows(spark.read.parquet(file))]
+        assert held == sorted(held)
+
+
 def test_mart_rebuild_replaces_rows_and_keeps_few_versions(spark, tmp_path, raw):
     house = warehouse(spark, tmp_path)
     house.load_all(lambda n: getattr(with_geolocation(raw, spark), n))
