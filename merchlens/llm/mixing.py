@@ -325,7 +325,9 @@ def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     def excerpt(texts: pa.Array, taken: pa.Array) -> pa.Array:
         return in_slices(excerpts, pa.string(), texts, taken)
 
-    cut = rows.join(runs, "row_key").withColumn("taken_text", excerpt(F.col("row.text"), "runs"))
+    # Nor may the rows be broadcast with their texts, whose files may be far smaller.
+    cut = rows.join(runs.hint("merge"), "row_key")
+    cut = cut.withColumn("taken_text", excerpt(F.col("row.text"), "runs"))
     changed = {
         "text": F.col("taken_text"),
         "n_chars": F.length("taken_text").cast("bigint"),

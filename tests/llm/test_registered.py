@@ -124,3 +124,20 @@ def test_nothing_else_imports_the_corpus_operators():
         if "llm" not in path.relative_to(root).parts:
             assert "merchlens.llm" not in path.read_text(), path
     assert jaccard.SIMILARITY == 0.75 and jaccard.WIDTH == 5
+
+
+def test_rows_are_not_broadcast_by_the_size_of_their_files(spark, monkeypatch, tmp_path):
+    """Files of texts that compress well are far smaller than the rows read from them."""
+    corpus.table(spark).write.parquet(f"{tmp_path}/docs")
+    docs, plans = spark.read.parquet(f"{tmp_path}/docs"), []
+    own = type(docs).checkpoint
+
+    def recorded(frame, *options):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return own(frame, *options)
+
+    monkeypatch.setattr(type(docs), "checkpoint", recorded)
+    corpus_pipeline.near_duplicates(spark, docs, FOLDER)
+    assert "SortMergeJoin" in plans[-1] and "BroadcastHashJoin" not in plans[-1]
+    mixed = corpus_pipeline.source_mix(spark, docs, FOLDER)
+    assert "SortMergeJoin [row_key" in mixed._jdf.queryExecution().executedPlan().toString()
