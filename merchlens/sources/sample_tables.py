@@ -64,26 +64,25 @@ def sample_tables(spark: SparkSession, folder: str) -> RawTables:
 
 def with_deliveries(spark: SparkSession, folder: str) -> RawTables:
     """The same model with the customer delivery date, which needs every line item."""
-    tables = sample_tables(spark, folder)
-    return tables.replace(
-        orders=lambda: _delivered(tables.orders, _read(spark, folder, "lineitem"))
+    return sample_tables(spark, folder).replace(
+        orders=lambda: _delivered(
+            _read(spark, folder, "orders"), _read(spark, folder, "lineitem")
+        )
     )
 
 
 def _delivered(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    shipped = lineitem.groupBy(F.col("l_orderkey").cast("string").alias("order_id")).agg(
+    """Orders joined as they are in the file: what is made of them is not shuffled."""
+    shipped = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.min("l_shipdate").alias("first_ship")
     )
-    gap = "datediff(first_ship, order_delivered_carrier_date - interval 2 days)"
-    key = "cast(order_id as bigint)"
-    days = f"if({key} % 5 <> 0, abs({gap}), {gap}) % 130"
-    delivery = (
-        f"order_delivered_carrier_date + make_dt_interval({days}, cast({key} % 24 as int), 0, 0) "
-        "as order_delivered_customer_date"
+    carrier = "(o_orderdate + interval 2 days)"
+    gap = f"datediff(first_ship, {carrier} - interval 2 days)"
+    days = f"if(o_orderkey % 5 <> 0, abs({gap}), {gap}) % 130"
+    return _orders(
+        orders.drop("o_totalprice").join(shipped, "o_orderkey", "left"),
+        f"{carrier} + make_dt_interval({days}, cast(o_orderkey % 24 as int), 0, 0)",
     )
-    unchanged = [c for c in TABLES["orders"].columns if c != "order_delivered_customer_date"]
-    joined = orders.select(*unchanged).join(shipped, "order_id", "left")
-    return joined.selectExpr(*unchanged, delivery).select(*TABLES["orders"].columns)
 
 
 def _with_nation(frame: DataFrame, key: str, nation: DataFrame) -> DataFrame:
@@ -134,7 +133,7 @@ def _products(part: DataFrame) -> DataFrame:
     )
 
 
-def _orders(orders: DataFrame) -> DataFrame:
+def _orders(orders: DataFrame, delivered: str = "cast(null as timestamp_ntz)") -> DataFrame:
     hours = "make_dt_interval(0, cast(o_orderkey % 24 as int), 0, 0)"
     return orders.selectExpr(
         "cast(o_orderkey as string) as order_id",
@@ -147,7 +146,7 @@ def _orders(orders: DataFrame) -> DataFrame:
         f"o_orderdate + {hours} as order_purchase_timestamp",
         f"o_orderdate + {hours} + interval 1 hour as order_approved_at",
         "o_orderdate + interval 2 days as order_delivered_carrier_date",
-        "cast(null as timestamp_ntz) as order_delivered_customer_date",
+        f"{delivered} as order_delivered_customer_date",
         "o_orderdate + interval 20 days as order_estimated_delivery_date",
     )
 

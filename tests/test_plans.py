@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -322,3 +324,40 @@ def test_hot_orders_are_collapsed_before_they_are_shuffled(spark, model):
     assert hot.order_items.where(F.col("order_id") == first).count() > 1000
     assert found.count() <= categories * 4
     assert rows(sales.payment_methods(hot)) == rows(sales.payment_methods(sales_mart(hot)))
+
+
+def test_sales_come_by_order(model, settings):
+    """Even where its sides are small enough to hash, the join that makes pairs merges."""
+    settings(autoBroadcastJoinThreshold="-1")
+    frame = sales_mart(model)
+    frame.collect()
+    final = physical(frame).split("== Initial Plan ==")[0]
+    assert "ShuffledHashJoin [order_id" in final and "SortMergeJoin [order_id" in final
+
+
+def test_orders_are_shuffled_as_read(model):
+    """Texts and times are made of the numbers and the date of an order after its join."""
+    plan = physical(model.orders)
+    assert "hashpartitioning(l_orderkey" in plan and "hashpartitioning(order_id" not in plan
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    """While the frame is still there: driver memory decides when its garbage is collected."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        names = (str(file.getName()) for file in _listed(disk.getAllFiles()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffled()
+    frame = spark.range(10_000).groupBy((F.col("id") % 97).alias("k")).count()
+    assert len(frame.collect()) == 97
+    late = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < late:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert len(frame.collect()) == 97
+
+
+def _listed(files) -> list:
+    return [files.apply(at) for at in range(files.size())]
